@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # Text lengths of the result columns.
 LEAF_CHARS = 80
@@ -46,17 +47,18 @@ def is_ascii(text: Column) -> Column:
     return ~text.rlike(r"[^\x00-\x7F]")
 
 
-@pandas_udf("string")
-def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        yield batch.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
-
-
 def to_nfc(df: DataFrame, column: str, out: str) -> DataFrame:
     """Add ``out`` = NFC of ``column``. ASCII rows, the bulk, never leave the JVM."""
+
+    # Defined here so that it is shipped by value: executors need not have this package installed.
+    @pandas_udf(StringType())
+    def nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
+
     ascii_row = F.coalesce(is_ascii(F.col(column)), F.lit(True))
     return (
         df.filter(ascii_row)
         .withColumn(out, F.col(column))
-        .unionByName(df.filter(~ascii_row).withColumn(out, _nfc(F.col(column))))
+        .unionByName(df.filter(~ascii_row).withColumn(out, nfc(F.col(column))))
     )

@@ -29,7 +29,7 @@ def calls(nodes: DataFrame, sources: DataFrame | None = None, rules: Sequence[Ru
 def callee_counts(found: DataFrame) -> DataFrame:
     """Calls per file and callee, with the place of the first one."""
     return found.groupBy("file_id", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("call_pre", "pattern_ix", "name_pre")).alias("first_call")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("name_pre", "call_pre", "pattern_ix")).alias("first_call")
     )
 
 
@@ -43,7 +43,7 @@ def listed_calls(found: DataFrame, limit: int | None = LISTED_CALLS) -> DataFram
     if limit is None:
         return with_totals(found, found, ["file_id"], "total")
     return with_totals(
-        first_k(found, ["file_id"], [F.col(c) for c in ("call_pre", "pattern_ix", "name_pre")], limit),
+        first_k(found, ["file_id"], [F.col(c) for c in ("name_pre", "call_pre", "pattern_ix")], limit),
         found, ["file_id"], "total",
     )
 

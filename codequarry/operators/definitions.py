@@ -40,11 +40,11 @@ def raw_definitions(
 def dedupe(defs: DataFrame) -> DataFrame:
     """One definition per (file, start line, name): higher rank wins, ties keep the first match.
 
-    Matches are ordered by construct position, then rule, then name position. ``seen_*`` is the place of
+    Matches are ordered by construct position, then name position, then rule. ``seen_*`` is the place of
     the first match of the key, which is the place the survivor takes. An aggregate, not a window: a key
     that repeats without end is combined before the shuffle.
     """
-    order = F.struct("kind_pre", "pattern_ix", "name_pre")
+    order = F.struct("kind_pre", "name_pre", "pattern_ix")
     best = F.struct(-kind_rank(F.col("kind")), order)
     value = F.struct("language", "kind", "end_line", "name_row", "kind_pre", "pattern_ix", "name_pre")
     return (
@@ -68,7 +68,7 @@ def definitions(
 
 def match_order() -> list[Column]:
     """Sort key inside a file: by start line, then by first match."""
-    return [F.col(c) for c in ("start_line", "seen_pre", "seen_pattern", "seen_name")]
+    return [F.col(c) for c in ("start_line", "seen_pre", "seen_name", "seen_pattern")]
 
 
 def ordered(defs: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def file_results(defs: DataFrame, files: DataFrame, extra: Sequence[str] = ()) -
     A list covers at most 65,536 nodes of a file, so no list grows without bound: a bigger file gives
     several rows, numbered by ``part``, each with the file's totals.
     """
-    entry = F.struct("start_line", "seen_pre", "seen_pattern", "seen_name", "kind", "name", "end_line", *extra)
+    entry = F.struct("start_line", "seen_pre", "seen_name", "seen_pattern", "kind", "name", "end_line", *extra)
     lists = (
         defs.groupBy("file_id", F.floor(F.col("seen_pre") / _PART_NODES).alias("part"))
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
