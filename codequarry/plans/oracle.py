@@ -5,6 +5,8 @@ Only fixed, small lists (template sizes, expectations, extensions) are written i
 
 from __future__ import annotations
 
+from codequarry.functions.lexicon import HTML_TILE, plain_regex
+from codequarry.operators.tokens import VOID_TAGS
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, template_nodes, template_sizes
 from codequarry.plans.templates import TEMPLATES, text_of
 from codequarry.sources.languages import EXTENSIONS
@@ -269,4 +271,94 @@ def node_checks() -> dict[str, str]:
     }
 
 
-CHECKS: dict[str, str] = {**node_checks()}
+# ---------------------------------------------------------------- pages
+PAGE_TOKENS = f"""
+    cut AS (SELECT page_id AS file_id, regexp_extract_all(html, {literal(plain_regex(HTML_TILE))}) AS tiles FROM pages),
+    tiles AS (SELECT file_id, unnest(range(len(tiles))) AS pos, unnest(tiles) AS text FROM cut),
+    placed_tiles AS (SELECT *, CAST(coalesce(sum(length(text)) OVER w, 0) AS BIGINT) AS start_idx,
+        CAST(coalesce(sum(length(text) - length(replace(text, chr(10), ''))) OVER w, 0) AS BIGINT) AS "row",
+        coalesce(string_agg(text, '') OVER w, '') AS before FROM tiles
+        WINDOW w AS (PARTITION BY file_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    tagged AS (SELECT file_id, pos, text, start_idx, "row",
+        CASE WHEN contains(before, chr(10)) THEN strpos(reverse(before), chr(10)) - 1 ELSE length(before) END AS col,
+        lower(regexp_extract(text, '^</?([A-Za-z][^\\s/>]*)', 1)) AS tag FROM placed_tiles),
+    toks AS (SELECT *, CASE WHEN text NOT LIKE '<%' OR text = '<' THEN 'text' WHEN text LIKE '<!--%-->' THEN 'comment'
+        WHEN regexp_matches(text, '^(?i:<script\\b[^>]*>[\\s\\S]*</script)') THEN tag || '_element'
+        WHEN regexp_matches(text, '^(?i:<style\\b[^>]*>[\\s\\S]*</style)') THEN tag || '_element'
+        WHEN text LIKE '<!%' THEN 'doctype' WHEN text LIKE '</%' THEN 'close'
+        WHEN tag IN ({', '.join(literal(t) for t in VOID_TAGS)}) THEN 'void' WHEN text LIKE '%/>' THEN 'self_closing'
+        ELSE 'open' END AS kind FROM tagged)"""
+
+PAGE_PAIRS = """
+    sides AS (SELECT *, CASE kind WHEN 'open' THEN 1 ELSE -1 END AS side FROM toks WHERE kind IN ('open', 'close')),
+    leveled AS (SELECT *, sum(side) OVER (PARTITION BY file_id, tag ORDER BY pos) + CASE side WHEN 1 THEN 0 ELSE 1 END AS level
+        FROM sides),
+    linked AS (SELECT *, lead(side) OVER v AS next_side, lead(pos) OVER v AS next_pos, lag(side) OVER v AS last_side FROM leveled
+        WINDOW v AS (PARTITION BY file_id, tag, level ORDER BY pos)),
+    pairs AS (SELECT file_id, tag AS pair_kind, pos, CASE WHEN side = 1 AND next_side = -1 THEN 'paired' WHEN side = 1 THEN 'missing'
+        ELSE 'error' END AS status, CASE WHEN side = 1 AND next_side = -1 THEN next_pos ELSE -1 END AS close_pos,
+        CAST(level - 1 AS BIGINT) AS depth FROM linked WHERE side = 1 OR coalesce(last_side, -1) <> 1)"""
+
+# Crossing pairs are found pair by pair here, unlike in the operator: each is compared with all others.
+PAGE_NODES = """
+    paired AS (SELECT file_id, pos, close_pos FROM pairs WHERE status = 'paired'),
+    nested AS (SELECT * FROM paired p WHERE NOT EXISTS (SELECT 1 FROM paired q WHERE q.file_id = p.file_id
+        AND ((q.pos < p.pos AND p.pos < q.close_pos AND q.close_pos < p.close_pos)
+          OR (p.pos < q.pos AND q.pos < p.close_pos AND p.close_pos < q.close_pos)))),
+    kept AS (SELECT t.*, o.close_pos, c.pos AS open_pos FROM toks t LEFT JOIN nested o ON o.file_id = t.file_id AND o.pos = t.pos
+        LEFT JOIN nested c ON c.file_id = t.file_id AND c.close_pos = t.pos
+        WHERE kind <> 'text' OR regexp_matches(text, '[^ \\t\\r\\n\\f]')),
+    ends AS (SELECT *, "row" + length(text) - length(replace(text, chr(10), '')) AS end_row,
+        CASE WHEN contains(text, chr(10)) THEN strpos(reverse(text), chr(10)) - 1 ELSE col + length(text) END AS end_col,
+        CAST(sum(CASE WHEN close_pos IS NULL THEN 1 ELSE 2 END) OVER (PARTITION BY file_id ORDER BY pos) AS BIGINT) AS pre FROM kept),
+    flat AS (
+      SELECT file_id, pos, pre, pre AS last_desc, CASE WHEN close_pos IS NOT NULL OR kind = 'open' THEN 'start_tag'
+          WHEN open_pos IS NOT NULL THEN 'end_tag' WHEN kind = 'close' THEN 'erroneous_end_tag' WHEN kind = 'void' THEN 'element'
+          WHEN kind = 'self_closing' THEN 'self_closing_tag' ELSE kind END AS type,
+        kind = 'close' AND open_pos IS NULL AS is_error, kind = 'open' AND close_pos IS NULL AS is_missing,
+        start_idx, start_idx + length(text) AS end_idx, "row" AS start_row, col AS start_col, end_row, end_col, text AS leaf_text FROM ends
+      UNION ALL SELECT o.file_id, o.pos, o.pre - 1, c.pre, 'element', false, false, o.start_idx, c.start_idx + length(c.text),
+        o."row", o.col, c.end_row, c.end_col, '' FROM ends o JOIN ends c ON c.file_id = o.file_id AND c.pos = o.close_pos),
+    boxes AS (SELECT file_id, pre, last_desc FROM flat WHERE type = 'element' AND leaf_text = ''),
+    owned AS (SELECT f.file_id, f.pre, coalesce(max(b.pre), 0) AS parent, count(b.pre) + 1 AS depth FROM flat f LEFT JOIN boxes b
+        ON b.file_id = f.file_id AND b.pre < f.pre AND f.pre <= b.last_desc GROUP BY 1, 2),
+    nodes AS (SELECT flat.* EXCLUDE (pos), parent, depth,
+        row_number() OVER (PARTITION BY file_id, parent ORDER BY pre) - 1 AS child_ix FROM flat JOIN owned USING (file_id, pre)
+      UNION ALL BY NAME SELECT page_id AS file_id, 0 AS pre, coalesce((SELECT max(last_desc) FROM flat WHERE file_id = page_id), 0) AS last_desc,
+        'document' AS type, false AS is_error, false AS is_missing, 0 AS start_idx, length(html) AS end_idx, 0 AS start_row, 0 AS start_col,
+        length(html) - length(replace(html, chr(10), '')) AS end_row,
+        CASE WHEN contains(html, chr(10)) THEN strpos(reverse(html), chr(10)) - 1 ELSE length(html) END AS end_col, '' AS leaf_text,
+        -1 AS parent, 0 AS depth, 0 AS child_ix FROM pages)"""
+
+
+def page_checks() -> dict[str, str]:
+    """Checks of tokens, pairs and tree views on markup pages."""
+    chain = (PAGE_TOKENS, PAGE_PAIRS, PAGE_NODES)
+    kids = "kids AS (SELECT file_id, parent AS pre, count(*) AS kids FROM nodes WHERE parent >= 0 GROUP BY 1, 2)"
+    return {
+        "page_tokens": sql(PAGE_TOKENS, select="SELECT file_id, pos, kind, tag, text, start_idx, \"row\", col FROM toks"),
+        "page_pairs": sql(PAGE_TOKENS, PAGE_PAIRS, select="SELECT file_id, pair_kind, pos, status, close_pos, depth FROM pairs"),
+        "element_nodes": sql(*chain, select="""SELECT file_id, pre, last_desc, parent, depth, child_ix, type, is_error, is_missing,
+            start_idx, end_idx, start_row, start_col, end_row, end_col, leaf_text FROM nodes"""),
+        "page_tree_view": sql(*chain, kids, select="""
+            SELECT n.file_id, n.pre, depth, type, CASE WHEN is_error THEN 'syntax_error' WHEN is_missing THEN 'missing' ELSE '' END AS error,
+              coalesce(kids > 0 AND depth >= 4, false) AS truncated, CASE WHEN kids > 0 AND depth >= 4 THEN kids ELSE 0 END AS child_count,
+              CASE WHEN kids IS NULL THEN left(leaf_text, 80) ELSE '' END AS text
+            FROM nodes n LEFT JOIN kids USING (file_id, pre) WHERE depth <= 4"""),
+        "page_tree_sexp": sql(*chain, select="""
+            , events AS (SELECT file_id, pre AS place, 0 AS side, pre AS o, CASE WHEN pre = 0 THEN '' ELSE ' ' END
+                || CASE WHEN is_missing THEN '(MISSING ' ELSE '(' END || type AS piece FROM nodes
+              UNION ALL SELECT file_id, last_desc, 1, -pre, ')' FROM nodes)
+            SELECT file_id, string_agg(piece, '' ORDER BY place, side, o) AS sexp FROM events GROUP BY 1"""),
+        "page_diagnostics": sql(*chain, select="""
+            SELECT file_id, pre, type, CASE WHEN is_error THEN 'error' ELSE 'missing' END AS kind, start_row, start_col, end_row,
+              end_col FROM nodes WHERE is_error OR is_missing"""),
+        "page_diagnostic_summary": sql(*chain, select="""
+            SELECT file_id, count(*) FILTER (is_error OR is_missing) > 0 AS has_errors,
+              count(*) FILTER (is_error OR is_missing) AS error_count,
+              least(count(*) FILTER (is_error OR is_missing), 2) AS listed,
+              count(*) FILTER (is_error OR is_missing) > 2 AS errors_truncated FROM nodes GROUP BY 1"""),
+    }
+
+
+CHECKS: dict[str, str] = {**node_checks(), **page_checks()}

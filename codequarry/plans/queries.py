@@ -12,12 +12,15 @@ from codequarry.operators import calls as C
 from codequarry.operators import definitions as D
 from codequarry.operators import imports as I
 from codequarry.operators import lines as L
+from codequarry.operators import markup as M
 from codequarry.operators import nodes as N
 from codequarry.operators import outline as O
 from codequarry.operators import patterns as P
 from codequarry.operators import references as R
 from codequarry.operators import report as S
+from codequarry.operators import tokens as T
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, corpus, read
+from codequarry.plans.shared import shared_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -292,3 +295,54 @@ def structural_query_siblings(spark, sf_dir):
     return P.match(corpus(spark, sf_dir).nodes, [pattern]).select(
         "file_id", "match_pre", F.col("captures")[0]["text"].alias("left_text"),
         F.col("captures")[1]["text"].alias("right_text"))
+
+
+# ---------------------------------------------------------------- pages
+def _pages(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select(F.col("page_id").alias("file_id"), "html")
+
+
+def page_nodes(spark, sf_dir):
+    return shared_table(spark, sf_dir, "page_nodes", lambda s, d: M.element_nodes(_pages(s, d)))
+
+
+@query
+def page_tokens(spark, sf_dir):
+    return T.page_tokens(_pages(spark, sf_dir)).select(
+        "file_id", "pos", "kind", "tag", "text", "start_idx", "row", "col")
+
+
+@query
+def page_pairs(spark, sf_dir):
+    pairs = T.page_pairs(T.page_tokens(_pages(spark, sf_dir)))
+    return pairs.select("file_id", "pair_kind", "pos", "status", F.coalesce("close_pos", F.lit(-1)).alias("close_pos"), "depth")
+
+
+@query
+def element_nodes(spark, sf_dir):
+    return M.element_nodes(_pages(spark, sf_dir)).select(
+        "file_id", "pre", "last_desc", F.coalesce("parent", F.lit(-1)).alias("parent"), "depth", "child_ix", "type",
+        "is_error", "is_missing", "start_idx", "end_idx", "start_row", "start_col", "end_row", "end_col", _text("leaf_text"))
+
+
+@query
+def page_tree_view(spark, sf_dir):
+    return N.tree_view(page_nodes(spark, sf_dir), max_depth=4, with_text=True).select(
+        "file_id", "pre", "depth", "type", _text("error"), F.coalesce("truncated", F.lit(False)).alias("truncated"),
+        F.coalesce("child_count", F.lit(0)).alias("child_count"), _text("text"))
+
+
+@query
+def page_tree_sexp(spark, sf_dir):
+    return N.tree_sexp(page_nodes(spark, sf_dir))
+
+
+@query
+def page_diagnostics(spark, sf_dir):
+    return N.diagnostics(page_nodes(spark, sf_dir))
+
+
+@query
+def page_diagnostic_summary(spark, sf_dir):
+    return N.diagnostic_summary(page_nodes(spark, sf_dir), 2).select(
+        "file_id", "has_errors", "error_count", F.coalesce(F.size("errors"), F.lit(0)).alias("listed"), "errors_truncated")
