@@ -5,11 +5,11 @@ Only fixed, small lists (template sizes, expectations, extensions) are written i
 
 from __future__ import annotations
 
-from codequarry.functions.lexicon import HTML_TILE, plain_regex
+from codequarry.functions.lexicon import HTML_TILE, LEXICONS, plain_regex
 from codequarry.operators.tokens import VOID_TAGS
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, template_nodes, template_sizes
 from codequarry.plans.templates import TEMPLATES, text_of
-from codequarry.sources.languages import EXTENSIONS
+from codequarry.sources.languages import EXTENSIONS, LANGUAGE_OF, languages_with
 
 
 def literal(value) -> str:
@@ -361,4 +361,130 @@ def page_checks() -> dict[str, str]:
     }
 
 
-CHECKS: dict[str, str] = {**node_checks(), **page_checks()}
+# ---------------------------------------------------------------- raw text
+def _per_language(choose) -> str:
+    return "CASE language " + " ".join(
+        f"WHEN {literal(k)} THEN {literal(choose(v))}" for k, v in LEXICONS.items()) + " END"
+
+
+def _code_tokens() -> str:
+    # One regular expression per language, hence one branch per language.
+    branches = " UNION ALL ".join(
+        f"SELECT file_id, language, regexp_extract_all(code, {literal(plain_regex(x.tile))}) AS tiles FROM sources "
+        f"WHERE language = {literal(k)}" for k, x in LEXICONS.items())
+    hashes = ", ".join(literal(k) for k, v in LEXICONS.items() if any(c.startswith("#") for c in v.comments))
+    return f"""
+    cut AS ({branches}),
+    tiles AS (SELECT file_id, language, unnest(range(len(tiles))) AS pos, unnest(tiles) AS text FROM cut),
+    spread AS (SELECT *, CAST(coalesce(sum(length(text)) OVER w, 0) AS BIGINT) AS start_idx,
+        CAST(coalesce(sum(length(text) - length(replace(text, chr(10), ''))) OVER w, 0) AS BIGINT) AS "row" FROM tiles
+        WINDOW w AS (PARTITION BY file_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    starts AS (SELECT file_id, unnest(range(len(lines))) AS "row", unnest(lines) AS line FROM
+        (SELECT file_id, string_split(code, chr(10)) AS lines FROM sources)),
+    begins AS (SELECT file_id, "row", CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY file_id ORDER BY "row"
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin FROM starts),
+    toks AS (SELECT t.file_id, language, pos, text, start_idx, t."row", start_idx - begin AS col,
+        CASE WHEN regexp_matches(text, '^[ \\t\\r\\n\\f]') THEN 'space'
+          WHEN length(text) > 1 AND left(text, 1) IN ('"', chr(39), '`') THEN 'string'
+          WHEN length(text) > 1 AND left(text, 1) = '/' THEN 'comment'
+          WHEN left(text, 1) = '#' AND language IN ({hashes}) THEN 'comment'
+          WHEN regexp_matches(text, '^[\\p{{L}}\\p{{N}}_]') OR (left(text, 1) = '$' AND length(text) > 1) THEN 'word'
+          ELSE 'other' END AS kind
+        FROM spread t JOIN begins b ON b.file_id = t.file_id AND b."row" = t."row")"""
+
+
+def text_checks() -> dict[str, str]:
+    """Checks of the operators on raw text; the lexical ones must find what the templates promise."""
+    nodes = node_checks()
+    tokens = (PLACED, SOURCES, _code_tokens())
+    return {
+        "lexical_definitions": sql(PLACED, DEFS, select="SELECT file_id, language, kind, name, start_line, end_line FROM defs"),
+        "lexical_calls": nodes["calls"],
+        "lexical_imports": nodes["imports"],
+        "lexical_references": nodes["references"],
+        "source_tokens": sql(*tokens, select=
+            "SELECT file_id, pos, kind, text, start_idx, \"row\", col FROM toks WHERE kind <> 'space'"),
+        "source_bracket_pairs": sql(*tokens, select="""
+            , sides AS (SELECT file_id, start_idx, translate(text, ')]}', '([{') AS pair_kind,
+                CASE WHEN text IN ('(', '[', '{') THEN 1 ELSE -1 END AS side FROM toks
+                WHERE kind = 'other' AND text IN ('(', '[', '{', ')', ']', '}')),
+            leveled AS (SELECT *, sum(side) OVER (PARTITION BY file_id, pair_kind ORDER BY start_idx)
+                + CASE side WHEN 1 THEN 0 ELSE 1 END AS level FROM sides),
+            linked AS (SELECT *, lead(side) OVER v AS next_side, lead(start_idx) OVER v AS next_idx, lag(side) OVER v AS last_side
+                FROM leveled WINDOW v AS (PARTITION BY file_id, pair_kind, level ORDER BY start_idx))
+            SELECT file_id, pair_kind, start_idx, CASE WHEN side = 1 AND next_side = -1 THEN 'paired' WHEN side = 1 THEN 'missing'
+              ELSE 'error' END AS status, CASE WHEN side = 1 AND next_side = -1 THEN next_idx ELSE -1 END AS close_idx
+            FROM linked WHERE side = 1 OR coalesce(last_side, -1) <> 1"""),
+        "page_script_calls": """
+            WITH scripts AS (SELECT page_id, unnest(regexp_extract_all(html, '<script[^>]*>([\s\S]*?)</script>', 1)) AS code,
+                unnest(range(len(regexp_extract_all(html, '<script[^>]*>([\s\S]*?)</script>')))) AS n FROM pages),
+            bare AS (SELECT page_id, n, regexp_replace(code, '"[^"]*"', '""', 'g') AS code FROM scripts)
+            SELECT page_id || ':' || n AS file_id, unnest(regexp_extract_all(code, '([A-Za-z_]+)\(', 1)) AS name, 1 AS line,
+              (SELECT strpos(s.code, 'track(') - 1 FROM scripts s WHERE s.page_id = b.page_id AND s.n = b.n) AS col FROM bare b""",
+    }
+
+
+# ---------------------------------------------------------------- lines, files, languages
+_EXT_LIST = "[" + ", ".join(literal(x) for x in sorted(LANGUAGE_OF)) + "]"
+_FOLDERS = ["", "src/", "node_modules/", "build/", "builds/", "outer/", "out/", "a/.git/", ".hid/", "x/venv/y/", "dist."]
+_STEMS = ["f", "_f", ".f", "lib.min", "g.map", "build"]
+PATHS = values("languages", "ext, language", LANGUAGE_OF.items()) + f""",
+    keys AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 64 AS p FROM lineitem),
+    named AS (SELECT k, p, CASE WHEN k % 13 = 0 THEN 'xyz' ELSE ({_EXT_LIST})[CAST((k + p) % {len(LANGUAGE_OF)} AS INT) + 1] END AS e,
+      ([{', '.join(literal(x) for x in _FOLDERS)}])[CAST(p % {len(_FOLDERS)} AS INT) + 1] AS folder,
+      ([{', '.join(literal(x) for x in _STEMS)}])[CAST(k % {len(_STEMS)} AS INT) + 1] AS stem FROM keys),
+    paths AS (SELECT k, p, 'pkg_' || k || '/' || folder || stem || p || '.' || CASE WHEN k % 11 = 0 THEN upper(e) ELSE e END AS path,
+      folder, stem, CASE WHEN k % 17 = 0 THEN 10485760 + p % 2 ELSE k * 10 END AS length, k % 19 = 0 AS has_nul,
+      CASE WHEN k % 5 = 0 THEN CASE p % 3 WHEN 0 THEN 'PY' WHEN 1 THEN 'rust' ELSE 'cobol' END END AS given, e,
+      CASE WHEN k % 11 = 0 THEN upper(e) ELSE e END AS shown FROM named),
+    included AS (SELECT * FROM paths WHERE folder NOT IN ('a/.git/', '.hid/') AND (stem NOT LIKE '.%' OR folder = 'dist.')
+      AND shown IN (SELECT ext FROM languages)),
+    selected AS (SELECT * FROM included WHERE folder NOT IN ('node_modules/', 'build/', 'out/', 'x/venv/y/')),
+    judged AS (SELECT s.*, language, CASE WHEN length > 10485760 THEN 'file too large: ' || length WHEN has_nul
+      THEN 'binary file: NUL byte' END AS error FROM selected s JOIN languages ON ext = e
+      WHERE language NOT IN ('json', 'yaml', 'html', 'css'))"""
+
+
+def file_checks() -> dict[str, str]:
+    """Checks of line operators on documents, and of path, size and language rules."""
+    docs = "docs AS (SELECT doc_id, n_chars, regexp_split_to_array(text, '\\r?\\n') AS lines, text FROM documents)"
+    cap = {"definition": set(languages_with("definition")), "call": set(languages_with("call")),
+           "import": set(languages_with("import"))}
+    able = values("able", "language, has_definition_rules, has_call_rules, has_import_rules, extensions", [
+        (k, k in cap["definition"], k in cap["call"], k in cap["import"], " ".join(sorted(v))) for k, v in EXTENSIONS.items()])
+    return {
+        "source_lines": f"WITH {docs} SELECT doc_id AS file_id, unnest(range(len(lines))) + 1 AS line_no, unnest(lines) AS text FROM docs",
+        "line_at": f"""WITH {docs} SELECT doc_id AS file_id, n_chars % 7 AS "row", coalesce(lines[n_chars % 7 + 1], '') AS text FROM docs""",
+        "line_slice": f"""WITH {docs}, asked AS (SELECT *, n_chars % 5 - 1 AS f, n_chars % 5 + doc_id % 4 AS l FROM docs),
+            cut AS (SELECT *, lines[greatest(f, 1):least(l, len(lines))] AS got FROM asked)
+            SELECT doc_id AS file_id, f AS first, l AS last, coalesce(array_to_string(got[1:2], chr(10)), '') AS text, len(got) > 2 AS truncated
+            FROM cut""",
+        "include_paths": sql(PATHS, select="SELECT path FROM included"),
+        "include_language": sql(PATHS, select="SELECT path FROM included WHERE shown IN ('cc', 'cpp', 'cxx', 'hpp', 'hxx', 'hh')"),
+        "include_patterns": sql(PATHS, select="""SELECT path FROM paths WHERE folder NOT IN ('a/.git/', '.hid/')
+            AND (stem NOT LIKE '.%' OR folder = 'dist.') AND ((folder = 'src/' AND shown IN ('py', 'js'))
+            OR (k BETWEEN 10 AND 19 AND folder = '' AND stem = 'f' AND shown = 'go'))"""),
+        "exclude_paths": sql(PATHS, select="""SELECT path FROM paths WHERE folder NOT IN ('node_modules/', 'build/', 'out/', 'a/.git/',
+            'x/venv/y/', 'outer/')"""),
+        "cap_files": sql(PATHS, select="SELECT path FROM selected ORDER BY path LIMIT 500"),
+        "detect_language": sql(PATHS, select="""SELECT path, coalesce(CASE given WHEN 'PY' THEN 'python' WHEN 'rust' THEN 'rust'
+            WHEN 'cobol' THEN NULL ELSE language END, '') AS language, CASE WHEN given = 'cobol' THEN 'unknown language: cobol'
+            WHEN given IS NULL AND language IS NULL THEN 'no language for extension: ' || lower(shown) ELSE '' END AS language_error
+            FROM paths LEFT JOIN languages ON ext = lower(shown)"""),
+        "language_filter": sql(PATHS, select="""SELECT path FROM paths JOIN languages ON ext = lower(shown)
+            WHERE language NOT IN ('json', 'yaml', 'html', 'css')"""),
+        "admit": sql(PATHS, select="SELECT path, length FROM paths WHERE length <= 10485760 AND NOT has_nul"),
+        "scan_errors": sql(PATHS, select=
+            "SELECT path, 'admit' AS stage, error FROM judged WHERE error IS NOT NULL ORDER BY path LIMIT 200"),
+        "scan_summary": sql(PATHS, PLACED, DEFS, select="""
+            SELECT (SELECT count(*) FROM selected) AS files_matched, (SELECT count(*) FROM judged WHERE error IS NULL) AS files_scanned,
+              (SELECT count(*) > 200 FROM judged WHERE error IS NULL) AS files_truncated, (SELECT count(*) FROM defs) AS total_definitions,
+              (SELECT count(error) FROM judged) AS n_errors, (SELECT count(error) > 200 FROM judged) AS errors_truncated"""),
+        "scanned_languages": sql(PATHS, select="SELECT language, count(*) AS n_files FROM judged WHERE error IS NULL GROUP BY 1"),
+        "capabilities": sql(PLACED, able, select="""SELECT a.*, count(f.file_id) AS n_files FROM able a LEFT JOIN files f USING (language)
+            GROUP BY ALL"""),
+        "decode_text": "SELECT doc_id, text || chr(65533) AS code FROM documents",
+    }
+
+
+CHECKS: dict[str, str] = {**node_checks(), **page_checks(), **text_checks(), **file_checks()}

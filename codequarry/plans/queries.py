@@ -11,6 +11,7 @@ from codequarry.functions.limits import first_k
 from codequarry.operators import calls as C
 from codequarry.operators import definitions as D
 from codequarry.operators import imports as I
+from codequarry.operators import lexical as X
 from codequarry.operators import lines as L
 from codequarry.operators import markup as M
 from codequarry.operators import nodes as N
@@ -19,6 +20,8 @@ from codequarry.operators import patterns as P
 from codequarry.operators import references as R
 from codequarry.operators import report as S
 from codequarry.operators import tokens as T
+from codequarry.sources import files as Fi
+from codequarry.sources.languages import LANGUAGE_OF, language_capabilities
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, corpus, read
 from codequarry.plans.shared import shared_table
 
@@ -346,3 +349,176 @@ def page_diagnostics(spark, sf_dir):
 def page_diagnostic_summary(spark, sf_dir):
     return N.diagnostic_summary(page_nodes(spark, sf_dir), 2).select(
         "file_id", "has_errors", "error_count", F.coalesce(F.size("errors"), F.lit(0)).alias("listed"), "errors_truncated")
+
+
+# ---------------------------------------------------------------- raw text
+@query
+def lexical_definitions(spark, sf_dir):
+    return X.lexical_definitions(corpus(spark, sf_dir).sources).select(
+        "file_id", "language", "kind", "name", "start_line", "end_line")
+
+
+@query
+def lexical_calls(spark, sf_dir):
+    return X.lexical_calls(corpus(spark, sf_dir).sources).select("file_id", "language", "name", "line")
+
+
+@query
+def lexical_imports(spark, sf_dir):
+    return X.lexical_imports(corpus(spark, sf_dir).sources)
+
+
+@query
+def lexical_references(spark, sf_dir):
+    names = part_names(spark, sf_dir).unionByName(callee_names(spark, sf_dir))
+    return X.lexical_references(corpus(spark, sf_dir).sources, names)
+
+
+@query
+def source_tokens(spark, sf_dir):
+    counted = T.tokens(corpus(spark, sf_dir).sources).filter("kind <> 'space'")
+    return counted.select("file_id", "pos", "kind", "text", "start_idx", "row", "col")
+
+
+@query
+def source_bracket_pairs(spark, sf_dir):
+    pairs = T.bracket_pairs(T.tokens(corpus(spark, sf_dir).sources))
+    return pairs.select("file_id", "pair_kind", "start_idx", "status", F.coalesce("close_start_idx", F.lit(-1)).alias("close_idx"))
+
+
+@query
+def page_script_calls(spark, sf_dir):
+    scripts = read(spark, sf_dir, "pages").select(
+        "page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"<script[^>]*+>([\s\S]*?)</script>"), F.lit(1)))
+        .alias("n", "code"),
+    ).select(F.concat_ws(":", F.col("page_id").cast("string"), F.col("n").cast("string")).alias("file_id"),
+             F.lit("javascript").alias("language"), "code")
+    return X.lexical_calls(scripts).select("file_id", "name", "line", "col")
+
+
+# ---------------------------------------------------------------- lines of documents
+def _documents(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), F.col("text").alias("code"))
+
+
+@query
+def source_lines(spark, sf_dir):
+    return L.source_lines(_documents(spark, sf_dir))
+
+
+@query
+def line_at(spark, sf_dir):
+    """One asked row per document: its length modulo 7, often beyond the text."""
+    asked = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), (F.col("n_chars") % 7).alias("row"))
+    return L.line_at(asked, _documents(spark, sf_dir), "row")
+
+
+@query
+def line_slice(spark, sf_dir):
+    asked = read(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("file_id"), (F.col("n_chars") % 5 - 1).cast("int").alias("first"),
+        (F.col("n_chars") % 5 + F.col("doc_id") % 4).cast("int").alias("last"))
+    return L.line_slice(asked, _documents(spark, sf_dir), F.col("first"), F.col("last"), cap=2)
+
+
+# ---------------------------------------------------------------- files and languages
+def _paths(spark, sf_dir):
+    """Odd paths, sizes and explicit languages, one per supplier and part block of the order lines."""
+    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_partkey") % 64).alias("part")).distinct()
+    key, part = F.col("l_suppkey"), F.col("part")
+    exts = F.array(*[F.lit(x) for x in sorted(LANGUAGE_OF)])
+    ext = F.when(key % 13 == 0, "xyz").otherwise(F.get(exts, ((key + part) % len(LANGUAGE_OF)).cast("int")))
+    ext = F.when(key % 11 == 0, F.upper(ext)).otherwise(ext)
+    folder = F.get(F.array(*[F.lit(x) for x in PATH_FOLDERS]), (part % len(PATH_FOLDERS)).cast("int"))
+    stem = F.get(F.array(*[F.lit(x) for x in PATH_STEMS]), (key % len(PATH_STEMS)).cast("int"))
+    path = F.concat(F.lit("pkg_"), key.cast("string"), F.lit("/"), folder, stem, part.cast("string"), F.lit("."), ext)
+    given = F.when(key % 5 == 0, F.when(part % 3 == 0, "PY").when(part % 3 == 1, "rust").otherwise("cobol"))
+    return lines.select(
+        path.alias("path"),
+        F.when(key % 17 == 0, F.lit(10485760) + part % 2).otherwise(key * 10).cast("bigint").alias("length"),
+        (key % 19 == 0).alias("has_nul"), given.alias("explicit_language"),
+    )
+
+
+PATH_FOLDERS = ["", "src/", "node_modules/", "build/", "builds/", "outer/", "out/", "a/.git/", ".hid/", "x/venv/y/", "dist."]
+PATH_STEMS = ["f", "_f", ".f", "lib.min", "g.map", "build"]
+
+
+@query
+def include_paths(spark, sf_dir):
+    return Fi.include_paths(_paths(spark, sf_dir)).select("path")
+
+
+@query
+def include_language(spark, sf_dir):
+    return Fi.include_paths(_paths(spark, sf_dir), language="CPP").select("path")
+
+
+@query
+def include_patterns(spark, sf_dir):
+    return Fi.include_paths(_paths(spark, sf_dir), patterns=["**/src/*.{py,js}", "pkg_1?/f*.go"]).select("path")
+
+
+@query
+def exclude_paths(spark, sf_dir):
+    return Fi.exclude_paths(_paths(spark, sf_dir), extra=["**/outer/**"]).select("path")
+
+
+@query
+def cap_files(spark, sf_dir):
+    return Fi.cap_files(Fi.exclude_paths(Fi.include_paths(_paths(spark, sf_dir)))).select("path")
+
+
+@query
+def detect_language(spark, sf_dir):
+    return Fi.detect_language(_paths(spark, sf_dir)).select("path", _text("language"), _text("language_error"))
+
+
+@query
+def language_filter(spark, sf_dir):
+    return Fi.language_filter(_paths(spark, sf_dir)).select("path")
+
+
+@query
+def admit(spark, sf_dir):
+    return Fi.admit(_paths(spark, sf_dir))[0].select("path", "length")
+
+
+def _scan_parts(spark, sf_dir):
+    matched = Fi.exclude_paths(Fi.include_paths(_paths(spark, sf_dir)))
+    kept = Fi.language_filter(matched)
+    ok, errors = Fi.admit(kept)
+    return matched, Fi.detect_language(ok, "path_only"), errors
+
+
+@query
+def scan_errors(spark, sf_dir):
+    return S.scan_errors(_scan_parts(spark, sf_dir)[2])
+
+
+@query
+def scan_summary(spark, sf_dir):
+    """Path-selected files against the corpus definitions."""
+    matched, _, errors = _scan_parts(spark, sf_dir)
+    return S.scan_summary(Fi.scan_status(matched), _defs(spark, sf_dir), errors)
+
+
+@query
+def scanned_languages(spark, sf_dir):
+    return _scan_parts(spark, sf_dir)[1].groupBy("language").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+@query
+def capabilities(spark, sf_dir):
+    """Language abilities next to the corpus' number of files per language."""
+    n_files = corpus(spark, sf_dir).files.groupBy("language").agg(F.count(F.lit(1)).alias("n_files"))
+    able = language_capabilities(spark).withColumn("extensions", F.array_join("extensions", " "))
+    return able.join(n_files, "language", "left").withColumn("n_files", F.coalesce("n_files", F.lit(0)))
+
+
+@query
+def decode_text(spark, sf_dir):
+    """Document bytes behind a byte order mark: decoded text must be the text."""
+    raw = read(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"), F.unhex(F.lit("FF"))).alias("content"))
+    return Fi.decode_text(raw).select("doc_id", "code")

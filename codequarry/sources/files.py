@@ -139,21 +139,20 @@ def detect_language(df: DataFrame, explicit: str = "explicit_language") -> DataF
                          F.when(language.isNull(), failure).alias("language_error"))
 
 
-def language_filter(df: DataFrame, language: str | None = None) -> DataFrame:
-    """Keep files whose extension has definition rules (and is the asked language); the rest go silently."""
-    ext = extension(F.col("path"))
+def _kept_extensions(language: str | None) -> list[str]:
     allowed = languages_with("definition")
     if language is not None:
         allowed = [lang for lang in allowed if lang == resolve_language(language)]
-    keep = [e for lang in allowed for e in EXTENSIONS[lang]]
-    return df.filter(ext.isin(keep))
+    return [e for lang in allowed for e in EXTENSIONS[lang]]
 
 
-def admit(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
-    """Split files into admitted ones and error rows ``(path, stage, error)``.
+def language_filter(df: DataFrame, language: str | None = None) -> DataFrame:
+    """Keep files whose extension has definition rules (and is the asked language); the rest go silently."""
+    return df.filter(extension(F.col("path")).isin(_kept_extensions(language)))
 
-    Works on ``content`` (bytes), or on metadata columns ``length`` and ``has_nul`` where there are no bytes.
-    """
+
+def _refusal(df: DataFrame, content: str) -> Column:
+    """Why a file is refused, or null. Judges bytes, or ``length`` and ``has_nul`` where there are none."""
     if content in df.columns:
         length = F.coalesce(F.col("length"), F.octet_length(content)) if "length" in df.columns \
             else F.octet_length(content)
@@ -161,12 +160,16 @@ def admit(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame
         unread = F.col(content).isNull()
     else:
         length, nul, unread = F.col("length"), F.col("has_nul"), F.lit(False)
-    reason = (
+    return (
         F.when(length > MAX_BYTES, F.concat(F.lit("file too large: "), length.cast("string")))
         .when(unread, "read failed")
         .when(F.coalesce(nul, F.lit(False)), "binary file: NUL byte")
     )
-    judged = df.withColumn("_error", reason)
+
+
+def admit(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
+    """Split files into admitted ones and error rows ``(path, stage, error)``."""
+    judged = df.withColumn("_error", _refusal(df, content))
     ok = judged.filter(F.col("_error").isNull()).drop("_error")
     errors = judged.filter(F.col("_error").isNotNull()).select(
         "path", F.lit("admit").alias("stage"), F.col("_error").alias("error")
@@ -174,6 +177,13 @@ def admit(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame
     return ok, errors
 
 
+def scan_status(df: DataFrame, language: str | None = None, content: str = "content") -> DataFrame:
+    """Matched files with ``scanned`` and ``error``, in one pass: skipped files have neither."""
+    skipped = ~extension(F.col("path")).isin(_kept_extensions(language))
+    error = F.when(~skipped, _refusal(df, content))
+    return df.withColumns({"error": error, "scanned": ~skipped & error.isNull()})
+
+
 def decode_text(df: DataFrame, content: str = "content", out: str = "code") -> DataFrame:
     """Bytes to text: bad UTF-8 becomes U+FFFD, one leading byte order mark is dropped."""
     text = F.make_valid_utf8(F.col(content).cast("string"))
