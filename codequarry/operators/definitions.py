@@ -17,7 +17,7 @@ KINDS = ["function", "class", "method", "interface", "type", "enum", "struct", "
 SPECIFIC_KINDS = ["struct", "interface", "class", "enum", "trait"]   # rank 3
 GENERIC_KINDS = ["type"]                                             # rank 1
 
-_PART_NODES = 1 << 16
+_PART_BITS = 16   # 65,536 nodes
 
 
 def kind_rank(kind: Column) -> Column:
@@ -96,15 +96,16 @@ def file_results(defs: DataFrame, files: DataFrame, extra: Sequence[str] = ()) -
     A list covers at most 65,536 nodes of a file, so no list grows without bound: a bigger file gives
     several rows, numbered by ``part``, each with the file's totals.
     """
-    entry = F.struct("start_line", "seen_pre", "seen_name", "seen_pattern", "kind", "name", "end_line", *extra)
-    lists = (
-        defs.groupBy("file_id", F.floor(F.col("seen_pre") / _PART_NODES).alias("part"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select("file_id", "part", F.transform(
-            "entries", lambda e: F.struct(*[e[c].alias(c) for c in ("kind", "name", "start_line", "end_line", *extra)])
-        ).alias("definitions"))
+    entry = F.struct(*match_order(), "kind", "name", "end_line", *extra)
+    shown = [c for c in ("kind", "name", "start_line", "end_line", *extra)]
+    parts = defs.groupBy("file_id", F.shiftright("seen_pre", _PART_BITS).alias("part")).agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
     )
-    totals = file_totals(defs, files)
+    # Totals come from the parts, so that the definitions are computed once.
+    counts = parts.select("file_id", F.explode("entries.kind").alias("kind"))
+    totals = file_totals(counts, files)
+    lists = parts.select("file_id", "part", F.transform(
+        "entries", lambda e: F.struct(*[e[c].alias(c) for c in shown])).alias("definitions"))
     return totals.join(lists, "file_id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
 
 

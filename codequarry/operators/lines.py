@@ -15,8 +15,9 @@ from codequarry.functions.text import signature_text, split_lines
 BODY_LINES = 5000
 CONTEXT_LINES = 200
 
-_CHUNK = 4096      # characters per text chunk
-_OVERLAP = 256     # characters of the next chunk repeated at the end of a chunk
+_CHUNK_BITS = 12
+_CHUNK = 1 << _CHUNK_BITS      # characters per text chunk
+_OVERLAP = 256                 # characters of the next chunk repeated at the end of a chunk
 
 
 def source_lines(sources: DataFrame) -> DataFrame:
@@ -108,10 +109,10 @@ def cut_clipped(
     """
     if cap > _OVERLAP:
         raise ValueError(f"cap must be at most {_OVERLAP}")
-    place = F.col(start) - F.floor(F.col(start) / _CHUNK) * _CHUNK + 1
+    place = F.col(start) % _CHUNK + 1
     length = F.least(F.col(end) - F.col(start), F.lit(cap))
     text = F.coalesce(F.substring(F.col("_piece"), place.cast("int"), length.cast("int")), F.lit(""))
-    on = (F.col("file_id") == F.col("_file")) & (F.floor(F.col(start) / _CHUNK) == F.col("_chunk"))
+    on = (F.col("file_id") == F.col("_file")) & (F.shiftright(start, _CHUNK_BITS) == F.col("_chunk"))
     kept = [c for c in rows.columns if c != out]
     if cut_rows is not None:
         text = F.when(F.coalesce(cut_rows, F.lit(False)), text)
@@ -121,13 +122,24 @@ def cut_clipped(
 
 
 def cut_whole(rows: DataFrame, sources: DataFrame, start: str, end: str, out: str) -> DataFrame:
-    """Fill null ``out`` with the whole span. Long spans, the rare ones, are read from the full text."""
-    length = F.col(end) - F.col(start)
+    """Fill null ``out`` with the whole span, however long. Rows must be distinct.
+
+    Rows that have their text already, the bulk, meet no join. The others are cut chunk by chunk and put
+    together again.
+    """
     todo = F.col(out).isNull() & F.col(start).isNotNull()
-    short = rows.filter(F.coalesce(~todo | (length <= _OVERLAP), F.lit(True)))
-    long = rows.filter(todo & (length > _OVERLAP)).drop(out)
-    texts = sources.select(F.col("file_id").alias("_file"), F.col("code").alias("_code"))
-    read = long.join(texts, F.col("file_id") == F.col("_file"), "left").select(
-        *long.columns, F.substring("_code", (F.col(start) + 1).cast("int"), length.cast("int")).alias(out)
+    done = rows.filter(~todo)
+    columns = [c for c in rows.columns if c != out]
+    last = F.greatest(F.col(end) - 1, F.col(start))
+    covered = F.sequence(F.shiftright(start, _CHUNK_BITS), F.shiftright(last, _CHUNK_BITS))
+    parts = rows.filter(todo).drop(out).withColumn("_at", F.explode(covered))
+    begin = F.greatest(F.col(start), F.col("_at") * _CHUNK)
+    stop = F.least(F.col(end), (F.col("_at") + 1) * _CHUNK)
+    piece = F.substring(F.col("_piece"), (begin % _CHUNK + 1).cast("int"), (stop - begin).cast("int"))
+    on = (F.col("file_id") == F.col("_file")) & (F.col("_at") == F.col("_chunk"))
+    cut = (
+        parts.join(_chunks(sources), on, "left")
+        .groupBy(*columns)
+        .agg(F.array_join(F.sort_array(F.collect_list(F.struct("_at", piece.alias("text"))))["text"], "").alias(out))
     )
-    return cut_clipped(short, sources, start, end, _OVERLAP, out, todo).unionByName(read)
+    return done.unionByName(cut)

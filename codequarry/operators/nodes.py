@@ -22,7 +22,7 @@ LARGEST_DEPTH = 64
 LISTED_DIAGNOSTICS = 20
 LISTED_ANCESTORS = 33
 
-_PART_NODES = 1 << 14
+_PART_BITS = 14
 _COORD_BITS = 32
 
 
@@ -86,7 +86,7 @@ def tree_sexp_parts(nodes: DataFrame) -> DataFrame:
     )
     return (
         opens.unionByName(closes)
-        .groupBy("file_id", F.floor(F.col("at") / _PART_NODES).alias("part"))
+        .groupBy("file_id", F.shiftright("at", _PART_BITS).alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct("at", "side", "piece"))).alias("pieces"))
         .select("file_id", "part", F.array_join(F.col("pieces.piece"), "").alias("text"))
     )
@@ -157,7 +157,7 @@ def node_at(
 ) -> DataFrame:
     """Smallest node spanning each cleaned position (its end is exclusive); all null for an unknown file.
 
-    (row, col) becomes one ordered number, so the lookup is a point-in-interval join in cells as small as 64
+    (row, col) becomes one ordered number, so the lookup is a point-in-interval join in cells as small as 256
     columns: a file of one long line is no special case. The containing nodes are nested, so the one with
     the largest ``pre`` is the deepest. A position outside every node gets the root.
     """

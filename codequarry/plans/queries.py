@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from codequarry.functions.limits import first_k
 from codequarry.operators import calls as C
 from codequarry.operators import definitions as D
 from codequarry.operators import imports as I
@@ -39,6 +38,11 @@ def _defs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.definitions(data.nodes, data.sources)
 
 
+def stored_defs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The definitions as a stored table: what reports, outlines and text cuts start from."""
+    return shared_table(spark, sf_dir, "definitions", _defs)
+
+
 def _text(column: str):
     return F.coalesce(F.col(column), F.lit("")).alias(column)
 
@@ -51,13 +55,14 @@ def definitions_by_kind(spark, sf_dir):
 
 @query
 def definitions_dedupe(spark, sf_dir):
-    defs = first_k(_defs(spark, sf_dir), ["file_id"], D.match_order(), 1 << 30, "place")
-    return defs.select("file_id", "language", "kind", "name", "start_line", "end_line", "place")
+    # The place in the file checks the order; a corpus file holds at most 256 blocks.
+    place = F.row_number().over(Window.partitionBy("file_id").orderBy(*D.match_order())).alias("place")
+    return _defs(spark, sf_dir).select("file_id", "language", "kind", "name", "start_line", "end_line", place)
 
 
 @query
 def count_by_kind(spark, sf_dir):
-    return D.count_by_kind(_defs(spark, sf_dir))
+    return D.count_by_kind(stored_defs(spark, sf_dir))
 
 
 @query
@@ -67,7 +72,7 @@ def file_results(spark, sf_dir):
         d["kind"], F.lit(" "), d["name"], F.lit(" "), d["start_line"].cast("string"), F.lit("-"),
         d["end_line"].cast("string")))
     kinds = F.transform(F.map_entries("by_kind"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return D.file_results(_defs(spark, sf_dir), files).select(
+    return D.file_results(stored_defs(spark, sf_dir), files).select(
         "file_id", "total", F.array_join(kinds, ",").alias("kinds"),
         F.coalesce(F.array_join(listed, ";"), F.lit("")).alias("listed"),
     )
@@ -75,24 +80,24 @@ def file_results(spark, sf_dir):
 
 @query
 def by_language(spark, sf_dir):
-    return S.by_language(corpus(spark, sf_dir).files, _defs(spark, sf_dir))
+    return S.by_language(corpus(spark, sf_dir).files, stored_defs(spark, sf_dir))
 
 
 @query
 def by_kind(spark, sf_dir):
-    return S.by_kind(_defs(spark, sf_dir))
+    return S.by_kind(stored_defs(spark, sf_dir))
 
 
 @query
 def scan_rollup(spark, sf_dir):
     star = [F.coalesce(c, F.lit("*")).alias(c) for c in ("language", "kind")]
-    return S.rollup(_defs(spark, sf_dir)).select(*star, "n_definitions", "level")
+    return S.rollup(stored_defs(spark, sf_dir)).select(*star, "n_definitions", "level")
 
 
 @query
 def file_reports(spark, sf_dir):
     data = corpus(spark, sf_dir)
-    reports = S.file_reports(data.files, _defs(spark, sf_dir), data.sources, limit_per_file=20)
+    reports = S.file_reports(data.files, stored_defs(spark, sf_dir), data.sources, limit_per_file=20)
     rows = reports.select("path", "language", "total", F.explode_outer("definitions").alias("d"))
     return rows.select("path", "language", "total", *[
         F.coalesce(f"d.{c}", F.lit("" if c != "line" else 0)).alias(c) for c in ("kind", "name", "line", "signature")])
@@ -234,12 +239,12 @@ def diagnostic_summary(spark, sf_dir):
 # ---------------------------------------------------------------- outline and text cuts
 @query
 def outline(spark, sf_dir):
-    return O.outline_levels(_defs(spark, sf_dir)).select("file_id", "start_line", "name", "kind", "level")
+    return O.outline_levels(stored_defs(spark, sf_dir)).select("file_id", "start_line", "name", "kind", "level")
 
 
 @query
 def outline_text(spark, sf_dir):
-    levels = O.outline_levels(_defs(spark, sf_dir))
+    levels = O.outline_levels(stored_defs(spark, sf_dir))
     return O.outline_text(levels, corpus(spark, sf_dir).files).select("file_id", "outline")
 
 
@@ -248,17 +253,17 @@ _DEF = ("file_id", "name", "kind", "start_line")
 
 @query
 def signature(spark, sf_dir):
-    return L.signature(_defs(spark, sf_dir), corpus(spark, sf_dir).sources).select(*_DEF, "signature")
+    return L.signature(stored_defs(spark, sf_dir), corpus(spark, sf_dir).sources).select(*_DEF, "signature")
 
 
 @query
 def body(spark, sf_dir):
-    return L.with_body(_defs(spark, sf_dir), corpus(spark, sf_dir).sources, 1, 2).select(*_DEF, "body")
+    return L.with_body(stored_defs(spark, sf_dir), corpus(spark, sf_dir).sources, 1, 2).select(*_DEF, "body")
 
 
 @query
 def context(spark, sf_dir):
-    return L.with_context(_defs(spark, sf_dir), corpus(spark, sf_dir).sources, 2, 0).select(*_DEF, "context")
+    return L.with_context(stored_defs(spark, sf_dir), corpus(spark, sf_dir).sources, 2, 0).select(*_DEF, "context")
 
 
 # ---------------------------------------------------------------- structural queries
@@ -423,6 +428,10 @@ def line_slice(spark, sf_dir):
 
 # ---------------------------------------------------------------- files and languages
 def _paths(spark, sf_dir):
+    return shared_table(spark, sf_dir, "paths", odd_paths)
+
+
+def odd_paths(spark, sf_dir):
     """Odd paths, sizes and explicit languages, one per supplier and part block of the order lines."""
     lines = read(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_partkey") % 64).alias("part")).distinct()
     key, part = F.col("l_suppkey"), F.col("part")
@@ -500,7 +509,7 @@ def scan_errors(spark, sf_dir):
 def scan_summary(spark, sf_dir):
     """Path-selected files against the corpus definitions."""
     matched, _, errors = _scan_parts(spark, sf_dir)
-    return S.scan_summary(Fi.scan_status(matched), _defs(spark, sf_dir), errors)
+    return S.scan_summary(Fi.scan_status(matched), stored_defs(spark, sf_dir), errors)
 
 
 @query
