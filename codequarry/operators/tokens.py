@@ -77,11 +77,14 @@ def match_pairs(sides: DataFrame) -> DataFrame:
     paired, missing or error. ``depth`` counts the open ones of the same kind around it.
     """
     order = ["file_id", "pair_kind"]
-    running = F.sum("side").over(Window.partitionBy(*order).orderBy("pos"))
-    level = running + F.when(F.col("side") == 1, 0).otherwise(1)
+    in_order = Window.partitionBy(*order).orderBy("pos")
+    level = F.col("running") + F.when(F.col("side") == 1, 0).otherwise(1)
+    # Every stray close lowers the level of what follows; the lowest sum so far says by how much.
+    strays = F.least(F.min("running").over(in_order), F.lit(0))
     by_level = Window.partitionBy(*order, "level").orderBy("pos")
     partner = ("side", "pos", "start_idx", "end_idx", "row", "col")
-    linked = sides.withColumn("level", level).withColumns({
+    summed = sides.withColumn("running", F.sum("side").over(in_order))
+    linked = summed.withColumns({"level": level, "strays": strays}).withColumns({
         "next": F.lead(F.struct(*partner)).over(by_level), "last_side": F.lag("side").over(by_level),
     })
     closed = F.col("next")["side"] == -1
@@ -91,7 +94,7 @@ def match_pairs(sides: DataFrame) -> DataFrame:
         "file_id", "pair_kind", "pos", "start_idx", "row", "col", "text",
         F.when(is_open & closed, "paired").when(is_open, "missing").otherwise("error").alias("status"),
         *[F.when(is_open & closed, F.col("next")[c]).alias(f"close_{c}") for c in partner[1:]],
-        (F.col("level") - 1).cast("int").alias("depth"),
+        F.greatest(F.col("level") - 1 - F.col("strays"), F.lit(0)).cast("int").alias("depth"),
     )
 
 

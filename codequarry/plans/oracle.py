@@ -415,7 +415,7 @@ def text_checks() -> dict[str, str]:
             SELECT file_id, pair_kind, start_idx, CASE WHEN side = 1 AND next_side = -1 THEN 'paired' WHEN side = 1 THEN 'missing'
               ELSE 'error' END AS status, CASE WHEN side = 1 AND next_side = -1 THEN next_idx ELSE -1 END AS close_idx
             FROM linked WHERE side = 1 OR coalesce(last_side, -1) <> 1"""),
-        "page_script_calls": """
+        "page_script_calls": r"""
             WITH scripts AS (SELECT page_id, unnest(regexp_extract_all(html, '<script[^>]*>([\s\S]*?)</script>', 1)) AS code,
                 unnest(range(len(regexp_extract_all(html, '<script[^>]*>([\s\S]*?)</script>')))) AS n FROM pages),
             bare AS (SELECT page_id, n, regexp_replace(code, '"[^"]*"', '""', 'g') AS code FROM scripts)
