@@ -39,7 +39,7 @@ class Lexicon:
 
     @property
     def word(self) -> str:
-        return rf"[\p{{L}}\p{{N}}_{self.word_extra}]++"
+        return rf"[\p{{L}}\p{{M}}\p{{N}}_{self.word_extra}]++"
 
     @property
     def tile(self) -> str:

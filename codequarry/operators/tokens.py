@@ -32,7 +32,7 @@ def tokens(sources: DataFrame) -> DataFrame:
         .when(long & first.isin('"', "'", "`"), "string")
         .when(long & (first == "/"), "comment")
         .when((first == "#") & lang.isin(hash_comments), "comment")
-        .when(text.rlike(r"^[\p{L}\p{N}_$]") & ((first != "$") | long), "word")
+        .when(text.rlike(r"^[\p{L}\p{M}\p{N}_$]") & ((first != "$") | long), "word")
         .otherwise("other")
     )
     return tile_text(lexed, "code", tile, ["file_id", "language"]).withColumn("kind", kind)

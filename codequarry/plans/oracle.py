@@ -388,7 +388,7 @@ def _code_tokens() -> str:
           WHEN length(text) > 1 AND left(text, 1) IN ('"', chr(39), '`') THEN 'string'
           WHEN length(text) > 1 AND left(text, 1) = '/' THEN 'comment'
           WHEN left(text, 1) = '#' AND language IN ({hashes}) THEN 'comment'
-          WHEN regexp_matches(text, '^[\\p{{L}}\\p{{N}}_]') OR (left(text, 1) = '$' AND length(text) > 1) THEN 'word'
+          WHEN regexp_matches(text, '^[\\p{{L}}\\p{{M}}\\p{{N}}_]') OR (left(text, 1) = '$' AND length(text) > 1) THEN 'word'
           ELSE 'other' END AS kind
         FROM spread t JOIN begins b ON b.file_id = t.file_id AND b."row" = t."row")"""
 

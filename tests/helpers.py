@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from codequarry.plans.templates import Node, Template, laid_out, leaf, n, t, text_of  # noqa: F401
+from codequarry.plans.templates import Node, Template, laid_out, leaf, n, t, text_of, widened  # noqa: F401
 
 NODE_SCHEMA = (
     "file_id string, language string, pre int, last_desc int, parent int, depth int, child_ix int, type string, "
@@ -16,7 +16,7 @@ NODE_SCHEMA = (
 def tree(language, *items, file_id="f"):
     """Node rows and the text of a hand-written tree."""
     template = Template(items)
-    text = text_of(template)
+    text = widened(text_of(template))
     laid = laid_out(template)
     rows = [(file_id, language, 0, len(laid), None, 0, 0, "program", None, True, False, False, 0, len(text), 0, 0,
              text.count("\n"), len(text) - text.rfind("\n") - 1, None)]
@@ -24,7 +24,7 @@ def tree(language, *items, file_id="f"):
         rows.append((
             file_id, language, r.ix + 1, r.last_ix + 1, 0 if r.parent_ix is None else r.parent_ix + 1, r.depth,
             r.child_ix, r.node.type, r.node.field, r.node.named, r.node.is_error, r.node.is_missing, r.start[0],
-            r.end[0], r.start[1], r.start[2], r.end[1], r.end[2], r.node.text,
+            r.end[0], r.start[1], r.start[2], r.end[1], r.end[2], r.node.text if r.node.text is None else widened(r.node.text),
         ))
     return rows, text
 
