@@ -28,9 +28,7 @@ def calls(nodes: DataFrame, sources: DataFrame | None = None, rules: Sequence[Ru
 
 def callee_counts(found: DataFrame) -> DataFrame:
     """Calls per file and callee, with the place of the first one."""
-    return found.groupBy("file_id", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("name_pre", "call_pre", "pattern_ix")).alias("first_call")
-    )
+    return found.groupBy("file_id", "name").agg(F.count(F.lit(1)).alias("n"), F.min("name_pre").alias("first_call"))
 
 
 def top_callees(found: DataFrame, k: int = TOP_CALLEES) -> DataFrame:

@@ -6,6 +6,8 @@ that neither a huge file nor a far offset in it makes a cut slow.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +29,17 @@ def source_lines(sources: DataFrame) -> DataFrame:
     )
 
 
-def line_at(rows: DataFrame, sources: DataFrame, row: str, out: str = "text") -> DataFrame:
+def line_at(
+    rows: DataFrame, sources: DataFrame, row: str, out: str = "text", shape: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Add ``out`` = the line at 0-based ``row``; a missing line is the empty string.
 
-    Keyed by (file, line), so the lines of one big file are spread out.
+    Keyed by (file, line), so the lines of one big file are spread out. ``shape`` is applied to each line
+    before the join: a very long line that many rows ask for is then cut once, and never carried along.
     """
+    text = F.col("text") if shape is None else shape(F.col("text"))
     lines = source_lines(sources).select(
-        F.col("file_id").alias("_file"), (F.col("line_no") - 1).alias("_row"), F.col("text").alias("_text")
+        F.col("file_id").alias("_file"), (F.col("line_no") - 1).alias("_row"), text.alias("_text")
     )
     return rows.join(lines, (F.col("file_id") == F.col("_file")) & (F.col(row) == F.col("_row")), "left").select(
         *rows.columns, F.coalesce("_text", F.lit("")).alias(out)
@@ -57,8 +63,7 @@ def line_slice(
 
 def signature(defs: DataFrame, sources: DataFrame) -> DataFrame:
     """Add ``signature``: the line that holds the name, trimmed and clipped."""
-    lined = line_at(defs, sources, "name_row", "_line")
-    return lined.withColumn("signature", signature_text(F.col("_line"))).drop("_line")
+    return line_at(defs, sources, "name_row", "signature", signature_text)
 
 
 def clamp_context(lines: int | None) -> int:

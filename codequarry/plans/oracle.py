@@ -253,6 +253,37 @@ def node_checks() -> dict[str, str]:
             JOIN nodes a ON a.file_id = c.file_id AND a.parent = c.pre AND a.field = 'arguments' AND a.named
             WHERE c.type IN ('call', 'call_expression')
               AND EXISTS (SELECT 1 FROM nodes k WHERE k.file_id = a.file_id AND k.parent = a.pre AND k.type = 'number')"""),
+        "structural_query_text": sql(PLACED, NODES, select="""
+            SELECT file_id, 0 AS pattern_index, pre AS match_pre, pre AS capture_pre, 'cheap' AS name, leaf_text AS text FROM nodes
+            WHERE type IN ('identifier', 'property_identifier') AND regexp_matches(leaf_text, '^price_[0-3]')
+            UNION ALL SELECT c.file_id, 1, c.pre, f.pre, 'named', f.leaf_text FROM nodes c JOIN nodes f ON f.file_id = c.file_id
+              AND f.parent = c.pre AND f.field = 'function' WHERE c.type = 'call' AND f.named AND f.leaf_text IN ('price_01', 'price_02')
+            UNION ALL SELECT c.file_id, 2, c.pre, f.pre, 'member', f.leaf_text FROM nodes c JOIN nodes f ON f.file_id = c.file_id
+              AND f.parent = c.pre WHERE c.type = 'attribute' AND f.type = 'identifier' AND f.leaf_text <> 'self'"""),
+        "structural_query_quantifiers": sql(PLACED, NODES, select="""
+            SELECT file_id, 0 AS pattern_index, a.pre AS match_pre, count(k.pre) AS n_captures FROM nodes a LEFT JOIN (SELECT file_id, pre,
+                parent FROM nodes WHERE type IN ('number', 'int_literal', 'integer')) k USING (file_id)
+              WHERE a.type IN ('argument_list', 'arguments') AND k.parent = a.pre GROUP BY 1, 3
+            UNION ALL SELECT file_id, 0, pre, 0 FROM nodes a WHERE type IN ('argument_list', 'arguments') AND NOT EXISTS (SELECT 1 FROM nodes k
+              WHERE k.file_id = a.file_id AND k.parent = a.pre AND k.type IN ('number', 'int_literal', 'integer'))
+            UNION ALL SELECT c.file_id, 1, c.pre, 1 + count(b.pre) FROM nodes c JOIN nodes n ON n.file_id = c.file_id AND n.parent = c.pre
+                AND n.field = 'name' AND n.named
+              LEFT JOIN (SELECT * FROM nodes x WHERE field = 'body' AND named AND NOT EXISTS (SELECT 1 FROM nodes y WHERE y.file_id = x.file_id
+                AND y.parent = x.parent AND y.named AND y.child_ix > x.child_ix)) b ON b.file_id = c.file_id AND b.parent = c.pre
+              WHERE c.type IN ('class_declaration', 'class_specifier', 'class_definition', 'class') AND NOT EXISTS (SELECT 1 FROM nodes y
+                WHERE y.file_id = n.file_id AND y.parent = n.parent AND y.named AND y.child_ix < n.child_ix) AND c.named
+              GROUP BY c.file_id, c.pre"""),
+        "structural_query_captures": sql(PLACED, NODES, SOURCES, select="""
+            SELECT file_id, pre AS capture_pre, type, start_row, start_col, end_row, end_col,
+              substr(code, start_idx + 1, least(end_idx - start_idx, 200)) AS text
+            FROM nodes JOIN sources USING (file_id) WHERE type IN ('class_body', 'declaration_list', 'compound_statement', 'block')"""),
+        "user_rules": sql(PLACED, NODES, select="""
+            SELECT DISTINCT n.file_id, CASE p.type WHEN 'parameters' THEN 'module' WHEN 'decorator' THEN 'type' ELSE 'function' END AS kind,
+              n.leaf_text AS name, CASE WHEN p.type = 'function_definition' THEN g.start_row ELSE p.start_row END + 1 AS start_line,
+              CASE WHEN p.type = 'function_definition' THEN g.end_row ELSE p.end_row END + 1 AS end_line
+            FROM nodes n JOIN nodes p ON p.file_id = n.file_id AND p.pre = n.parent JOIN nodes g ON g.file_id = p.file_id AND g.pre = p.parent
+            WHERE n.type = 'identifier' AND n.language = 'python' AND (p.type IN ('parameters', 'decorator')
+              OR (p.type = 'function_definition' AND n.field = 'name' AND g.type = 'decorated_definition'))"""),
         "structural_query_limited": sql(PLACED, NODES, select="""
             SELECT * FROM (SELECT file_id, pre AS match_pre, count(*) OVER (PARTITION BY file_id) AS total,
               count(*) OVER (PARTITION BY file_id) > 5 AS truncated, row_number() OVER (PARTITION BY file_id ORDER BY pre) AS rank
@@ -483,6 +514,11 @@ def file_checks() -> dict[str, str]:
         "scanned_languages": sql(PATHS, select="SELECT language, count(*) AS n_files FROM judged WHERE error IS NULL GROUP BY 1"),
         "capabilities": sql(PLACED, able, select="""SELECT a.*, count(f.file_id) AS n_files FROM able a LEFT JOIN files f USING (language)
             GROUP BY ALL"""),
+        "unsupported_files": sql(PATHS, values("gaps", "family, language", [
+            (f, k) for f in ("definition", "call", "import") for k in EXTENSIONS if k not in cap[f]]),
+            """found AS (SELECT path, CASE given WHEN 'PY' THEN 'python' WHEN 'rust' THEN 'rust' WHEN 'cobol' THEN NULL ELSE language END
+              AS language FROM paths LEFT JOIN languages ON ext = lower(shown))""",
+            select="SELECT path AS file_id, 'no ' || family || ' rules for ' || language AS error FROM found JOIN gaps USING (language)"),
         "decode_text": "SELECT doc_id, text || chr(65533) AS code FROM documents",
     }
 

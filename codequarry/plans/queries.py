@@ -21,6 +21,7 @@ from codequarry.operators import report as S
 from codequarry.operators import tokens as T
 from codequarry.sources import files as Fi
 from codequarry.sources.languages import LANGUAGE_OF, language_capabilities
+from codequarry.sources.rules import rule_set
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, corpus, read
 from codequarry.plans.shared import shared_table
 
@@ -305,6 +306,49 @@ def structural_query_siblings(spark, sf_dir):
         F.col("captures")[1]["text"].alias("right_text"))
 
 
+@query
+def structural_query_text(spark, sf_dir):
+    patterns = [
+        P.node("identifier", "property_identifier").text_matches("^price_[0-3]").capture("cheap"),
+        P.node("call").field("function", P.node().text_is("price_01", "price_02").capture("named")),
+        P.node("attribute").child(P.node("identifier").text_is_not("self").capture("member")),
+    ]
+    matches = P.match(corpus(spark, sf_dir).nodes, patterns, allow_regex=True)
+    return P.capture_rows(matches).select("file_id", "pattern_index", "match_pre", "capture_pre", "name", "text")
+
+
+@query
+def structural_query_quantifiers(spark, sf_dir):
+    """Argument lists with all their numbers, and classes with their body if they have one."""
+    patterns = [
+        P.node("argument_list", "arguments").any_number(P.node("number", "int_literal", "integer").capture("number")),
+        P.node("class_declaration", "class_specifier", "class_definition", "class")
+        .field("name", P.node().first().capture("name")).optional(P.node().last().capture("body"), field="body"),
+    ]
+    matches = P.match(corpus(spark, sf_dir).nodes, patterns)
+    return matches.select("file_id", "pattern_index", "match_pre", F.size("captures").alias("n_captures"))
+
+
+@query
+def structural_query_captures(spark, sf_dir):
+    """Text of inner nodes, clipped, with their places."""
+    data = corpus(spark, sf_dir)
+    pattern = P.node("class_body", "declaration_list", "compound_statement", "block").capture("body")
+    captures = P.capture_rows(P.match(data.nodes, [pattern], data.sources))
+    return captures.select("file_id", "capture_pre", "type", "start_row", "start_col", "end_row", "end_col", "text")
+
+
+@query
+def user_rules(spark, sf_dir):
+    """A rule set of the user's own: parameters and decorated functions of Python."""
+    rules = rule_set("definition", [
+        ("python", "module", "identifier", None, "parameters"),
+        ("python", "function", "identifier", "name", "function_definition", None, "decorated_definition"),
+        ("python", "type", "identifier", None, "decorator"),
+    ])
+    return D.definitions(corpus(spark, sf_dir).nodes, rules=rules).select("file_id", "kind", "name", "start_line", "end_line")
+
+
 # ---------------------------------------------------------------- pages
 def _pages(spark, sf_dir):
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("file_id"), "html")
@@ -525,6 +569,13 @@ def capabilities(spark, sf_dir):
     return able.join(n_files, "language", "left").withColumn("n_files", F.coalesce("n_files", F.lit(0)))
 
 
+@query
+def unsupported_files(spark, sf_dir):
+    """Per rule family, the files whose language has none of its rules."""
+    files = Fi.detect_language(_paths(spark, sf_dir)).filter("language IS NOT NULL").withColumnRenamed("path", "file_id")
+    return D.unsupported(files).unionByName(D.unsupported(files, "call")).unionByName(D.unsupported(files, "import"))
+
+
 @query
 def decode_text(spark, sf_dir):
     """Document bytes behind a byte order mark: decoded text must be the text."""
