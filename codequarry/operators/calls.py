@@ -18,7 +18,10 @@ LISTED_CALLS = 500
 
 def calls(nodes: DataFrame, sources: DataFrame | None = None, rules: Sequence[Rule] = CALL_RULES) -> DataFrame:
     """One row per call match: callee name and its 1-based line. PHP names lose their namespace."""
-    found = with_names(match_rules(nodes, rules), sources)
+    matched = match_rules(nodes, rules).select(
+        "file_id", "language", "name", "name_row", "name_pre", "name_start", "name_end", "kind_pre", "pattern_ix"
+    )
+    found = with_names(matched, sources)
     plain = F.when(F.col("language") == "php", F.substring_index("name", "\\", -1)).otherwise(F.col("name"))
     return found.filter(F.coalesce("name", F.lit("")) != "").select(
         "file_id", "language", plain.alias("name"), (F.col("name_row") + 1).alias("line"),

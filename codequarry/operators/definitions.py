@@ -29,7 +29,12 @@ def raw_definitions(
 ) -> DataFrame:
     """Every definition match, before the dedupe; lines are 1-based."""
     allowed = [r for r in rules if r.kind in KINDS]
-    found = with_names(match_rules(nodes, allowed), sources)
+    # Only what is shown: both ways to a name then read the same columns and share their shuffles.
+    matched = match_rules(nodes, allowed).select(
+        "file_id", "language", "kind", "name", "name_row", "name_pre", "name_start", "name_end", "kind_pre",
+        "kind_start_row", "kind_end_row", "pattern_ix",
+    )
+    found = with_names(matched, sources)
     return found.filter(F.col("name").isNotNull()).select(
         "file_id", "language", "kind", "name",
         (F.col("kind_start_row") + 1).alias("start_line"), (F.col("kind_end_row") + 1).alias("end_line"),

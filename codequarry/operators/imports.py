@@ -15,7 +15,11 @@ from codequarry.sources.rules import IMPORT_RULES, Rule
 
 def imports(nodes: DataFrame, sources: DataFrame, rules: Sequence[Rule] = IMPORT_RULES) -> DataFrame:
     """One row per import match: unquoted module, 1-based statement line, clipped statement text."""
-    found = with_names(match_rules(nodes, rules), sources)
+    matched = match_rules(nodes, rules).select(
+        "file_id", "language", "name", "name_pre", "name_start", "name_end", "kind_pre", "kind_start_row",
+        "kind_start_idx", "kind_end_idx", "pattern_ix",
+    )
+    found = with_names(matched, sources)
     found = cut_clipped(found, sources, "kind_start_idx", "kind_end_idx", CLIP_CHARS, "raw")
     return found.select(
         "file_id", "language", unquote(F.col("name")).alias("module"), (F.col("kind_start_row") + 1).alias("line"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codequarry.functions.layout import spread_files
 from codequarry.functions.lexicon import HTML_COMMENT, HTML_RAW, HTML_TILE, LEXICONS, by_language
 
 _OPEN, _CLOSE = "([{", ")]}"
@@ -41,7 +42,7 @@ def tokens(sources: DataFrame) -> DataFrame:
 def tile_text(df: DataFrame, column: str, tile: Column | str, keep: list[str]) -> DataFrame:
     """Cut a text column into tiles with offsets and positions; keyed by ``file_id``."""
     pattern = F.lit(tile) if isinstance(tile, str) else tile
-    cut = df.repartition("file_id").select(
+    cut = spread_files(df).select(
         *keep, F.posexplode(F.regexp_extract_all(F.col(column), pattern, F.lit(0))).alias("pos", "text")
     )
     before = Window.partitionBy("file_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
