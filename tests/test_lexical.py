@@ -62,3 +62,13 @@ def test_lexical_references(spark):
     names = spark.createDataFrame([(composed,), ("x" + composed,), ("f",)], "name string")
     got = collect(X.lexical_references(src, names), "file_id", "name", "line", "col")
     assert got == sorted([("f0", composed, 1, 1), ("f0", "f", 2, 1), ("f0", composed, 2, 3), ("f1", "x" + composed, 1, 1), ("f1", "f", 1, 7)])
+
+
+def test_many_headers_in_one_long_line(spark):
+    count = 30_000
+    code = "".join(f"function f{i}(a){{return g(a)}}" for i in range(count))
+    src = sources(spark, "javascript", code)
+    found = X.lexical_definitions(src).select("name", "kind", "start_line", "end_line", "name_col").collect()
+    assert len(found) == count and {(r.kind, r.start_line, r.end_line) for r in found} == {("function", 1, 1)}
+    assert all(code.startswith(r.name + "(", r.name_col) for r in found)
+    assert X.lexical_calls(src).groupBy("name").count().collect() == [("g", count)]
