@@ -27,24 +27,37 @@ def pieces(text: str, special: dict[str, int]) -> list[str]:
     return [p for part, is_special in split_special(text, special) for p in ([part] if is_special else SPLIT.findall(part))]
 
 
+class _Slots(dict):
+    """Numbers chunks as they come, and lists those that are new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class ChunkEncoder:
     """Ids of whole texts from ids of their chunks.
 
     A chunk begins at each space or line feed. The split pattern never joins characters over such a border unless white
     space meets white space there; texts where that happens are split by the pattern itself. ``encode_many`` gives the
-    ids of distinct chunks. Once the memory holds ``bound`` chunks, only those seen more than once stay; results never
+    ids of distinct chunks. Once the memory holds more than ``bound`` chunks, only those seen more than once stay; results never
     depend on what it holds.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 600_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 900_000):
         self.encode_many, self.special, self.bound = encode_many, special, bound
         self._reset()
 
     def _reset(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot = _Slots()
         self.pool = np.zeros(1 << 16, np.int32)
         self.used = 0
-        self.start, self.length, self.open = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.start, self.length, self.open = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
         self.seen = np.zeros(0, np.int32)
 
     def _forget(self) -> None:
@@ -54,40 +67,36 @@ class ChunkEncoder:
         self._reset()
         if len(often) > self.bound // 2:
             return
-        self.slot = {names[i]: k for k, i in enumerate(often)}
+        self.slot.update((names[i], k) for k, i in enumerate(often.tolist()))
         self.length, self.open, self.seen = length[often], open_[often], np.ones(len(often), np.int32)
-        ends = np.cumsum(self.length)
+        ends = np.cumsum(self.length, dtype=np.int64)
         self.start, self.used = ends - self.length, int(ends[-1]) if len(ends) else 0
         self.pool = pool[np.repeat(start[often] - self.start, self.length) + np.arange(self.used)]
 
-    def _learn(self, flat: list[str]) -> None:
-        new = [c for c in set(flat) if c not in self.slot]
-        if len(self.slot) + len(new) > self.bound and self.slot:
-            self._forget()
-            new = [c for c in set(flat) if c not in self.slot]
-        if not new:
-            return
+    def _learn(self, new: list[str]) -> None:
         ids = self.encode_many(new)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
         total = int(lengths.sum())
         if self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(total, self.used) + 1024, np.int32)])
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(total, self.used // 2) + 1024, np.int32)])
         self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
-        starts = self.used + np.cumsum(lengths) - lengths
+        starts = self.used + np.cumsum(lengths, dtype=np.int64) - lengths
         self.used += total
-        for c in new:
-            self.slot[c] = len(self.slot)
         bare = [c[1:] if c[:1] in (" ", "\n") else c for c in new]
         self.start, self.length = np.concatenate([self.start, starts]), np.concatenate([self.length, lengths])
         self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
         self.open = np.concatenate([self.open, np.array([b == "" or b[0].isspace() or b[-1].isspace() for b in bare], bool)])
 
     def _slots(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        flat = list(chain.from_iterable(lists))
-        self._learn(flat)
-        slots = np.fromiter(map(self.slot.__getitem__, flat), np.int64, len(flat))
+        if len(self.slot) > self.bound:
+            self._forget()
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int32, int(counts.sum()))
+        if self.slot.new:
+            self._learn(self.slot.new)
+            self.slot.new = []
         self.seen += np.bincount(slots, minlength=len(self.seen)).astype(np.int32)
-        return slots, np.fromiter(map(len, lists), np.int64, len(lists))
+        return slots, counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
@@ -102,7 +111,7 @@ class ChunkEncoder:
                 lists[i] = pieces(texts[i], self.special)
             slots, counts = self._slots(lists)
         lengths = self.length[slots]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.pool[np.repeat(self.start[slots] - ends + lengths, lengths) + np.arange(total)]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]

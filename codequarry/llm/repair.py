@@ -19,21 +19,23 @@ from codequarry.llm.shared import ship
 #: First bytes of a block; a fixed value of this file format.
 MAGIC = b"RPR1"
 #: Tokens after which a block is closed; at least one document.
-BLOCK = 1_000_000
+BLOCK = 400_000
 #: A pair becomes a rule if it stands this often in a block, and no block has more than RULES of them.
-LEAST, RULES, ROUND = 64, 12_288, 4096
+LEAST, RULES, ROUND = 32, 12_288, 4096
 #: Entries of the table of hashes that pairs are counted in first.
-SLOTS = 1 << 19
+SLOT_BITS = 17
+SLOTS = 1 << SLOT_BITS
 
 
 def compress(ids: np.ndarray, counts: np.ndarray, least: int = LEAST, rules: int = RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``pairs, sequence, lengths``: Re-Pair of documents that stand one after another in ``ids``, ``counts`` long.
 
     Round by round, the pairs that stand most often become nonterminals (numbered on from the largest id) and replace
-    their occurrences, never over the end of a document, until none stands ``least`` times. Where occurrences of a round
+    their occurrences, never over the end of a document, until none stands ``least`` times or a round shortens the whole by
+    less than a hundredth. Where occurrences of a round
     overlap, every second one from the left is replaced; the rest are counted anew in the next round. Pairs are counted
-    in a small table of hashes first, and exactly only where that count is high. ``lengths`` is what is left of each
-    document.
+    in a small table of hashes; of pairs that share a slot one is counted exactly, and the hash changes every round.
+    ``lengths`` is what is left of each document.
     """
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
@@ -41,40 +43,49 @@ def compress(ids: np.ndarray, counts: np.ndarray, least: int = LEAST, rules: int
     last[ends[counts > 0]] = True
     first = int(ids.max()) + 1 if len(ids) else 1
     pairs: list[np.ndarray] = []
-    made = 0
+    made, turn = 0, 0
+    owner = np.zeros(SLOTS, np.int64)
     while made < rules and len(seq) > 1:
-        slots = (seq[:-1] * np.uint32(2654435761) + seq[1:] * np.uint32(40503)) >> np.uint32(13)
-        slots[last[:-1]] = SLOTS - 1
-        heavy = np.bincount(slots, minlength=SLOTS) >= least
-        heavy[-1] = False
-        at = np.flatnonzero(heavy[slots])
+        left, right, turn = seq[:-1], seq[1:], turn + 1
+        slots = ((left * np.uint32(2654435761 + 2 * turn) ^ right) * np.uint32(2246822519)) >> np.uint32(32 - SLOT_BITS)
+        slots[last[:-1]] = 0
+        at = np.flatnonzero((np.bincount(slots, minlength=SLOTS) >= least)[slots] & ~last[:-1])
         if not len(at):
             break
-        keys = seq[at].astype(np.int64) << 32 | seq[at + 1]
-        values, place, often = np.unique(keys, return_inverse=True, return_counts=True)
-        bar = max(least, int(often.max()) // 8)
-        chosen = often >= bar
-        if int(often.max()) < least:
+        slots = slots[at]
+        keys = left[at].astype(np.int64) << 32 | right[at]
+        owner[slots] = keys
+        mine = owner[slots] == keys
+        at, slots, keys = at[mine], slots[mine], keys[mine]
+        often = np.bincount(slots, minlength=SLOTS)
+        most = int(often.max())
+        if most < least:
             break
+        chosen = often >= max(least, most // 8)
         room = min(ROUND, rules - made)
         if int(chosen.sum()) > room:
             chosen[:] = False
             chosen[np.argsort(-often, kind="stable")[:room]] = True
-        hit = chosen[place]
-        at, keys = at[hit], keys[hit]
+        hit = chosen[slots]
+        at, slots, keys = at[hit], slots[hit], keys[hit]
         fresh = np.ones(len(at), bool)
         fresh[1:] = np.diff(at) != 1
         order = np.arange(len(at))
         stay = (order - np.maximum.accumulate(np.where(fresh, order, 0))) % 2 == 0
-        at, keys = at[stay], keys[stay]
-        used, rank = np.unique(keys, return_inverse=True)
-        seq[at] = (first + made + rank).astype(np.uint32)
+        at, slots, keys = at[stay], slots[stay], keys[stay]
+        used = np.flatnonzero(np.bincount(slots, minlength=SLOTS))
+        number = np.zeros(SLOTS, np.uint32)
+        number[used] = np.arange(first + made, first + made + len(used))
+        seq[at] = number[slots]
         last[at] = last[at + 1]
         rest = np.ones(len(seq), bool)
         rest[at + 1] = False
         seq, last = seq[rest], last[rest]
-        pairs.append(np.stack([used >> 32, used & 0xFFFFFFFF], axis=1))
+        shortened = len(at) * 100 >= len(rest)
+        pairs.append(np.stack([owner[used] >> 32, owner[used] & 0xFFFFFFFF], axis=1))
         made += len(used)
+        if not shortened:
+            break
     table = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
     lengths = np.zeros(len(counts), np.int64)
     lengths[counts > 0] = np.diff(np.concatenate([[-1], np.flatnonzero(last)]))
