@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codequarry.llm.shared import broadcast_if_small, checkpointed, stored, word_count
+from codequarry.llm.shared import WORD, broadcast_if_small, checkpointed, stored, word_count
 
 
 def _lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -41,7 +41,8 @@ def _windows(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, th, gone``: for each document with repeated lines, their numbers from 0 in order (``th``: hash of its text).
+    """``id, th, gone``: for each document with repeated lines, the numbers from 0 in order of all lines from the first to the last of
+    each run, also those without words that stand between (``th``: hash of the document's text).
 
     A line is repeated if it lies in a run of lines of ``min_words`` words or more that equals a run at an earlier place:
     in a document with a smaller id, or further up in the same one. Lines without words neither count nor break a run.
@@ -79,19 +80,21 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 50, id_column: str = "
 
     A null text has no lines and stays null; an empty one has one line. A document all of whose lines are repeated becomes
     the empty text. Rows equal in id and text are one document: each is returned, with the same lines removed. A null id
-    stands before all others. Lines without words are only removed inside a removed run. No documents: no rows.
+    stands before all others. Lines without words always stay. No documents: no rows.
     """
     gone = checkpointed(repeated_lines(docs, min_words, id_column, text))
     width = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
     # true where a line goes; nothing stands after the last such line
     flags = F.flatten(F.transform("gone", lambda x, k: F.concat(
         F.array_repeat(F.lit(False), x - F.coalesce(F.get("gone", k - 1), F.lit(-1)) - 1), F.array(F.lit(True)))))
-    marked = gone.select(F.col("id").alias("gone_id"), F.col("th").alias("gone_th"), F.size("gone").alias("n_gone"), flags.alias("flags"))
+    marked = gone.select(F.col("id").alias("gone_id"), F.col("th").alias("gone_th"), flags.alias("flags"))
     value = F.col(f"`{text}`")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_column}`").alias("id"), value.alias("text"),
                        F.xxhash64(F.coalesce(value, F.lit(""))).alias("th"))
     joined = rows.join(broadcast_if_small(marked, sum(width), 400_000), F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_th")), "left")
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.coalesce(F.get("flags", i), F.lit(False))), "\n")
-    return joined.select(
-        "doc", F.coalesce(F.length("text") - F.length(F.translate("text", "\n", "")) + 1, F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("n_gone", F.lit(0)).cast("long").alias("n_removed"), F.when(F.col("flags").isNull(), F.col("text")).otherwise(left).alias("clean"))
+    stays = F.filter(F.split("text", "\n", -1), lambda x, i: ~(F.coalesce(F.get("flags", i), F.lit(False)) & x.rlike(WORD)))
+    n_lines = F.coalesce(F.length("text") - F.length(F.translate("text", "\n", "")) + 1, F.lit(0)).cast("long")
+    judged = joined.select("doc", "text", n_lines.alias("n_lines"), F.when(F.col("flags").isNotNull(), stays).alias("stays"))
+    return judged.select(
+        "doc", "n_lines", F.when(F.col("stays").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("stays")).cast("long").alias("n_removed"),
+        F.when(F.col("stays").isNull(), F.col("text")).otherwise(F.array_join("stays", "\n")).alias("clean"))
