@@ -96,7 +96,7 @@ class ByteBPE:
         data = text.encode("utf-8")
         last = [-1] * (len(data) + 1)
         known, whole = self.known, self.whole
-        if len(known) > 1 << 20:
+        if len(known) > 1 << 18:
             known.clear()
         for end, (token, length) in self.matches.iter(data.decode("latin-1")):
             if last[end + 1] >= 0:

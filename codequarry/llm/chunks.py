@@ -49,7 +49,7 @@ class ChunkEncoder:
     depend on what it holds.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 900_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 500_000):
         self.encode_many, self.special, self.bound = encode_many, special, bound
         self._reset()
 
