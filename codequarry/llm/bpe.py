@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codequarry.llm.chunks import SPLIT, ChunkEncoder, portions, split_special
+from codequarry.llm.chunks import SPLIT, ChunkEncoder, portions, slices, split_special
 from codequarry.llm.shared import ship
 
 
@@ -134,13 +134,16 @@ class ByteBPE:
         return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
-_BUILT: dict[int, object] = {}
+_BUILT: dict[tuple[str, int], object] = {}
 
 
-def built(key: str, content: Broadcast, make):
-    """What ``make`` builds from a broadcast vocabulary, once for each Python worker."""
-    name = hash((key, content.value))
+def built(key: str, content: Broadcast, make, beside: tuple[str, ...] = ()):
+    """What ``make`` builds from a broadcast vocabulary, once for each Python worker. Workers outlive a stage, so what was
+    built for other keys (but those ``beside``) goes."""
+    name = (key, hash(content.value))
     if name not in _BUILT:
+        for other in [n for n in _BUILT if n[0] not in (key, *beside)]:
+            del _BUILT[other]
         _BUILT[name] = make(content.value)
     return _BUILT[name]
 
@@ -171,8 +174,8 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: s
     schema = T.StructType([f for f in slim.schema if f.name != text] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = built("bpe", content, _encoder)
-        for batch in batches:
+        encoder = built("bpe", content, _encoder, ("bytes",))
+        for batch in slices(batches):
             texts = batch.column(len(rest)).to_pylist()
             for begin, end in portions(texts):
                 flat, counts = encoder.encode(texts[begin:end])
@@ -191,7 +194,7 @@ def bpe_decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", text:
     at = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, begins = built("bytes", content, lambda c: ByteBPE(c).byte_table())
+        table, begins = built("bytes", content, lambda c: ByteBPE(c).byte_table(), ("bpe",))
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
                 batch = whole.slice(first, 256)

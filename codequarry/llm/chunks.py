@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 #: The split of byte-level BPE vocabularies before merges; a fixed value of the public format.
@@ -49,7 +50,7 @@ class ChunkEncoder:
     depend on what it holds.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 500_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 200_000):
         self.encode_many, self.special, self.bound = encode_many, special, bound
         self._reset()
 
@@ -118,6 +119,13 @@ class ChunkEncoder:
         return ids, np.diff(bounds)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of some ``rows``, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def portions(texts: list, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``most`` characters, at least one text each."""
     begin, size = 0, 0

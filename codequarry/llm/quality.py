@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codequarry.llm.bpe import built, vocabulary
-from codequarry.llm.chunks import SPLIT, ChunkEncoder, portions
+from codequarry.llm.chunks import SPLIT, ChunkEncoder, portions, slices
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,7 @@ def with_quality(docs: DataFrame, vocabularies: dict[str | None, str], bands: di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([pa.field(f.name, {T.LongType: pa.int64(), T.DoubleType: pa.float64(), T.BooleanType: pa.bool_()}[type(f.dataType)]) for f in MEASURES])
-        for batch in batches:
+        for batch in slices(batches):
             texts, languages = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for first, last in portions(texts):
                 rows = [None] * (last - first)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from codequarry.llm.bpe import built, vocabulary
-from codequarry.llm.chunks import ChunkEncoder, portions
+from codequarry.llm.chunks import ChunkEncoder, portions, slices
 from codequarry.llm.shared import ship
 
 #: First bytes of a block; a fixed value of this file format.
@@ -209,7 +209,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
             number, base, held, sizes, ids = number + 1, base + len(flat), [], [], []
             return row
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             for begin, end in portions(texts):
                 flat, counts = encoder.encode(texts[begin:end])
