@@ -52,9 +52,9 @@ class ChunkEncoder:
 
     def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 200_000):
         self.encode_many, self.special, self.bound = encode_many, special, bound
-        self._reset()
+        self.clear()
 
-    def _reset(self) -> None:
+    def clear(self) -> None:
         self.slot = _Slots()
         self.pool = np.zeros(1 << 16, np.int32)
         self.used = 0
@@ -65,7 +65,7 @@ class ChunkEncoder:
         """Keeps the chunks seen more than once; all go if they are most of the memory."""
         often = np.flatnonzero(self.seen > 1)
         names, pool, start, length, open_ = list(self.slot), self.pool, self.start, self.length, self.open
-        self._reset()
+        self.clear()
         if len(often) > self.bound // 2:
             return
         self.slot.update((names[i], k) for k, i in enumerate(often.tolist()))
@@ -126,7 +126,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(first, rows)
 
 
-def portions(texts: list, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def portions(texts: list, most: int = 400_000) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``most`` characters, at least one text each."""
     begin, size = 0, 0
     for i, t in enumerate(texts):

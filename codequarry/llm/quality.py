@@ -89,14 +89,16 @@ def with_quality(docs: DataFrame, vocabularies: dict[str | None, str], bands: di
     """
     spark = docs.sparkSession
     contents = {k: vocabulary(spark, p) for k, p in vocabularies.items()}
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-                       F.col(f"`{language}`").cast("string").alias("lang"))
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    places = docs.columns.index(text), docs.columns.index(language)
     schema = T.StructType([slim.schema["doc"], T.StructField("quality", MEASURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([pa.field(f.name, {T.LongType: pa.int64(), T.DoubleType: pa.float64(), T.BooleanType: pa.bool_()}[type(f.dataType)]) for f in MEASURES])
         for batch in slices(batches):
-            texts, languages = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            whole = batch.column(0)
+            texts = [t or "" for t in whole.field(places[0]).to_pylist()]
+            languages = [None if x is None else str(x) for x in whole.field(places[1]).to_pylist()]
             for first, last in portions(texts):
                 rows = [None] * (last - first)
                 by: dict[str | None, list[int]] = {}
@@ -108,7 +110,9 @@ def with_quality(docs: DataFrame, vocabularies: dict[str | None, str], bands: di
                     bounds = np.concatenate([[0], np.cumsum(counts)])
                     for k, i in enumerate(at):
                         rows[i - first] = _row(texts[i], ids[bounds[k] : bounds[k + 1]], partial, bands.get(languages[i], bands[None]), min_words, max_repeated)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(rows, kind)], ["doc", "quality"])
+                yield pa.RecordBatch.from_arrays([whole.slice(first, last - first), pa.array(rows, kind)], ["doc", "quality"])
+        for content in contents.values():  # workers stay for later stages; what they remember of this one's texts need not
+            built("quality", content, _meter)[0].clear()
 
     return slim.mapInArrow(run, schema)
 

@@ -20,6 +20,9 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Makes this package importable in Python workers on all nodes, once for each application, as ``--py-files`` would."""
+    # a row is a text here, so batches of 10,000 rows would be tens of megabytes in each worker
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
