@@ -181,6 +181,7 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: s
                 flat, counts = encoder.encode(texts[begin:end])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(begin, end - begin) for i in range(len(rest))), lists], [*rest, ids])
+        encoder.done()
 
     return slim.mapInArrow(run, schema)
 

@@ -112,7 +112,7 @@ def with_quality(docs: DataFrame, vocabularies: dict[str | None, str], bands: di
                         rows[i - first] = _row(texts[i], ids[bounds[k] : bounds[k + 1]], partial, bands.get(languages[i], bands[None]), min_words, max_repeated)
                 yield pa.RecordBatch.from_arrays([whole.slice(first, last - first), pa.array(rows, kind)], ["doc", "quality"])
         for content in contents.values():  # workers stay for later stages; what they remember of this one's texts need not
-            built("quality", content, _meter)[0].clear()
+            built("quality", content, _meter)[0].done()
 
     return slim.mapInArrow(run, schema)
 

@@ -220,6 +220,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
                     yield closed()
         if held:
             yield closed()
+        encoder.done()
 
     dealt.mapInArrow(run, FILE_SCHEMA.format(id=kind)).write.parquet(path)
 
