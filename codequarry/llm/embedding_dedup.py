@@ -67,7 +67,7 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.93, id_column: str
 
     def settle(own: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
-            return pd.DataFrame({"row": [], "cell": [], "home": []})
+            return pd.DataFrame({"point": [], "cell": [], "home": []})
         if not len(centres):
             return pd.DataFrame({"point": own["point"], "cell": 0, "home": True})
         x, p = _unit(own["v"]), _unit(centres.sort_values("number")["v"])
