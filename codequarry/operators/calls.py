@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codequarry.functions.limits import first_k, with_totals
@@ -39,14 +39,13 @@ def top_callees(found: DataFrame, k: int = TOP_CALLEES) -> DataFrame:
     return first_k(callee_counts(found), ["file_id"], [F.desc("n"), F.asc("first_call")], k).drop("first_call")
 
 
-def listed_calls(found: DataFrame, limit: int | None = LISTED_CALLS) -> DataFrame:
+def listed_calls(found: DataFrame, limit: int | None = None) -> DataFrame:
     """Calls in order with the file's uncapped ``total``; at most ``limit`` rows per file if one is set."""
+    order = [F.col(c) for c in ("name_pre", "call_pre", "pattern_ix")]
     if limit is None:
-        return with_totals(found, found, ["file_id"], "total")
-    return with_totals(
-        first_k(found, ["file_id"], [F.col(c) for c in ("name_pre", "call_pre", "pattern_ix")], limit),
-        found, ["file_id"], "total",
-    )
+        ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("file_id").orderBy(*order)))
+        return ranked.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("file_id")))
+    return with_totals(first_k(found, ["file_id"], order, limit), found, ["file_id"], "total")
 
 
 def corpus_top_callees(found: DataFrame, k: int = TOP_CALLEES, by: Sequence[str] = ()) -> DataFrame:

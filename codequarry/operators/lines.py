@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from codequarry.functions.text import signature_text, split_lines
 
-# Most lines in a body, most context lines on either side.
+# Fixed values that interactive callers ask for: lines in a body, context lines on either side.
 BODY_LINES = 5000
 CONTEXT_LINES = 200
 
@@ -47,17 +47,18 @@ def line_at(
 
 
 def line_slice(
-    rows: DataFrame, sources: DataFrame, first: Column, last: Column, cap: int = BODY_LINES,
+    rows: DataFrame, sources: DataFrame, first: Column, last: Column, cap: int | None = None,
     out: str = "text", flag: str = "truncated",
 ) -> DataFrame:
-    """Add lines ``first..last`` (1-based, inclusive, clamped to the file), at most ``cap``, and a flag."""
+    """Add lines ``first..last`` (1-based, inclusive, clamped to the file), all or at most ``cap``, and a flag."""
     held = sources.select(F.col("file_id").alias("_file"), split_lines(F.col("code")).alias("_lines"))
     cut = rows.withColumns({"_first": F.greatest(first, F.lit(1)), "_last": last})
     count = F.coalesce(F.size("_lines"), F.lit(0))
     want = F.greatest(F.least(F.col("_last"), count) - F.col("_first") + 1, F.lit(0))
-    taken = F.array_join(F.slice("_lines", F.col("_first").cast("int"), F.least(want, F.lit(cap)).cast("int")), "\n")
+    most = want if cap is None else F.least(want, F.lit(cap))
+    taken = F.array_join(F.slice("_lines", F.col("_first").cast("int"), most.cast("int")), "\n")
     return cut.join(held, F.col("file_id") == F.col("_file"), "left").select(
-        *rows.columns, F.coalesce(taken, F.lit("")).alias(out), (want > cap).alias(flag)
+        *rows.columns, F.coalesce(taken, F.lit("")).alias(out), (want > most).alias(flag)
     )
 
 
@@ -67,24 +68,26 @@ def signature(defs: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def clamp_context(lines: int | None) -> int:
-    return max(0, min(lines or 0, CONTEXT_LINES))
+    """Context lines asked for; none if absent or negative."""
+    return max(0, lines or 0)
 
 
-def with_body(defs: DataFrame, sources: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
-    """Add ``body`` (widened by the context) and ``body_truncated``, which is true or null."""
+def with_body(defs: DataFrame, sources: DataFrame, before: int = 0, after: int = 0, cap: int | None = None) -> DataFrame:
+    """Add ``body`` (widened by the context; whole unless ``cap`` lines bound it) and ``body_truncated``, which is true or null."""
     first = F.col("start_line") - clamp_context(before)
     last = F.col("end_line") + clamp_context(after)
-    cut = line_slice(defs, sources, first, last, out="body", flag="_cut")
+    cut = line_slice(defs, sources, first, last, cap, out="body", flag="_cut")
     return cut.withColumn("body_truncated", F.when(F.col("_cut"), F.lit(True))).drop("_cut")
 
 
-def with_context(defs: DataFrame, sources: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
-    """Add ``context``; null when no context lines are asked for."""
+def with_context(defs: DataFrame, sources: DataFrame, before: int = 0, after: int = 0, cap: int | None = None) -> DataFrame:
+    """Add ``context``, whole unless ``cap`` lines bound it, and ``context_truncated``, true or null; null when no context lines are asked for."""
     before, after = clamp_context(before), clamp_context(after)
     if not before and not after:
-        return defs.withColumn("context", F.lit(None).cast("string"))
+        return defs.withColumns({"context": F.lit(None).cast("string"), "context_truncated": F.lit(None).cast("boolean")})
     first, last = F.col("start_line") - before, F.col("end_line") + after
-    return line_slice(defs, sources, first, last, out="context", flag="_cut").drop("_cut")
+    cut = line_slice(defs, sources, first, last, cap, out="context", flag="_cut")
+    return cut.withColumn("context_truncated", F.when(F.col("_cut"), F.lit(True))).drop("_cut")
 
 
 def _chunks(sources: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ field, named, is_error, is_missing, start_idx, end_idx, start_row, start_col, en
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codequarry.functions.intervals import containing
@@ -16,9 +16,8 @@ from codequarry.functions.limits import first_k
 from codequarry.functions.text import CLIP_CHARS, LEAF_CHARS
 from codequarry.operators.lines import cut_clipped
 
-# Default and largest view depth, listed diagnostics, listed ancestors.
+# Fixed values that interactive callers ask for: view depth, listed diagnostics, listed ancestors.
 VIEW_DEPTH = 8
-LARGEST_DEPTH = 64
 LISTED_DIAGNOSTICS = 20
 LISTED_ANCESTORS = 33
 
@@ -33,12 +32,12 @@ def _node_error() -> Column:
 def tree_view(
     nodes: DataFrame, sources: DataFrame | None = None, max_depth: int | None = None, with_text: bool = False
 ) -> DataFrame:
-    """Named nodes down to ``max_depth`` (0 = root), flat: nesting is ``parent`` and ``depth``.
+    """Named nodes, all or down to ``max_depth`` (0 = root, at least 1), flat: nesting is ``parent`` and ``depth``.
 
     A node without named children is a leaf (with text on request); otherwise a node at the depth limit is
     ``truncated`` and carries its number of named children.
     """
-    depth = min(max(1, VIEW_DEPTH if max_depth is None else max_depth), LARGEST_DEPTH)
+    depth = (1 << 31) - 2 if max_depth is None else max(1, max_depth)
     kids = (
         nodes.filter(F.col("named") & F.col("parent").isNotNull() & (F.col("depth") <= depth + 1))
         .groupBy("file_id", F.col("parent").alias("pre"))
@@ -108,30 +107,36 @@ def diagnostics(nodes: DataFrame) -> DataFrame:
     )
 
 
-def diagnostic_summary(nodes: DataFrame, listed: int = LISTED_DIAGNOSTICS) -> DataFrame:
-    """Per file: ``has_errors``, ``error_count``, the first ``listed`` diagnostics, ``errors_truncated``."""
+def diagnostic_summary(nodes: DataFrame, listed: int | None = None) -> DataFrame:
+    """Per file: ``has_errors``, ``error_count``, all or the first ``listed`` diagnostics, ``errors_truncated``."""
     bad = F.col("is_error") | F.col("is_missing")
     counts = nodes.groupBy("file_id").agg(F.count_if(bad).alias("error_count"))
     entry = F.struct("rank", "type", "kind", "start_row", "start_col", "end_row", "end_col")
     first = (
-        first_k(diagnostics(nodes), ["file_id"], [F.col("pre")], listed)
+        _ranked(diagnostics(nodes), ["file_id"], F.col("pre"), listed)
         .groupBy("file_id").agg(F.sort_array(F.collect_list(entry)).alias("errors"))
     )
     return counts.join(first, "file_id", "left").select(
         "file_id", (F.col("error_count") > 0).alias("has_errors"), "error_count", "errors",
-        (F.col("error_count") > listed).alias("errors_truncated"),
+        (F.lit(False) if listed is None else F.col("error_count") > listed).alias("errors_truncated"),
     )
 
 
-def ancestors(nodes: DataFrame, keys: DataFrame, listed: int = LISTED_ANCESTORS) -> DataFrame:
-    """Ancestors of the nodes ``keys (file_id, pre)``, nearest first (``rank`` 1 = parent)."""
+def ancestors(nodes: DataFrame, keys: DataFrame, listed: int | None = None) -> DataFrame:
+    """Ancestors of the nodes ``keys (file_id, pre)``, nearest first (``rank`` 1 = parent); all, or the ``listed`` nearest."""
     above = nodes.filter(F.col("last_desc") > F.col("pre")).select(
         "file_id", F.col("pre").alias("ancestor_pre"), F.col("type").alias("ancestor_type"),
         F.col("start_row").alias("ancestor_start_row"), F.col("end_row").alias("ancestor_end_row"),
         (F.col("pre") + 1).alias("_low"), F.col("last_desc").alias("_high"),
     )
     held = containing(keys.select("file_id", "pre").distinct(), above, "pre", "_low", "_high").drop("_low", "_high")
-    return first_k(held, ["file_id", "pre"], [F.desc("ancestor_pre")], listed)
+    return _ranked(held, ["file_id", "pre"], F.desc("ancestor_pre"), listed)
+
+
+def _ranked(rows: DataFrame, keys: list[str], order: Column, listed: int | None) -> DataFrame:
+    if listed is not None:
+        return first_k(rows, keys, [order], listed)
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
 
 
 def clean_positions(positions: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -85,6 +85,8 @@ NODES = values(
     FROM files f LEFT JOIN (SELECT file_id, CAST(sum(n_nodes) AS BIGINT) AS n, CAST(sum(n_rows) AS BIGINT) AS r, CAST(sum(n_chars) AS BIGINT) AS c FROM placed GROUP BY 1)
       USING (file_id))"""
 
+STORED_NODES = NODES.replace(", nodes AS (", ", nodes AS MATERIALIZED (", 1)
+
 SOURCES = values(
     "texts", "language, variant, t_text",
     [(k, v, text_of(x)) for k, xs in TEMPLATES.items() for v, x in enumerate(xs)],
@@ -147,6 +149,15 @@ def node_checks() -> dict[str, str]:
                   FROM files f ORDER BY path LIMIT 200) LEFT JOIN (
               SELECT file_id, kind, name, start_line AS line, {_SIGNATURE} AS signature, {_ORDERED} AS place
               FROM defs JOIN lines USING (file_id) QUALIFY place <= 20) USING (file_id)"""),
+        "file_reports_all": sql(PLACED, DEFS, SOURCES, select=f"""
+            SELECT path, language, coalesce(total, 0) AS total, coalesce(kind, '') AS kind, coalesce(name, '') AS name,
+              coalesce(line, 0) AS line, coalesce(signature, '') AS signature
+            FROM files LEFT JOIN (SELECT file_id, count(*) AS total FROM defs GROUP BY 1) USING (file_id)
+            LEFT JOIN (SELECT file_id, kind, name, start_line AS line, {_SIGNATURE} AS signature
+              FROM defs JOIN lines USING (file_id)) USING (file_id)"""),
+        "listed_calls_all": sql(PLACED, CALLS, select="""
+            SELECT file_id, name, line, row_number() OVER (PARTITION BY file_id ORDER BY base_idx, ix) AS place,
+              count(*) OVER (PARTITION BY file_id) AS total FROM calls"""),
         "calls": sql(PLACED, CALLS, select="SELECT file_id, language, name, line FROM calls"),
         "listed_calls": sql(PLACED, CALLS, select="""
             SELECT file_id, name, line, place, total FROM (SELECT file_id, name, line,
@@ -204,6 +215,19 @@ def node_checks() -> dict[str, str]:
               a.end_row AS ancestor_end_row, row_number() OVER (PARTITION BY n.file_id, n.pre ORDER BY a.pre DESC) AS rank
             FROM nodes n JOIN nodes a ON a.file_id = n.file_id AND a.pre < n.pre AND n.pre <= a.last_desc
             WHERE n.leaf_text LIKE 'price_%' QUALIFY rank <= 33"""),
+        "ancestors_all": sql(PLACED, NODES, select="""
+            SELECT n.file_id, n.pre, a.pre AS ancestor_pre, a.type AS ancestor_type, a.start_row AS ancestor_start_row,
+              a.end_row AS ancestor_end_row, row_number() OVER (PARTITION BY n.file_id, n.pre ORDER BY a.pre DESC) AS rank
+            FROM nodes n JOIN nodes a ON a.file_id = n.file_id AND a.pre < n.pre AND n.pre <= a.last_desc
+            WHERE n.leaf_text LIKE 'price_%'"""),
+        "tree_view_all": sql(PLACED, NODES, SOURCES, select="""
+            , kids AS (SELECT file_id, parent AS pre, count(*) AS kids FROM nodes WHERE named AND parent IS NOT NULL GROUP BY 1, 2)
+            SELECT n.file_id, n.pre, depth, type, CASE WHEN is_error THEN 'syntax_error' WHEN is_missing THEN 'missing' ELSE '' END AS error,
+              false AS truncated, CASE WHEN kids IS NULL THEN substr(code, start_idx + 1, least(end_idx - start_idx, 80)) ELSE '' END AS text
+            FROM nodes n LEFT JOIN kids USING (file_id, pre) JOIN sources USING (file_id) WHERE named"""),
+        "diagnostic_summary_all": sql(PLACED, NODES, select="""
+            SELECT file_id, count(*) FILTER (is_error OR is_missing) > 0 AS has_errors, count(*) FILTER (is_error OR is_missing) AS error_count,
+              count(*) FILTER (is_error OR is_missing) AS listed, false AS errors_truncated FROM nodes GROUP BY 1"""),
         "tree_view": sql(PLACED, NODES, SOURCES, select="""
             , kids AS (SELECT file_id, parent AS pre, count(*) AS kids FROM nodes WHERE named AND parent IS NOT NULL GROUP BY 1, 2)
             SELECT n.file_id, n.pre, depth, type, start_row, start_col, end_row, end_col,
@@ -247,12 +271,15 @@ def node_checks() -> dict[str, str]:
             f"SELECT file_id, name, kind, start_line, {_slice(1, 2)} AS body FROM defs JOIN lines USING (file_id)"),
         "context": sql(PLACED, DEFS, SOURCES, select=
             f"SELECT file_id, name, kind, start_line, {_slice(2, 0)} AS context FROM defs JOIN lines USING (file_id)"),
-        "structural_query": sql(PLACED, NODES, select="""
+        "structural_query": sql(PLACED, STORED_NODES, select="""
+            , called AS MATERIALIZED (SELECT file_id, pre FROM nodes WHERE type IN ('call', 'call_expression') AND named),
+            named_by AS MATERIALIZED (SELECT file_id, pre, parent, type, leaf_text FROM nodes WHERE field = 'function' AND type = 'identifier'),
+            given AS MATERIALIZED (SELECT file_id, pre, parent FROM nodes WHERE field = 'arguments' AND named),
+            numbers AS MATERIALIZED (SELECT file_id, parent, count(*) AS n FROM nodes WHERE type = 'number' AND named GROUP BY 1, 2)
             SELECT c.file_id, c.pre AS match_pre, f.pre AS capture_pre, 'callee' AS name, f.type, left(f.leaf_text, 200) AS text
-            FROM nodes c JOIN nodes f ON f.file_id = c.file_id AND f.parent = c.pre AND f.field = 'function' AND f.type = 'identifier'
-            JOIN nodes a ON a.file_id = c.file_id AND a.parent = c.pre AND a.field = 'arguments' AND a.named
-            WHERE c.type IN ('call', 'call_expression')
-              AND EXISTS (SELECT 1 FROM nodes k WHERE k.file_id = a.file_id AND k.parent = a.pre AND k.type = 'number')"""),
+            FROM called c JOIN named_by f ON f.file_id = c.file_id AND f.parent = c.pre
+            JOIN given a ON a.file_id = c.file_id AND a.parent = c.pre
+            JOIN (SELECT file_id, parent, unnest(range(n)) AS k FROM numbers) k ON k.file_id = a.file_id AND k.parent = a.pre"""),
         "structural_query_text": sql(PLACED, NODES, select="""
             SELECT file_id, 0 AS pattern_index, pre AS match_pre, pre AS capture_pre, 'cheap' AS name, leaf_text AS text FROM nodes
             WHERE type IN ('identifier', 'property_identifier') AND regexp_matches(leaf_text, '^price_[0-3]')
@@ -288,11 +315,14 @@ def node_checks() -> dict[str, str]:
             SELECT * FROM (SELECT file_id, pre AS match_pre, count(*) OVER (PARTITION BY file_id) AS total,
               count(*) OVER (PARTITION BY file_id) > 5 AS truncated, row_number() OVER (PARTITION BY file_id ORDER BY pre) AS rank
               FROM nodes WHERE type IN ('call', 'call_expression', 'method_invocation')) WHERE rank <= 5"""),
-        "structural_query_absent": sql(PLACED, NODES, select="""
-            SELECT c.file_id, c.pre AS match_pre, n.leaf_text AS text FROM nodes c
-            JOIN nodes n ON n.file_id = c.file_id AND n.parent = c.pre AND n.field = 'name'
-            WHERE c.type IN ('struct_item', 'enum_item', 'class_declaration', 'type_alias_declaration') AND n.named
-              AND NOT EXISTS (SELECT 1 FROM nodes b WHERE b.file_id = c.file_id AND b.parent = c.pre AND b.field = 'body')"""),
+        "structural_query_absent": sql(PLACED, STORED_NODES, select="""
+            , held AS MATERIALIZED (SELECT file_id, pre FROM nodes WHERE named
+              AND type IN ('struct_item', 'enum_item', 'class_declaration', 'type_alias_declaration')),
+            names AS MATERIALIZED (SELECT file_id, parent, leaf_text FROM nodes WHERE field = 'name' AND named),
+            bodies AS MATERIALIZED (SELECT DISTINCT file_id, parent FROM nodes WHERE field = 'body')
+            SELECT c.file_id, c.pre AS match_pre, n.leaf_text AS text FROM held c
+            JOIN names n ON n.file_id = c.file_id AND n.parent = c.pre
+            LEFT JOIN bodies b ON b.file_id = c.file_id AND b.parent = c.pre WHERE b.parent IS NULL"""),
         "structural_query_siblings": sql(PLACED, NODES, select="""
             SELECT a.file_id, a.parent AS match_pre, a.leaf_text AS left_text, b.leaf_text AS right_text
             FROM nodes a JOIN nodes b ON b.file_id = a.file_id AND b.parent = a.parent AND b.child_ix > a.child_ix
@@ -507,6 +537,7 @@ def file_checks() -> dict[str, str]:
         "admit": sql(PATHS, select="SELECT path, length FROM paths WHERE length <= 10485760 AND NOT has_nul"),
         "scan_errors": sql(PATHS, select=
             "SELECT path, 'admit' AS stage, error FROM judged WHERE error IS NOT NULL ORDER BY path LIMIT 200"),
+        "scan_errors_all": sql(PATHS, select="SELECT path, 'admit' AS stage, error FROM judged WHERE error IS NOT NULL"),
         "scan_summary": sql(PATHS, PLACED, DEFS, select="""
             SELECT (SELECT count(*) FROM selected) AS files_matched, (SELECT count(*) FROM judged WHERE error IS NULL) AS files_scanned,
               (SELECT count(*) > 200 FROM judged WHERE error IS NULL) AS files_truncated, (SELECT count(*) FROM defs) AS total_definitions,

@@ -98,7 +98,16 @@ def scan_rollup(spark, sf_dir):
 @query
 def file_reports(spark, sf_dir):
     data = corpus(spark, sf_dir)
-    reports = S.file_reports(data.files, stored_defs(spark, sf_dir), data.sources, limit_per_file=20)
+    return _report_rows(S.file_reports(data.files, stored_defs(spark, sf_dir), data.sources, S.REPORTED_FILES, 20))
+
+
+@query
+def file_reports_all(spark, sf_dir):
+    data = corpus(spark, sf_dir)
+    return _report_rows(S.file_reports(data.files, stored_defs(spark, sf_dir), data.sources))
+
+
+def _report_rows(reports):
     rows = reports.select("path", "language", "total", F.explode_outer("definitions").alias("d"))
     return rows.select("path", "language", "total", *[
         F.coalesce(f"d.{c}", F.lit("" if c != "line" else 0)).alias(c) for c in ("kind", "name", "line", "signature")])
@@ -121,6 +130,11 @@ def listed_calls(spark, sf_dir):
         "file_id", "name", "line", F.col("rank").alias("place"), "total")
 
 
+@query
+def listed_calls_all(spark, sf_dir):
+    return C.listed_calls(_calls(spark, sf_dir)).select("file_id", "name", "line", F.col("rank").alias("place"), "total")
+
+
 @query
 def top_callees(spark, sf_dir):
     return C.top_callees(_calls(spark, sf_dir)).withColumnRenamed("rank", "place")
@@ -209,7 +223,13 @@ def node_at(spark, sf_dir):
 def ancestors(spark, sf_dir):
     nodes = corpus(spark, sf_dir).nodes
     keys = nodes.filter(F.col("leaf_text").like("price_%")).select("file_id", "pre")
-    return N.ancestors(nodes, keys)
+    return N.ancestors(nodes, keys, N.LISTED_ANCESTORS)
+
+
+@query
+def ancestors_all(spark, sf_dir):
+    nodes = corpus(spark, sf_dir).nodes
+    return N.ancestors(nodes, nodes.filter(F.col("leaf_text").like("price_%")).select("file_id", "pre"))
 
 
 @query
@@ -221,6 +241,13 @@ def tree_view(spark, sf_dir):
         _text("text"), F.coalesce("text_truncated", F.lit(False)).alias("text_truncated"))
 
 
+@query
+def tree_view_all(spark, sf_dir):
+    data = corpus(spark, sf_dir)
+    return N.tree_view(data.nodes, data.sources, with_text=True).select(
+        "file_id", "pre", "depth", "type", _text("error"), F.coalesce("truncated", F.lit(False)).alias("truncated"), _text("text"))
+
+
 @query
 def tree_sexp(spark, sf_dir):
     return N.tree_sexp(corpus(spark, sf_dir).nodes)
@@ -233,6 +260,12 @@ def diagnostics(spark, sf_dir):
 
 @query
 def diagnostic_summary(spark, sf_dir):
+    return N.diagnostic_summary(corpus(spark, sf_dir).nodes, N.LISTED_DIAGNOSTICS).select(
+        "file_id", "has_errors", "error_count", F.coalesce(F.size("errors"), F.lit(0)).alias("listed"), "errors_truncated")
+
+
+@query
+def diagnostic_summary_all(spark, sf_dir):
     return N.diagnostic_summary(corpus(spark, sf_dir).nodes).select(
         "file_id", "has_errors", "error_count", F.coalesce(F.size("errors"), F.lit(0)).alias("listed"), "errors_truncated")
 
@@ -519,7 +552,7 @@ def exclude_paths(spark, sf_dir):
 
 @query
 def cap_files(spark, sf_dir):
-    return Fi.cap_files(Fi.exclude_paths(Fi.include_paths(_paths(spark, sf_dir)))).select("path")
+    return Fi.cap_files(Fi.exclude_paths(Fi.include_paths(_paths(spark, sf_dir))), Fi.MAX_FILES).select("path")
 
 
 @query
@@ -546,6 +579,11 @@ def _scan_parts(spark, sf_dir):
 
 @query
 def scan_errors(spark, sf_dir):
+    return S.scan_errors(_scan_parts(spark, sf_dir)[2], S.LISTED_ERRORS)
+
+
+@query
+def scan_errors_all(spark, sf_dir):
     return S.scan_errors(_scan_parts(spark, sf_dir)[2])
 
 

