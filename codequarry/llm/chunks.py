@@ -31,6 +31,12 @@ def pieces(text: str, special: dict[str, int]) -> list[str]:
     return [p for part, is_special in split_special(text, special) for p in ([part] if is_special else SPLIT.findall(part))]
 
 
+def flat_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after another, and how many each list has."""
+    lengths = np.fromiter(map(len, lists), np.int32, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths
+
+
 class _Slots(dict):
     """Numbers chunks as they come, and lists those that are new."""
 
@@ -49,11 +55,11 @@ class ChunkEncoder:
 
     A chunk begins at each space or line feed. The split pattern never joins characters over such a border unless white
     space meets white space there; texts where that happens are split by the pattern itself. ``encode_many`` gives the
-    ids of distinct chunks. Once the memory holds more than ``bound`` chunks, only those seen more than once stay; results never
+    ids of distinct chunks, as lists or as :func:`flat_ids`. Once the memory holds more than ``bound`` chunks, only those seen more than once stay; results never
     depend on what it holds.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], special: dict[str, int], bound: int = 200_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]], special: dict[str, int], bound: int = 200_000):
         self.encode_many, self.special, self.bound = encode_many, special, bound
         self.clear()
 
@@ -85,18 +91,18 @@ class ChunkEncoder:
         self.pool = pool[np.repeat(start[often] - self.start, self.length) + np.arange(self.used)]
 
     def _learn(self, new: list[str]) -> None:
-        ids = self.encode_many(new)
-        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
-        total = int(lengths.sum())
+        found = self.encode_many(new)
+        ids, lengths = found if isinstance(found, tuple) else flat_ids(found)
+        total = len(ids)
         if self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(total, self.used // 2) + 1024, np.int32)])
-        self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
+        self.pool[self.used : self.used + total] = ids
         starts = self.used + np.cumsum(lengths, dtype=np.int64) - lengths
         self.used += total
         bare = [c[1:] if c[:1] in (" ", "\n") else c for c in new]
         self.start, self.length = np.concatenate([self.start, starts]), np.concatenate([self.length, lengths])
         self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
-        self.open = np.concatenate([self.open, np.array([b == "" or b[0].isspace() or b[-1].isspace() for b in bare], bool)])
+        self.open = np.concatenate([self.open, np.array([not b or b.strip() != b for b in bare], bool)])
 
     def _slots(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.slot) > self.bound:

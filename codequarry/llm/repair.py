@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from codequarry.llm.bpe import built, vocabulary
-from codequarry.llm.chunks import ChunkEncoder, portions, slices
+from codequarry.llm.chunks import ChunkEncoder, flat_ids, portions, slices
 from codequarry.llm.shared import ship
 
 #: First bytes of a block; a fixed value of this file format.
@@ -151,27 +154,46 @@ class Block:
 
 
 def _library(content: str) -> ChunkEncoder:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals the work to cores already
     library = Tokenizer.from_str(content)
     library.no_truncation()
     library.no_padding()
-    added = library.get_added_tokens_decoder()
-    special = {t.content: i for i, t in added.items()}
-    mark, number = next(((t.content, i) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)), (None, None))
-
-    def many(chunks: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for first in range(0, len(chunks), 4096):
-            some = chunks[first : first + 4096]
-            if mark is None or any(mark in c for c in some):
-                out += [e.ids for e in library.encode_batch_fast(some, add_special_tokens=False)]
-                continue
-            # one call for all: the library cuts at a special token before anything else
-            ids = library.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids  # without offsets, which nothing reads
-            cuts = [-1, *np.flatnonzero(np.array(ids) == number).tolist(), len(ids)]
-            out += [ids[a + 1 : b] for a, b in zip(cuts, cuts[1:])]
-        return out
-
-    return ChunkEncoder(many, special)
+    special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+    # in byte-level vocabularies each letter of a token stands for one byte
+    widths = np.zeros(max(library.get_vocab().values()) + 1, np.int64)
+    for token, i in library.get_vocab().items():
+        widths[i] = len(token.encode()) if token in special else len(token)
+
+    def alone(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat_ids([e.ids for e in library.encode_batch_fast(chunks, add_special_tokens=False)])
+
+    def together(chunks: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        before = np.concatenate([[0], np.cumsum(widths[ids])])
+        borders = np.cumsum([0, *map(len, map(str.encode, chunks))])
+        cuts = np.searchsorted(before, borders)
+        same = cuts[-1] == len(ids) and (before[cuts] == borders).all()
+        return (ids, np.diff(cuts)) if same else alone(chunks)
+
+    def many(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where a space or line feed follows a character that is no white space, pieces end. So chunks that begin and end like that are
+        encoded as one text, some at a time, and the ids' widths tell where each ends; the others are encoded alone."""
+        groups: list[list[str]] = []
+        joins: list[bool] = []
+        for first in range(0, len(chunks), 256):
+            some = chunks[first : first + 256]
+            fits = [c[:1] in (" ", "\n") and not c[-1].isspace() for c in some]
+            if all(fits):
+                groups.append(some)
+                joins.append(True)
+            else:
+                for fit, run in groupby(zip(some, fits), itemgetter(1)):
+                    groups.append([c for c, _ in run])
+                    joins.append(fit)
+        encodings = iter(library.encode_batch_fast(["".join(g) for g, j in zip(groups, joins) if j], add_special_tokens=False))
+        found = [together(g, np.array(next(encodings).ids, np.int32)) if j else alone(g) for g, j in zip(groups, joins)]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    return ChunkEncoder(many, special, 400_000)
 
 
 FILE_SCHEMA = "part int, block int, base long, tokens long, documents array<{id}>, data binary"
