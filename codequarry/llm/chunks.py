@@ -37,6 +37,17 @@ def flat_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths
 
 
+#: What is known of a chunk: white space inside its borders, a full stop or comma first, a Latin letter or digit last.
+OPEN, STOP, FIRM = 1, 2, 4
+
+
+def _flags(chunk: str) -> int:
+    bare = chunk[1:] if chunk[:1] in (" ", "\n") else chunk
+    if not bare or bare.strip() != bare:
+        return OPEN
+    return (STOP if bare[0] in ".," else 0) | (FIRM if bare[-1] < "\u0250" and bare[-1].isalnum() else 0)
+
+
 class _Slots(dict):
     """Numbers chunks as they come, and lists those that are new."""
 
@@ -53,10 +64,11 @@ class _Slots(dict):
 class ChunkEncoder:
     """Ids of whole texts from ids of their chunks.
 
-    A chunk begins at each space or line feed. The split pattern never joins characters over such a border unless white
-    space meets white space there; texts where that happens are split by the pattern itself. ``encode_many`` gives the
-    ids of distinct chunks, as lists or as :func:`flat_ids`. Once the memory holds more than ``bound`` chunks, only those seen more than once stay; results never
-    depend on what it holds.
+    A chunk begins at each space, line feed, full stop or comma. The split pattern never joins characters over such a border
+    unless white space meets white space there, or a full stop or comma follows something else than a Latin letter or digit;
+    texts where that happens are split by the pattern itself. ``encode_many`` gives the
+    ids of distinct chunks, as lists or as :func:`flat_ids`. Once the memory
+    holds more than ``bound`` chunks, only those seen more than once stay; results never depend on what it holds.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]], special: dict[str, int], bound: int = 200_000):
@@ -74,18 +86,18 @@ class ChunkEncoder:
         self.slot = _Slots()
         self.pool = np.zeros(1 << 16, np.int32)
         self.used = 0
-        self.start, self.length, self.open = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.start, self.length, self.flags = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint8)
         self.seen = np.zeros(0, np.int32)
 
     def _forget(self) -> None:
         """Keeps the chunks seen more than once; all go if they are most of the memory."""
         often = np.flatnonzero(self.seen > 1)
-        names, pool, start, length, open_ = list(self.slot), self.pool, self.start, self.length, self.open
+        names, pool, start, length, flags = list(self.slot), self.pool, self.start, self.length, self.flags
         self.clear()
         if len(often) > self.bound // 2:
             return
         self.slot.update((names[i], k) for k, i in enumerate(often.tolist()))
-        self.length, self.open, self.seen = length[often], open_[often], np.ones(len(often), np.int32)
+        self.length, self.flags, self.seen = length[often], flags[often], np.ones(len(often), np.int32)
         ends = np.cumsum(self.length, dtype=np.int64)
         self.start, self.used = ends - self.length, int(ends[-1]) if len(ends) else 0
         self.pool = pool[np.repeat(start[often] - self.start, self.length) + np.arange(self.used)]
@@ -99,14 +111,11 @@ class ChunkEncoder:
         self.pool[self.used : self.used + total] = ids
         starts = self.used + np.cumsum(lengths, dtype=np.int64) - lengths
         self.used += total
-        bare = [c[1:] if c[:1] in (" ", "\n") else c for c in new]
         self.start, self.length = np.concatenate([self.start, starts]), np.concatenate([self.length, lengths])
         self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
-        self.open = np.concatenate([self.open, np.array([not b or b.strip() != b for b in bare], bool)])
+        self.flags = np.concatenate([self.flags, np.fromiter(map(_flags, new), np.uint8, len(new))])
 
     def _slots(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.slot) > self.bound:
-            self._forget()
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int32, int(counts.sum()))
         if self.slot.new:
@@ -117,16 +126,24 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        lists = [pieces(t, self.special) if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") for t in texts]
+        lists = [
+            pieces(t, self.special) if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n").replace(".", "\0.").replace(",", "\0,").split("\0")
+            for t in texts
+        ]
+        if len(self.slot) > self.bound:
+            self._forget()
         slots, counts = self._slots(lists)
-        if self.open[slots].any():
-            begins = np.cumsum(counts) - counts
-            marked = np.flatnonzero(self.open[slots])
-            for i in np.unique(np.searchsorted(begins, marked, "right") - 1):
-                while counts[i] == 0:
-                    i -= 1
-                lists[i] = pieces(texts[i], self.special)
-            slots, counts = self._slots(lists)
+        flags = self.flags[slots]
+        unsure = (flags & OPEN) > 0
+        unsure[1:] |= ((flags[1:] & STOP) > 0) & ((flags[:-1] & FIRM) == 0)
+        if unsure.any():
+            ends = np.cumsum(counts)
+            anew = np.unique(np.searchsorted(ends, np.flatnonzero(unsure), "right"))
+            parts = np.split(slots, ends[:-1])
+            others, counts[anew] = self._slots([pieces(texts[i], self.special) for i in anew.tolist()])
+            for i, part in zip(anew.tolist(), np.split(others, np.cumsum(counts[anew])[:-1])):
+                parts[i] = part
+            slots = np.concatenate(parts)
         lengths = self.length[slots]
         ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0

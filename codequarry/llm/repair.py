@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -177,23 +175,19 @@ def _library(content: str) -> ChunkEncoder:
     def many(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Where a space or line feed follows a character that is no white space, pieces end. So chunks that begin and end like that are
         encoded as one text, some at a time, and the ids' widths tell where each ends; the others are encoded alone."""
-        groups: list[list[str]] = []
-        joins: list[bool] = []
-        for first in range(0, len(chunks), 256):
-            some = chunks[first : first + 256]
-            fits = [c[:1] in (" ", "\n") and not c[-1].isspace() for c in some]
-            if all(fits):
-                groups.append(some)
-                joins.append(True)
-            else:
-                for fit, run in groupby(zip(some, fits), itemgetter(1)):
-                    groups.append([c for c, _ in run])
-                    joins.append(fit)
-        encodings = iter(library.encode_batch_fast(["".join(g) for g, j in zip(groups, joins) if j], add_special_tokens=False))
-        found = [together(g, np.array(next(encodings).ids, np.int32)) if j else alone(g) for g, j in zip(groups, joins)]
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-    return ChunkEncoder(many, special, 400_000)
+        fits = np.array([c[:1] in (" ", "\n") and not c[-1].isspace() for c in chunks], bool)
+        order = np.argsort(~fits, kind="stable")
+        joint = [chunks[i] for i in order[: int(fits.sum())].tolist()]
+        groups = [joint[i : i + 256] for i in range(0, len(joint), 256)]
+        encodings = library.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        parts = [together(g, np.array(e.ids, np.int32)) for g, e in zip(groups, encodings)]
+        parts.append(alone([chunks[i] for i in order[len(joint) :].tolist()]))
+        ids, found = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        lengths, begins = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        lengths[order], begins[order] = found, np.cumsum(found) - found
+        return ids[np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(len(ids))], lengths
+
+    return ChunkEncoder(many, special, 600_000)
 
 
 FILE_SCHEMA = "part int, block int, base long, tokens long, documents array<{id}>, data binary"
@@ -242,7 +236,6 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
                     yield closed()
         if held:
             yield closed()
-        encoder.done()
 
     dealt.mapInArrow(run, FILE_SCHEMA.format(id=kind)).write.parquet(path)
 
