@@ -127,11 +127,15 @@ class ByteBPE:
                     out.extend(self.piece(p) if len(p) < 64 else self._piece(p))
         return out
 
-    def byte_table(self) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all ids one after another, and where each id's begin (one more entry for the end)."""
-        by_id = {i: b for i, b in zip(self.ids, self.bytes)} | {i: s.encode() for s, i in self.special.items()}
-        parts = [by_id.get(i, b"") for i in range(self.size)]
-        return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+def byte_table(content: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids of a vocabulary file one after another, and where each id's begin (one more entry for the end)."""
+    file = json.loads(content)
+    letters = byte_letters()
+    by_id = {i: bytes(map(letters.__getitem__, token)) for token, i in file["model"]["vocab"].items() if all(c in letters for c in token)}
+    by_id |= {t["id"]: t["content"].encode() for t in file.get("added_tokens", []) if not t["normalized"]}
+    parts = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+    return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
 _BUILT: dict[tuple[str, int], object] = {}
@@ -195,7 +199,7 @@ def bpe_decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", text:
     at = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, begins = built("bytes", content, lambda c: ByteBPE(c).byte_table(), ("bpe",))
+        table, begins = built("bytes", content, byte_table, ("bpe",))
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
                 batch = whole.slice(first, 256)
