@@ -96,7 +96,7 @@ class ByteBPE:
         data = text.encode("utf-8")
         last = [-1] * (len(data) + 1)
         known, whole = self.known, self.whole
-        if len(known) > 1 << 18:
+        if len(known) > 1 << 17:
             known.clear()
         for end, (token, length) in self.matches.iter(data.decode("latin-1")):
             if last[end + 1] >= 0:
@@ -117,6 +117,11 @@ class ByteBPE:
             at -= len(self.bytes[last[at]])
         return tuple(reversed(out))
 
+    def forget(self) -> None:
+        """Empties what is remembered of texts; results do not depend on it."""
+        self.piece.cache_clear()
+        self.known.clear()
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for part, is_special in split_special(text, self.special):
@@ -161,7 +166,9 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 def _encoder(content: str) -> ChunkEncoder:
     bpe = ByteBPE(content)
-    return ChunkEncoder(lambda chunks: [bpe.encode(c) for c in chunks], bpe.special)
+    encoder = ChunkEncoder(lambda chunks: [bpe.encode(c) for c in chunks], bpe.special)
+    encoder.forget = bpe.forget
+    return encoder
 
 
 def bpe_encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -185,6 +192,7 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: s
                 flat, counts = encoder.encode(texts[begin:end])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(begin, end - begin) for i in range(len(rest))), lists], [*rest, ids])
+        encoder.forget()
         encoder.done()
 
     return slim.mapInArrow(run, schema)
