@@ -26,9 +26,20 @@ SHARD_BYTES = 16 << 20
 VOCABULARY = "byte_bpe_50k.json"
 #: English by its own vocabulary, other languages by the one made for many.
 VOCABULARIES = {"en": "byte_bpe_50k.tiktoken", None: "byte_bpe_multi_50k.tiktoken"}
-BANDS = {
-    "en": Band(2.0, 8.0, 0.10), "de": Band(2.1, 8.0, 0.15), "fr": Band(1.95, 8.0, 0.15), "es": Band(2.0, 8.0, 0.15),
-    None: Band(0.5, 10.0, 0.60),
+#: Characters, and letters and digits, per token of a usual text (medians at sf0.1), and the share of broken characters allowed.
+USUAL = {"en": (2.66, 2.15, 0.10), "de": (2.70, 2.22, 0.15), "fr": (2.42, 1.96, 0.15), "es": (2.44, 1.98, 0.15)}
+#: One rule for all of them: at least 0.80 of the usual characters and 0.72 of the usual letters and digits per token.
+BANDS = {k: Band(0.80 * chars, 8.0, broken, min_letters=0.72 * letters) for k, (chars, letters, broken) in USUAL.items()} | {
+    None: Band(0.5, 10.0, 0.60)}
+#: Null and other languages by script, between random letters and a hand-written text of it under the vocabulary for many;
+#: "" (any other script, of which that vocabulary knows no words): only that it is no noise of symbols.
+SCRIPT_BANDS = {
+    "Latin": Band(1.8, 8.0, 0.15, min_letters=1.5), "Cyrillic": Band(1.7, 8.0, 0.15, min_letters=1.6),
+    "Greek": Band(1.45, 6.0, 0.20, min_letters=1.25), "Han": Band(0.6, 4.0, 0.75, min_letters=0.52),
+    "Kana": Band(0.75, 5.0, 0.40, min_letters=0.65), "Hangul": Band(0.9, 6.0, 0.45, min_letters=0.85),
+    "Arabic": Band(1.5, 6.0, 0.15, min_letters=1.3), "Hebrew": Band(1.5, 6.0, 0.18, min_letters=1.28),
+    "Devanagari": Band(0.78, 5.0, 0.65, min_letters=0.63), "Thai": Band(0.8, 5.0, 0.35, min_letters=0.8),
+    "": Band(0.3, 4.0, 1.0, min_letters=0.25),
 }
 
 
@@ -66,7 +77,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = with_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), vocabularies(), BANDS)
+    judged = with_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), vocabularies(), BANDS, scripts=SCRIPT_BANDS)
     # the struct also holds the text, which is not looked at again
     return judged.select("doc.doc_id", "quality.*")
 

@@ -10,14 +10,14 @@ from codequarry.llm.bpe import bpe_encode
 from codequarry.llm.line_dedup import drop_repeated_lines
 from codequarry.llm.mixing import mix
 from codequarry.llm.quality import with_quality
-from codequarry.llm.queries import BANDS, VOCABULARY, bpe_digests, vocabularies
+from codequarry.llm.queries import BANDS, SCRIPT_BANDS, VOCABULARY, bpe_digests, vocabularies
 from codequarry.llm.shared import stored
 from codequarry.llm.simhash import one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return with_quality(docs, vocabularies(), BANDS).filter("quality.kept").select("doc.*")
+    return with_quality(docs, vocabularies(), BANDS, scripts=SCRIPT_BANDS).filter("quality.kept").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

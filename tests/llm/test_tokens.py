@@ -170,6 +170,58 @@ def test_quality_of_odd_rows(spark):
     assert with_quality(docs.limit(0), queries.vocabularies(), queries.BANDS).count() == 0
 
 
+def noisy(text, kind, rnd):
+    if kind == "symbols":
+        return " ".join(w + rnd.choice(["$$$", "%%%", "&&&", "***", "###"]) for w in text.split())
+    return " ".join(w.upper() + "!!" for w in text.split())
+
+
+def test_noise_is_rejected_in_every_language(spark, sf_dir):
+    rnd = random.Random(11)
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    whole = with_quality(spark.createDataFrame(docs, "doc_id long, text string, lang string"), queries.vocabularies(), queries.BANDS)
+    clean = [(r.doc.text, r.doc.lang) for r in whole.filter("quality.kept").collect() if len(r.doc.text.split()) < 2000]
+    assert {lang for _, lang in clean} == {"en", "de", "fr", "es"}
+    rows = [(noisy(t, kind, rnd), lang, kind) for t, lang in clean for kind in ("symbols", "shouting")]
+    rows += [(t, lang, "clean") for t, lang in clean] + [(t, None, "clean") for t, _ in clean]
+    rows += [(noisy(t, "symbols", rnd), None, "symbols") for t, _ in clean]
+    table = spark.createDataFrame(rows, "text string, lang string, kind string")
+    got = Counter()
+    for r in with_quality(table, queries.vocabularies(), queries.BANDS, scripts=queries.SCRIPT_BANDS).collect():
+        got[r.doc.kind, r.doc.lang, r.quality.kept] += 1
+    for lang in ("en", "de", "fr", "es", None):
+        assert got["symbols", lang, True] == 0 and got["symbols", lang, False] > 0, got
+        assert got["clean", lang, False] <= 0.01 * got["clean", lang, True], got
+    for lang in ("en", "de", "fr", "es"):
+        assert got["shouting", lang, True] <= 0.1 * got["shouting", lang, False], got
+
+
+SENTENCES = {
+    "pl": "Komitet zebrał się w czwartek, aby omówić proponowane zmiany w budżecie regionalnym, a kilku członków twierdziło, że szkoły powinny otrzymać więcej pieniędzy przed budową nowych dróg.",
+    "ru": "Комитет собрался в четверг, чтобы обсудить предложенные изменения в региональном бюджете, и несколько членов заявили, что школы должны получить больше денег.",
+    "el": "Η επιτροπή συνεδρίασε την Πέμπτη για να συζητήσει τις προτεινόμενες αλλαγές στον περιφερειακό προϋπολογισμό, και αρκετά μέλη υποστήριξαν ότι τα σχολεία πρέπει να λάβουν περισσότερα χρήματα.",
+    "ko": "위원회는 목요일에 모여 지역 예산에 대한 변경 제안을 논의했으며 여러 위원은 새 도로를 건설하기 전에 학교가 더 많은 돈을 받아야 한다고 주장했다.",
+    "ar": "اجتمعت اللجنة يوم الخميس لمناقشة التغييرات المقترحة على الميزانية الإقليمية، وقال العديد من الأعضاء إن المدارس يجب أن تحصل على مزيد من الأموال.",
+    "hi": "समिति ने गुरुवार को क्षेत्रीय बजट में प्रस्तावित बदलावों पर चर्चा करने के लिए बैठक की, और कई सदस्यों ने कहा कि स्कूलों को अधिक पैसा मिलना चाहिए।",
+}
+
+
+def test_other_languages_by_script(spark):
+    rnd = random.Random(12)
+    alphabets = {"lower": "abcdefghijklmnopqrstuvwxyz", "alnum": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+                 "digits": "0123456789", "signs": "#*$%&|<>", "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "ko": [chr(c) for c in range(0xAC00, 0xD7A3)]}
+    rows = [(f"noise {k}", " ".join("".join(rnd.choice(a) for _ in range(rnd.randrange(2, 10))) for _ in range(300))) for k, a in alphabets.items()]
+    for k, sentence in SENTENCES.items():
+        words = sentence.split()
+        mixed = " ".join(" ".join(rnd.sample(words, len(words))) for _ in range(5))
+        rows += [(f"text {k}", mixed), (f"noise symbols {k}", noisy(mixed, "symbols", rnd))]
+    rows = [(*r, lang) for r in rows for lang in (None, "xx")]
+    table = spark.createDataFrame(rows, "name string, text string, lang string")
+    out = with_quality(table, queries.vocabularies(), queries.BANDS, scripts=queries.SCRIPT_BANDS).collect()
+    assert len(out) == len(rows) and not any(r.quality.base_failed for r in out)
+    assert [r.doc.name for r in out if r.quality.kept != r.doc.name.startswith("text")] == []
+
+
 # --- token files --------------------------------------------------------------------------------------------------
 
 
