@@ -58,6 +58,9 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: float, reach: int = 1 <<
 
     An even share of every size first; what is left is filled from large to small, except that documents worth about
     ``reach`` are handed back, and a bounded-knapsack table over the sums up to ``reach`` finds the nearest sum for them.
+    If the sum is not met so, the sums of long documents (over half of ``reach``) are listed, and the nearest of these
+    together with what the others can add is taken: exactly the nearest if the others hold at most four times ``reach`` words
+    and the long ones have at most 16,384 sums; beyond that, long sums are thinned evenly and the others fill what is left.
     """
     order = np.argsort(-sizes, kind="stable")
     s, c = sizes[order].astype(np.int64), counts[order].astype(np.int64)
@@ -65,27 +68,103 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: float, reach: int = 1 <<
     if whole == 0 or budget <= 0:
         return np.zeros(len(sizes), np.int64)
     take = np.minimum(c, np.floor(c * min(1.0, budget / whole)).astype(np.int64))
-    left = budget - int((s * take).sum())
+    n_long, table = int((s > reach // 2).sum()), 4 * reach
+    best = _completed(s, c, take, budget, reach)
+    off = lambda t: abs(budget - int((s * t).sum()))
+    if off(best) >= 0.5:
+        short = int((s * c)[n_long:].sum())
+        fixed, sums, levels = _long_sums(s[:n_long], c[:n_long], take[:n_long], budget)
+        near = np.maximum(np.maximum(sums - budget, budget - short - sums), 0)
+        none = np.where(np.arange(len(s)) < n_long, 0, c)
+        if short <= table:  # every sum of the short ones, so the best of all pairs
+            ends = _nearest(s, none, -1.0, short, every=True)
+            wanted = budget - sums
+            right = np.clip(np.searchsorted(ends, wanted), 0, len(ends) - 1)
+            near = np.minimum(np.abs(ends[right] - wanted), np.abs(ends[np.maximum(right - 1, 0)] - wanted))
+        for k in np.argsort(near, kind="stable")[: 1 if short <= table else 64]:
+            trial = take.copy()
+            trial[:n_long] = _long_counts(fixed, levels, int(sums[k]), s[:n_long])
+            if short <= table:
+                trial[n_long:] = 0
+                trial += _nearest(s, none, budget - int(sums[k]), short)
+            else:
+                trial = _completed(s, c, trial, budget, reach, n_long)
+            if off(trial) < off(best):
+                best = trial
+            if off(best) < 0.5:
+                break
+    out = np.zeros(len(sizes), np.int64)
+    out[order] = best
+    return out
+
+
+def _long_sums(s: np.ndarray, c: np.ndarray, take: np.ndarray, budget: float, most: int = 1 << 14) -> tuple[np.ndarray, np.ndarray, list]:
+    """Sums of documents in no table, with what :func:`_long_counts` needs: counts that are fixed, sums in rising order, and
+    the sums before each step with its size index and copies. All sums are kept while they are ``most`` or fewer, then one
+    in each of ``most`` equal ranges. Of more than 1,024 steps the middle sizes keep their even share."""
+    steps = []
     for i in range(len(s)):
+        n, k = int(c[i]), 1
+        while n > 0:
+            steps.append((i, min(k, n)))
+            n, k = n - min(k, n), 2 * k
+    fixed = np.zeros(len(s), np.int64)
+    if len(steps) > 1024:
+        free = {i for i, _ in steps[:512] + steps[-512:]}
+        fixed = np.array([0 if i in free else take[i] for i in range(len(s))])
+        steps = [x for x in steps if x[0] in free]
+    highest = budget + int(s.max(initial=0))  # the nearest sum from above lies below this
+    sums, levels = np.array([int((s * fixed).sum())]), []
+    for i, copies in steps:
+        levels.append((sums, i, copies))
+        grown = sums + copies * int(s[i])
+        sums = np.union1d(sums, grown[grown <= highest])
+        if len(sums) > most:
+            width = (int(sums[-1]) - int(sums[0])) // most + 1
+            sums = sums[np.unique((sums - sums[0]) // width, return_index=True)[1]]
+    return fixed, sums, levels
+
+
+def _long_counts(fixed: np.ndarray, levels: list, total: int, s: np.ndarray) -> np.ndarray:
+    """Documents of each long size that make up ``total``, one of the sums after the last level."""
+    counts = fixed.copy()
+    for sums, i, copies in reversed(levels):
+        at = np.searchsorted(sums, total)
+        if at == len(sums) or sums[at] != total:
+            counts[i] += copies
+            total -= copies * int(s[i])
+    return counts
+
+
+def _completed(s: np.ndarray, c: np.ndarray, take: np.ndarray, budget: float, reach: int, start: int = 0) -> np.ndarray:
+    """``take`` brought near the budget by sizes (falling) from place ``start`` on: what is over is handed back and what is
+    left is filled, both from large to small, then the table finds the nearest sum for documents worth about ``reach``."""
+    take = take.copy()
+    left = budget - int((s * take).sum())
+    for i in range(start, len(s) if left < 0 else 0):
+        back = int(min(take[i], -left // s[i] + 1))
+        take[i] -= back
+        left += back * int(s[i])
+        if left >= 0:
+            break
+    for i in range(start, len(s)):
         more = int(min(c[i] - take[i], left // s[i]))
         if more > 0:
             take[i] += more
             left -= more * int(s[i])
     # hand back small documents, which make the finest sums
-    for i in range(len(s) - 1, -1, -1):
+    for i in range(len(s) - 1, start - 1, -1):
         back = int(min(take[i], max(0, (reach // 2 - left) // s[i])))
         take[i] -= back
         left += back * int(s[i])
-    goal = int(min(reach, left + int(s[0])))
+    goal = int(min(reach, left + int(s[start]))) if start < len(s) else 0
     if goal > 0:
-        take += _nearest(s, c - take, left, goal)
-    out = np.zeros(len(sizes), np.int64)
-    out[order] = take
-    return out
+        take += _nearest(s, np.where(np.arange(len(s)) < start, 0, c - take), left, goal)
+    return take
 
 
-def _nearest(sizes: np.ndarray, counts: np.ndarray, wanted: float, goal: int) -> np.ndarray:
-    """Counts whose sum, at most ``goal``, is nearest to ``wanted``; the smaller sum wins a tie."""
+def _nearest(sizes: np.ndarray, counts: np.ndarray, wanted: float, goal: int, every: bool = False) -> np.ndarray:
+    """Counts whose sum, at most ``goal``, is nearest to ``wanted``; the smaller sum wins a tie. ``every``: all sums instead."""
     used = np.full(goal + 1, -1, np.int64)  # size index that first reached a sum; -2 at 0
     used[0] = -2
     best, steps = int(round(wanted)), []
@@ -98,9 +177,11 @@ def _nearest(sizes: np.ndarray, counts: np.ndarray, wanted: float, goal: int) ->
                 break
             used[free], spent[free] = i, multiple + 1
         steps.append(i)
-        if best <= goal and used[best] != -1:
+        if not every and 0 <= best <= goal and used[best] != -1:
             break
     sums = np.flatnonzero(used != -1)
+    if every:
+        return sums
     at = int(sums[np.argmin(np.abs(sums - wanted))])
     take = np.zeros(len(sizes), np.int64)
     while used[at] != -2:

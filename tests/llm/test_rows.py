@@ -114,6 +114,26 @@ def test_fit_is_the_nearest_sum():
         assert (take >= 0).all() and (take <= counts).all() and abs((take * sizes).sum() - budget) <= best + 1e-9
 
 
+@pytest.mark.parametrize("sizes, counts, budget, want", [
+    ([200_000, 500], [1, 10], 184_500, 200_000), ([60_000, 500], [1, 10], 60_100, 60_000),
+    ([100_000], [1], 60_000, 100_000), ([100_000], [1], 40_000, 0), ([100_000, 70_000, 3], [1, 1, 2], 90_000, 100_000),
+    ([300_000, 180_000, 170_000, 7], [1, 1, 1, 3], 345_000, 350_000)])
+def test_fit_takes_documents_longer_than_the_table(sizes, counts, budget, want):
+    take = fit(np.array(sizes), np.array(counts), float(budget))
+    assert (take >= 0).all() and (take <= counts).all() and int((take * sizes).sum()) == want
+
+
+def test_fit_is_the_nearest_sum_at_any_length():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        sizes = np.unique(np.concatenate([rng.integers(70, 900, 3), rng.integers(1, 40, 2)]))
+        counts = rng.integers(1, 3, len(sizes))
+        budget = float(rng.uniform(0, (sizes * counts).sum()))
+        best = min(abs(sum(a * b for a, b in zip(k, sizes)) - budget) for k in itertools.product(*[range(n + 1) for n in counts]))
+        took = fit(sizes, counts, budget, reach=64)
+        assert (took >= 0).all() and (took <= counts).all() and abs((took * sizes).sum() - budget) <= best + 1e-9, (sizes, counts, budget)
+
+
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
