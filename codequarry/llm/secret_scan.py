@@ -12,13 +12,18 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 KINDS = [("assign", ASSIGN), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"(?<![0-9a-f])[0-9a-f]{32,}"),
          ("entropy", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")]
 LEAST = {"assign": 8, "access": 16, "hex": 32}
-#: Characters of the sliding window, and bits of entropy that some window must reach, by class of characters.
+#: Characters of the sliding window, and bits of entropy that some window must reach, by class of characters: what 98 of 100
+#: random strings of the class reach in one window. Letters without digits must reach more, as words run together come close.
 WINDOW = 20
-CLASSES = [("hex", [r"^[0-9A-Fa-f]+$", r"[0-9]", r"[A-Fa-f]"], 3.2), ("mixed", [r"[0-9]", r"[a-z]", r"[A-Z]"], 3.8),
-           ("plain", [r"[0-9]", r"[A-Za-z]"], 4.0)]
-#: Never secrets, however mixed: paths and words joined by dashes or underscores, UUIDs, alphabets, and what calls itself an example.
+CLASSES = [("hex", [r"^[0-9A-Fa-f]+$", r"[0-9]", r"[A-Fa-f]"], 2.9), ("mixed", [r"[0-9]", r"[a-z]", r"[A-Z]"], 3.6),
+           ("plain", [r"[0-9]", r"[A-Za-z]"], 3.3), ("letters", [r"[A-Za-z]"], 3.6)]
+#: A word of under 20 letters, words in camel case, or a number.
+_WORD = r"([A-Z]{0,4}[a-z]{1,19}([A-Z][a-z]{1,19})*|[A-Z]{1,19}|[0-9]+)"
+_NAME = r"([A-Za-z]{1,19}[0-9]{0,4}|[0-9]+)"
+#: Never secrets, however mixed: paths and words joined by dashes or underscores (with short numbers behind them), UUIDs,
+#: alphabets, and what calls itself an example.
 ALLOWED = [r"(?i)example|sample|placeholder|your[-_]", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-           r"(?i)abcdefghij|0123456789", r"^/?([A-Za-z]+|[0-9]+)([/_=-]+([A-Za-z]+|[0-9]+))*/?$"]
+           r"(?i)abcdefghij|0123456789", rf"^/?{_WORD}([/_=-]+{_WORD})*/?$", rf"^/?{_NAME}([/_=-]+{_NAME})+/?$"]
 SCALE = 1_000_000
 
 
@@ -58,7 +63,7 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 
     Patterns are searched leftmost and without overlap, each kind by itself; matches that are too short are dropped. What
     no pattern covers is a candidate if it is a long run of key characters: it is a secret if one of its windows reaches the entropy
-    of its class (hex, mixed case with digits, other letters with digits) and no allow-list pattern holds. Such spans are of kind
+    of its class (hex, mixed case with digits, other letters with digits, letters) and no allow-list pattern holds. Such spans are of kind
     ``entropy``; one that overlaps a pattern's span is left out. Positions count code points, the end exclusive.
 
     Matches are listed with the gap before each; positions are running sums, so a long text is as many rows as it has

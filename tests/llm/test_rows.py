@@ -242,3 +242,22 @@ def test_secrets_of_a_long_text(spark):
     text = "word " * 200_000 + "token: abcdefghijk " + "q" * 300_000 + " Zx9Kq2Lm8Vb4Nc6Tj1Rw3Pd"
     row = secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert [tuple(s) for s in row.spans] == plain_spans(text) and len(row.spans) == 2
+
+
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = [("lower with digits", LOWER + DIGITS, 20, 0.95), ("upper with digits", UPPER + DIGITS, 20, 0.95), ("base32", UPPER + "234567", 20, 0.9),
+             ("mixed", LOWER + UPPER + DIGITS, 20, 0.93), ("base64", LOWER + UPPER + DIGITS + "+/", 20, 0.93), ("base64url", LOWER + UPPER + DIGITS + "-_", 20, 0.93),
+             ("hex", DIGITS + "abcdef", 20, 0.95), ("mixed letters", LOWER + UPPER, 20, 0.9), ("lower", LOWER, 20, 0.5), ("lower 40", LOWER, 40, 0.9), ("upper 40", UPPER, 40, 0.9)]
+WORDS = ["/usr/local/lib/python3/site-packages", "getUserAccountInformation", "internationalization_of_words", "XMLHttpRequestEventTarget",
+         "linux-x86-generic-kernel", "counterrevolutionaries", "THE_QUICK_BROWN_FOX_JUMPS", "2024-01-31/report-final-v2", "123e4567-e89b-12d3-a456-426614174000"]
+
+
+def test_random_keys_of_each_alphabet_are_found(spark):
+    rnd = random.Random(21)
+    rows = [(f"{name}", f"see {''.join(rnd.choice(letters) for _ in range(n))} here") for name, letters, n, _ in ALPHABETS for _ in range(200)]
+    rows += [("words", f"see {w} here") for w in WORDS]
+    got = Counter()
+    for r in secret_spans(spark.createDataFrame(rows, "doc_id string, text string")).collect():
+        got[r.doc_id] += bool(r.spans)
+    assert got["words"] == 0
+    assert [(name, got[name]) for name, _, _, least in ALPHABETS if got[name] < 200 * least] == []
