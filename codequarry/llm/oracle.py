@@ -134,6 +134,90 @@ FROM t LEFT JOIN kept k ON t.doc_id = k.doc_id GROUP BY t.doc_id
 """
 
 
+def resampling(percent: int = 25, least_words: int = 20, seed: int = 7, buckets: int = 10_000) -> str:
+    """CRC-32 bit by bit for its table, then byte by byte over the distinct features."""
+    return f"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) AS r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc_table AS MATERIALIZED (SELECT i::BIGINT AS i, v FROM bits WHERE k = 8),
+texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark
+), split AS MATERIALIZED (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts
+), features AS MATERIALIZED (
+  SELECT side, id, unnest(w) AS f FROM split
+  UNION ALL
+  SELECT side, id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM split
+), counted AS MATERIALIZED (SELECT side, id, f, count(*) AS n FROM features GROUP BY ALL),
+steps(f, h, pos, c) AS (
+  SELECT f, hex(encode(f)), 1, 4294967295::BIGINT FROM (SELECT DISTINCT f FROM counted)
+  UNION ALL
+  SELECT s.f, s.h, s.pos + 2, xor(s.c >> 8, t.v) FROM steps s
+  JOIN crc_table t ON t.i = xor(s.c & 255, ('0x' || substr(s.h, s.pos, 2))::BIGINT) WHERE s.pos < length(s.h)
+), bucketed AS MATERIALIZED (
+  SELECT side, id, bucket, sum(n)::BIGINT AS n FROM counted
+  JOIN (SELECT f, xor(c, 4294967295) % {buckets} AS bucket FROM steps WHERE pos > length(h)) USING (f) GROUP BY ALL
+), totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE side = 't'), 0)::DOUBLE AS t
+  FROM bucketed GROUP BY bucket
+), whole AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM totals),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (all_s + {buckets}) / ((s + 1) * (all_t + {buckets}))))::BIGINT AS gain FROM totals, whole
+), weights AS (
+  SELECT id, sum(n)::BIGINT AS n, sum(n * gain)::BIGINT AS total FROM bucketed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT d.id AS doc_id, len(d.w) AS words, coalesce(w.n, 0)::BIGINT AS n_features,
+    coalesce((w.total - ((w.total % w.n) + w.n) % w.n) // w.n, 0)::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('{seed}:' || d.id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+  FROM split d LEFT JOIN weights w ON d.id = w.id WHERE d.side = 'd'
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE words >= {least_words}
+)
+SELECT s.doc_id, s.n_features, s.weight, s.weight + s.noise AS score, r.place AS rank
+FROM scored s LEFT JOIN (SELECT * FROM ranked WHERE place <= able * {percent} // 100) r ON s.doc_id = r.doc_id
+"""
+
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Rounds written out one after another; every part against every entry."""
+    nearest = lambda r: f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, p, y, min({{'far': far, 'e': e}}) AS best FROM (
+    SELECT v.vec_id, v.p, v.y, b.e, list_sum(list_transform(list_zip(v.y, b.y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS far
+    FROM parts v JOIN b{r} b ON v.p = b.p) GROUP BY vec_id, p, y
+)"""
+    moved = lambda r: f"""b{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.y, b.y) AS y FROM b{r} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS y FROM (
+      SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT p, best.e AS e, unnest(y) AS x, generate_subscripts(y, 1) AS i FROM a{r}) GROUP BY p, e, i) GROUP BY p, e
+  ) m ON b.p = m.p AND b.e = m.e
+)"""
+    steps = ",\n".join(nearest(r) + ",\n" + moved(r) for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, x[p * len(x) // {parts} + 1 : (p + 1) * len(x) // {parts}] AS y FROM kept, range({parts}) AS r(p)
+), b0 AS MATERIALIZED (
+  SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, y FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries})
+),
+{steps},
+{nearest(rounds)},
+digest AS (SELECT sha256(string_agg(x, ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM (
+  SELECT p, e, unnest(y)::VARCHAR AS x, generate_subscripts(y, 1) AS i FROM b{rounds})),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e::INTEGER), '' ORDER BY p) AS code, sum(best.far)::BIGINT AS error FROM a{rounds} GROUP BY vec_id
+)
+SELECT c.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, d.codebooks_sha256
+FROM coded c JOIN kept k ON c.vec_id = k.vec_id, digest d
+"""
+
+
 def checks(rules: list[tuple[str, str, str]], shard_bytes: int) -> dict[str, str]:
     return {"op1_url_filters": url_filters(rules), "op2_sharding": sharding(shard_bytes), "op3_embedding_near_dedup": EMBEDDINGS,
-            "op6_line_dedup": line_dedup(), "op9_secret_scan": secret_scan()}
+            "op6_line_dedup": line_dedup(), "op9_secret_scan": secret_scan(),
+            "op11_importance_resampling": resampling(), "op13_vector_codes": vector_codes()}

@@ -14,16 +14,20 @@ from codequarry.llm.embedding_dedup import embedding_links
 from codequarry.llm.line_dedup import drop_repeated_lines
 from codequarry.llm.mixing import mix
 from codequarry.llm.quality import Band, with_quality
+from codequarry.llm.rank_bpe import rank_decode, rank_encode
 from codequarry.llm.repair import read_token_files, write_token_files
+from codequarry.llm.resampling import resample
 from codequarry.llm.secret_scan import secret_spans
 from codequarry.llm.shared import work_folder
 from codequarry.llm.sharding import shards
 from codequarry.llm.simhash import simhash_groups
 from codequarry.llm.url_filters import url_verdicts
+from codequarry.llm.vector_codes import books_digest, vector_codes
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 SHARD_BYTES = 16 << 20
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 #: English by its own vocabulary, other languages by the one made for many.
 VOCABULARIES = {"en": "byte_bpe_50k.tiktoken", None: "byte_bpe_multi_50k.tiktoken"}
 #: Characters, and letters and digits, per token of a usual text (medians at sf0.1), and the share of broken characters allowed.
@@ -114,7 +118,24 @@ def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    encoded = rank_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return rank_decode(encoded, path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    return codes.withColumn("codebooks_sha256", F.lit(books_digest(books)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_sharding, op3_embedding_near_dedup, op4_bpe, op5_quality_rules, op6_line_dedup, op7_mixing, op8_simhash,
-    op9_secret_scan, op10_token_packing)}
+    op9_secret_scan, op10_token_packing, op11_importance_resampling, op12_byte_bpe, op13_vector_codes)}
 CHECKS = oracle.checks(URL_RULES, SHARD_BYTES)
