@@ -17,8 +17,9 @@ from codequarry.llm.shared import LOWER, UPPER, broadcast_if_small, checkpointed
 
 #: Frequent words and pairs that are broadcast: at most so many, words of at most so many bytes. Some 20 MB whatever the corpus.
 HEAD_WORDS, HEAD_PAIRS, HEAD_BYTES = 1 << 16, 1 << 18, 64
-#: Distinct words or pairs a task counts before it hands its counts on, and bytes of text taken at a time.
-HELD, PORTION = 1 << 18, 1 << 20
+#: Distinct words, or pairs, that a task holds before it hands counts on; what it saw fewer times by then is no candidate for
+#: the head. Bytes of text taken at a time.
+HELD_WORDS, HELD_PAIRS, OFTEN, PORTION = 1 << 18, 1 << 22, 8, 1 << 20
 #: Digits and ASCII letters, which become lower case, and all bytes of other characters belong to words; the rest separates them.
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _TO_WORDS = bytes(_LOWER[b] if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -70,47 +71,86 @@ class _Numbers(dict):
         self.tail = []
 
 
+def _shifts(longest: int) -> np.ndarray:
+    """What so many zero bytes make of each byte of a CRC-32 (its polynomial is a fixed value), for 0 to ``longest`` bytes."""
+    step = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        step = np.where(step & 1, step >> 1 ^ np.uint32(0xEDB88320), step >> 1)
+    out = [np.arange(256, dtype=np.uint32)[None, :] << np.array([[0], [8], [16], [24]], np.uint32)]
+    for _ in range(longest):
+        out.append(out[-1] >> 8 ^ step[out[-1] & 255])
+    return np.stack(out)
+
+
 class HeadTail:
-    """Buckets of words and pairs. Words of the head have a stored CRC state, pairs of the head a stored bucket; all others
-    take the CRC of their bytes, a pair by going on from the state of its first word. All are exact."""
+    """Buckets of words and pairs. Words of the head have stored CRC states, pairs of the head a stored bucket; others take
+    the CRC of their bytes, a pair by going on from the state of its first word over the bytes of its second."""
 
     def __init__(self, words: list[bytes], buckets: int, pairs: tuple[np.ndarray, np.ndarray] | None = None):
-        self.words, self.buckets = words, buckets
-        self.states = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+        self.words, self.buckets, self.pairs = words, buckets, pairs
+        self.shift = _shifts(HEAD_BYTES + 1)
+        self.head = self._states(words)
         self.numbers = _Numbers({w: i for i, w in enumerate(words)})
-        self.codes, self.found = pairs or (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-    def pair_bucket(self, code: int) -> int:
-        """The bucket of a pair of words of the head, directly."""
-        first, second = divmod(code, HEAD_WORDS)
-        return zlib.crc32(b" " + self.words[second], int(self.states[first])) % self.buckets
+    @staticmethod
+    def _states(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: its CRC, that of the word behind a space, and the bytes of the latter."""
+        n, space = len(words), zlib.crc32(b" ")
+        return (np.fromiter(map(zlib.crc32, words), np.uint32, n), np.fromiter((zlib.crc32(w, space) for w in words), np.uint32, n),
+                np.fromiter(map(len, words), np.int64, n) + 1)
+
+    def _direct(self, states: tuple[np.ndarray, ...], first: np.ndarray, second: np.ndarray, word) -> np.ndarray:
+        """Buckets of pairs by the CRC of their bytes: the first word's, moved over the bytes behind it, and the second's."""
+        whole, spaced, size = states
+        before, n = whole[first], size[second]
+        some = np.minimum(n, HEAD_BYTES + 1)
+        crc = spaced[second]
+        for k in range(4):
+            crc ^= self.shift[some, k, before >> np.uint32(8 * k) & np.uint32(255)]
+        for i in np.flatnonzero(n > HEAD_BYTES + 1).tolist():
+            crc[i] = zlib.crc32(b" " + word(int(second[i])), int(before[i]))
+        return crc.astype(np.int64) % self.buckets
+
+    def buckets_of(self, codes: np.ndarray) -> np.ndarray:
+        """Buckets of pairs of head words: stored, or direct."""
+        if self.pairs is None:
+            return self._direct(self.head, codes // HEAD_WORDS, codes % HEAD_WORDS, self.words.__getitem__)
+        keys, found = self.pairs
+        place = _slot(codes, len(keys))
+        out = found[place].astype(np.int64)
+        other = keys[place] != codes
+        rest = codes[other]
+        out[other] = self._direct(self.head, rest // HEAD_WORDS, rest % HEAD_WORDS, self.words.__getitem__)
+        return out
 
     def features(self, words: list[bytes], owner: np.ndarray, again: int):
         """Of a portion: the buckets of its words; of pairs of head words their codes and where their first word stands; of
         other pairs their buckets and where their first word stands."""
         numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        tail = self.numbers.tail
-        states = np.concatenate([self.states, np.fromiter(map(zlib.crc32, tail), np.uint32, len(tail))])
-        single = states[numbers[again:]] % self.buckets
+        tail, held = self.numbers.tail, len(self.words)
+        states = tuple(map(np.concatenate, zip(self.head, self._states(tail))))
+        single = states[0][numbers[again:]].astype(np.int64) % self.buckets
         at = np.flatnonzero(owner[1:] == owner[:-1])
         a, b = numbers[at], numbers[at + 1]
-        inside = (a < len(self.words)) & (b < len(self.words))
-        outer, index = np.unique(a[~inside] << 32 | b[~inside], return_inverse=True)
-        name = lambda k: self.words[k] if k < len(self.words) else tail[k - len(self.words)]
-        direct = [zlib.crc32(b" " + name(k & 0xFFFFFFFF), int(states[k >> 32])) % self.buckets for k in outer.tolist()]
+        inside = (a < held) & (b < held)
+        direct = self._direct(states, a[~inside], b[~inside], lambda k: self.words[k] if k < held else tail[k - held])
         self.numbers.forget()
-        return single.astype(np.int64), a[inside] * HEAD_WORDS + b[inside], at[inside], np.array(direct, np.int64)[index], at[~inside]
+        return single, a[inside] * HEAD_WORDS + b[inside], at[inside], direct, at[~inside]
+
+
+def _slot(codes: np.ndarray, size: int) -> np.ndarray:
+    """Place of a pair in a table of ``size`` (a power of two)."""
+    return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
-    def buckets_of(self, codes: np.ndarray) -> np.ndarray:
-        """Buckets of pairs of head words: from the stored pairs, else directly, each distinct one once."""
-        distinct, index = np.unique(codes, return_inverse=True)
-        place = np.searchsorted(self.codes, distinct)
-        place[place == len(self.codes)] = 0
-        known = self.codes[place] == distinct if len(self.codes) else np.zeros(len(distinct), bool)
-        out = np.zeros(len(distinct), np.int64)
-        out[known] = self.found[place[known]]
-        out[~known] = [self.pair_bucket(c) for c in distinct[~known].tolist()]
-        return out[index]
+
+def pair_table(codes: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and their buckets by place; of pairs with one place the last stays, the others take the direct way."""
+    keys, found = np.full(4 * HEAD_PAIRS, -1, np.int64), np.zeros(4 * HEAD_PAIRS, np.int32)
+    place = _slot(codes, len(keys))
+    keys[place] = codes
+    held = keys[place] == codes
+    found[place[held]] = buckets[held]
+    return keys, found
 
 
 def _texts(batch: pa.RecordBatch, column: int, rows: int = 512) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
@@ -124,16 +164,20 @@ def _rows(**columns) -> pa.RecordBatch:
 
 
 def _count_words(texts: DataFrame) -> DataFrame:
-    """``word`` (binary) and ``n``, its number in all texts."""
+    """``word`` (binary) and ``n``: words that some task saw often, and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
-        hand = lambda: _rows(word=pa.array(list(counts), pa.binary()), n=pa.array(list(counts.values()), pa.int64()))
+
+        def hand() -> pa.RecordBatch:
+            often = [(w, n) for w, n in counts.items() if n >= OFTEN and len(w) <= HEAD_BYTES]
+            return _rows(word=pa.array([w for w, _ in often], pa.binary()), n=pa.array([n for _, n in often], pa.int64()))
+
         for batch in batches:
             for _, values in _texts(batch, 0):
                 for words, _, again in word_runs(values):
                     counts.update(words[again:])
-                    if len(counts) > HELD:
+                    if len(counts) > HELD_WORDS:
                         yield hand()
                         counts.clear()
         yield hand()
@@ -142,35 +186,48 @@ def _count_words(texts: DataFrame) -> DataFrame:
 
 
 def _count_features(texts: DataFrame, head: Broadcast, buckets: int) -> DataFrame:
-    """``key`` and ``n``: pairs of head words under their code, all other features under ``-1 - bucket``."""
+    """``key`` and ``n``: pairs of head words that a task saw often under their code, all other features under ``-1 - bucket``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, codes, numbers, held = HeadTail(head.value[0], buckets), [], [], 0
+        table, codes, held = HeadTail(head.value[0], buckets), [], 0
         direct = np.zeros(buckets, np.int64)
 
         def hand() -> pa.RecordBatch:
-            every, index = np.unique(np.concatenate([*codes, -1 - np.flatnonzero(direct)]), return_inverse=True)
-            return _rows(key=pa.array(every), n=pa.array(np.bincount(
-                index, np.concatenate([*numbers, direct[direct > 0]]).astype(np.float64), len(every)).astype(np.int64)))
+            every, n = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_counts=True)
+            rare = n < OFTEN
+            np.add.at(direct, table.buckets_of(every[rare]), n[rare])
+            filled = np.flatnonzero(direct)
+            return _rows(key=pa.array(np.concatenate([every[~rare], -1 - filled])), n=pa.array(np.concatenate([n[~rare], direct[filled]])))
 
         for batch in batches:
             for _, values in _texts(batch, 0):
                 for words, owner, again in word_runs(values):
                     single, inner, _, outer, _ = table.features(words, owner, again)
                     direct += np.bincount(single, minlength=buckets) + np.bincount(outer, minlength=buckets)
-                    some, n = np.unique(inner, return_counts=True)
-                    codes.append(some)
-                    numbers.append(n)
-                    held += len(some)
-                    if held > 4 * HELD:
+                    codes.append(inner)
+                    held += len(inner)
+                    if held > HELD_PAIRS:
                         yield hand()
-                        codes, numbers, held = [], [], 0
+                        codes, held = [], 0
                         direct[:] = 0
         yield hand()
 
     return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows with the highest ``n``, down to a level (a sixteenth of a doubling) that leaves ``most`` at most."""
+    level = F.floor(16 * F.log2("n")).cast("int")
+    # one row per level: 16 for each doubling of the largest count
+    left, least = most, 2**30
+    for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).orderBy(F.desc("level")).collect():
+        left -= r["rows"]
+        if left < 0:
+            break
+        least = r["level"]
+    return counts.filter(level >= least)
+
+
 def _totals(features: DataFrame, head: Broadcast, buckets: int) -> DataFrame:
     """``bucket, n``: pairs of head words, each distinct one once, and what had its bucket already."""
 
@@ -186,24 +243,24 @@ def _totals(features: DataFrame, head: Broadcast, buckets: int) -> DataFrame:
 
 
 def bucket_gains(docs: DataFrame, target: DataFrame, text: str = "text", buckets: int = 10_000) -> tuple[DataFrame, Broadcast]:
-    """``bucket, gain`` for every bucket, and the head (frequent words; codes and buckets of frequent pairs) for scoring.
+    """``bucket, gain`` for every bucket, and the head (frequent words; frequent pairs and their buckets) for scoring.
 
-    Words are counted exactly over all of ``docs``; the ``HEAD_WORDS`` most frequent ones (ties in byte order) make the
-    head. Pairs of head words are then counted exactly, the ``HEAD_PAIRS`` most frequent are its pairs; every other feature
-    is counted in its bucket right away. Both feed the totals, so they do not depend on where the head ends.
+    Words of ``docs`` are counted; the most frequent ones, ``HEAD_WORDS`` at most, make the head. Then every feature of every
+    text is counted: pairs of head words that are frequent in a task by themselves, all others in their bucket right away.
+    Both feed the totals, which are exact wherever the head ends; the most frequent pairs, ``HEAD_PAIRS`` at most, are its pairs.
     """
     if not 0 < buckets <= 1 << 20:
         raise ValueError("buckets must be 1 to 1,048,576")
     spark = docs.sparkSession
     ship(spark)
     plain = lambda df: df.select(F.col(f"`{text}`").cast("binary").alias("text"))
-    frequent = _count_words(plain(docs)).filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
-    words = sorted(bytes(r["word"]) for r in frequent.select("word").collect())
+    counted = stored(_count_words(plain(docs)), "words")
+    words = sorted(bytes(r["word"]) for r in _most_frequent(counted, HEAD_WORDS).select("word").collect())
     head = spark.sparkContext.broadcast((words, None))
     features = stored(_count_features(plain(docs), head, buckets), "features")
-    pairs = features.filter("key >= 0").orderBy(F.desc("n"), "key").limit(HEAD_PAIRS).select("key").toPandas()["key"].to_numpy(np.int64)
-    codes, table = np.sort(pairs), HeadTail(words, buckets)
-    head = spark.sparkContext.broadcast((words, (codes, np.array([table.pair_bucket(c) for c in codes.tolist()], np.int64))))
+    pairs = _most_frequent(features.filter("key >= 0"), HEAD_PAIRS).select("key").orderBy("key").toArrow().column("key")
+    codes = pairs.to_numpy().astype(np.int64)
+    head = spark.sparkContext.broadcast((words, pair_table(codes, HeadTail(words, buckets).buckets_of(codes))))
     source = _totals(features, head, buckets)
     wanted = _totals(_count_features(plain(target), head, buckets), head, buckets)
     every = spark.range(buckets).select(F.col("id").alias("bucket"))
@@ -235,7 +292,7 @@ def document_weights(docs: DataFrame, gains: DataFrame, head: Broadcast, id_colu
                     single, inner, at, outer, beside = table.features(words, owner, again)
                     for rows, found in ((owner[again:], gain[single]), (owner[at], gain[table.buckets_of(inner)]), (owner[beside], gain[outer])):
                         size += np.bincount(rows, minlength=part.num_rows)
-                        np.add.at(total, rows, found)
+                        total += np.bincount(rows, found, part.num_rows).astype(np.int64)  # below 2^53: exact
                     n_words += np.bincount(owner[again:], minlength=part.num_rows)
                 weight = np.where(size > 0, total // np.maximum(size, 1), 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, (n_words, size, weight))], ["id", "n_words", "n_features", "weight"])
