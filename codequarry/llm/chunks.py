@@ -7,6 +7,7 @@ import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -61,18 +62,16 @@ class _Slots(dict):
         return number
 
 
-class ChunkEncoder:
-    """Ids of whole texts from ids of their chunks.
+class PieceMemory:
+    """Ids of pieces of text, each found once while it is remembered.
 
-    A chunk begins at each space, line feed, full stop or comma. The split pattern never joins characters over such a border
-    unless white space meets white space there, or a full stop or comma follows something else than a Latin letter or digit;
-    texts where that happens are split by the pattern itself. ``encode_many`` gives the
-    ids of distinct chunks, as lists or as :func:`flat_ids`. Once the memory
-    holds more than ``bound`` chunks, only those seen more than once stay; results never depend on what it holds.
+    ``encode_many`` gives the ids of distinct pieces, as lists or as :func:`flat_ids`. Once the memory holds more than ``bound`` pieces,
+    or ``most_bytes`` of pieces and ids, only those seen more than once stay; results never depend on what it holds.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]], special: dict[str, int], bound: int = 200_000):
-        self.encode_many, self.special, self.bound = encode_many, special, bound
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]], bound: int = 200_000,
+                 most_bytes: int = 96 << 20):
+        self.encode_many, self.bound, self.most_bytes = encode_many, bound, most_bytes
         self.clear()
 
     def done(self) -> None:
@@ -82,22 +81,28 @@ class ChunkEncoder:
         with contextlib.suppress(OSError, AttributeError):  # glibc only
             ctypes.CDLL("libc.so.6").malloc_trim(0)
 
+    def flags_of(self, pieces: list[str]) -> np.ndarray:
+        return np.zeros(len(pieces), np.uint8)
+
     def clear(self) -> None:
         self.slot = _Slots()
         self.pool = np.zeros(1 << 16, np.int32)
-        self.used = 0
+        self.used = self.held = 0
         self.start, self.length, self.flags = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint8)
         self.seen = np.zeros(0, np.int32)
 
-    def _forget(self) -> None:
-        """Keeps the chunks seen more than once; all go if they are most of the memory."""
+    def make_room(self) -> None:
+        """Keeps the pieces seen more than once if the memory is full; all go if these are most of it."""
+        if len(self.slot) <= self.bound and self.held + 4 * self.used <= self.most_bytes:
+            return
         often = np.flatnonzero(self.seen > 1)
         names, pool, start, length, flags = list(self.slot), self.pool, self.start, self.length, self.flags
         self.clear()
-        if len(often) > self.bound // 2:
+        held = sum(map(getsizeof, map(names.__getitem__, often.tolist())))
+        if len(often) > self.bound // 2 or held + 4 * int(length[often].sum()) > self.most_bytes // 2:
             return
         self.slot.update((names[i], k) for k, i in enumerate(often.tolist()))
-        self.length, self.flags, self.seen = length[often], flags[often], np.ones(len(often), np.int32)
+        self.length, self.flags, self.seen, self.held = length[often], flags[often], np.ones(len(often), np.int32), held
         ends = np.cumsum(self.length, dtype=np.int64)
         self.start, self.used = ends - self.length, int(ends[-1]) if len(ends) else 0
         self.pool = pool[np.repeat(start[often] - self.start, self.length) + np.arange(self.used)]
@@ -111,11 +116,13 @@ class ChunkEncoder:
         self.pool[self.used : self.used + total] = ids
         starts = self.used + np.cumsum(lengths, dtype=np.int64) - lengths
         self.used += total
+        self.held += sum(map(getsizeof, new))
         self.start, self.length = np.concatenate([self.start, starts]), np.concatenate([self.length, lengths])
         self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
-        self.flags = np.concatenate([self.flags, np.fromiter(map(_flags, new), np.uint8, len(new))])
+        self.flags = np.concatenate([self.flags, self.flags_of(new)])
 
-    def _slots(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def slots_of(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all pieces one after another, and how many each list has."""
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int32, int(counts.sum()))
         if self.slot.new:
@@ -124,15 +131,40 @@ class ChunkEncoder:
         self.seen += np.bincount(slots, minlength=len(self.seen)).astype(np.int32)
         return slots, counts
 
+    def ids_of(self, slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces one after another, and how many each list has."""
+        lengths = self.length[slots]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(self.start[slots] - ends + lengths, lengths) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(bounds)
+
+
+class ChunkEncoder(PieceMemory):
+    """Ids of whole texts from ids of their chunks.
+
+    A chunk begins at each space, line feed, full stop or comma. The split pattern never joins characters over such a border
+    unless white space meets white space there, or a full stop or comma follows something else than a Latin letter or digit;
+    texts where that happens are split by the pattern itself.
+    """
+
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]], special: dict[str, int],
+                 bound: int = 200_000, most_bytes: int = 96 << 20):
+        self.special = special
+        super().__init__(encode_many, bound, most_bytes)
+
+    def flags_of(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(_flags, pieces), np.uint8, len(pieces))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
         lists = [
             pieces(t, self.special) if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n").replace(".", "\0.").replace(",", "\0,").split("\0")
             for t in texts
         ]
-        if len(self.slot) > self.bound:
-            self._forget()
-        slots, counts = self._slots(lists)
+        self.make_room()
+        slots, counts = self.slots_of(lists)
         flags = self.flags[slots]
         unsure = (flags & OPEN) > 0
         unsure[1:] |= ((flags[1:] & STOP) > 0) & ((flags[:-1] & FIRM) == 0)
@@ -140,16 +172,11 @@ class ChunkEncoder:
             ends = np.cumsum(counts)
             anew = np.unique(np.searchsorted(ends, np.flatnonzero(unsure), "right"))
             parts = np.split(slots, ends[:-1])
-            others, counts[anew] = self._slots([pieces(texts[i], self.special) for i in anew.tolist()])
+            others, counts[anew] = self.slots_of([pieces(texts[i], self.special) for i in anew.tolist()])
             for i, part in zip(anew.tolist(), np.split(others, np.cumsum(counts[anew])[:-1])):
                 parts[i] = part
             slots = np.concatenate(parts)
-        lengths = self.length[slots]
-        ends = np.cumsum(lengths, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.start[slots] - ends + lengths, lengths) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(bounds)
+        return self.ids_of(slots, counts)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

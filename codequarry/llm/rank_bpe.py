@@ -14,36 +14,93 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codequarry.llm.chunks import PieceMemory, portions, slices
 from codequarry.llm.shared import broadcast_if_small, checkpointed, ship, stored
 
 #: Characters of a chunk; texts up to it are one chunk. Characters two neighbouring chunks share.
 CHUNK, OVERLAP = 1 << 15, 1 << 9
 #: Characters that the split pattern may look at behind the start of a piece before it is settled: ``'ll`` has three.
 AHEAD = 3
-#: Bytes of pieces and ids a task remembers, and the longest piece it remembers.
-MEMORY, LONGEST = 32 << 20, 64
+#: Bytes of a piece up to which pieces are merged side by side; the rank of joint bytes that have none.
+LONGEST, NONE = 64, 1 << 40
 
 
-class Ranks(dict):
-    """Packed ids (little-endian, 32 bits each) of pieces, remembered up to a bound; results never depend on what is held."""
+class Ranks:
+    """A rank file: ids of single pieces, or of many at once."""
 
     def __init__(self, content: bytes):
-        super().__init__()
         self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
-        self.held = 0
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.ids_of(piece.encode()), "<u4").tobytes()
-        if len(piece) <= LONGEST:
-            if self.held > MEMORY:
-                self.forget()
-            self[piece] = ids
-            self.held += 200 + 2 * len(piece) + len(ids)
-        return ids
-
-    def forget(self) -> None:
-        self.clear()
-        self.held = 0
+        self.bytes = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
+        joint = [(left << 32 | right, r) for token, r in self.rank.items() for i in range(1, len(token))
+                 if (left := self.rank.get(token[:i])) is not None and (right := self.rank.get(token[i:])) is not None]
+        codes, ranks = np.array(sorted(joint), np.int64).reshape(-1, 2).T
+        # one more entry, which nothing equals, for what stands behind the last
+        self.codes, self.joint = np.append(codes, np.int64(-1)), np.append(ranks, NONE)
+        self.bytes_joint = self._joint(np.repeat(self.bytes, 256), np.tile(self.bytes, 256)).reshape(256, 256)
+        self.memory = PieceMemory(self.many)
+
+    def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the joint bytes of two ids, NONE if they have none."""
+        code = left << 32 | right
+        place = np.searchsorted(self.codes[:-1], code)
+        return np.where(self.codes[place] == code, self.joint[place], NONE)
+
+    def encode(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of lists of pieces one after another, and how many each list has."""
+        self.memory.make_room()
+        return self.memory.ids_of(*self.memory.slots_of(lists))
+
+    def many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and how many each has: those with a rank directly, long ones singly, the rest
+        side by side, in blocks of like length."""
+        data = [p.encode() for p in pieces]
+        found: list[np.ndarray | None] = [None] * len(data)
+        waiting: dict[int, list[int]] = {}
+        for i, piece in enumerate(data):
+            own = self.rank.get(piece)
+            if own is not None or not piece:
+                found[i] = np.array([own] if piece else [], np.int64)
+            elif len(piece) > LONGEST:
+                found[i] = np.array(self.ids_of(piece), np.int64)
+            else:
+                waiting.setdefault(max(4, 1 << (len(piece) - 1).bit_length()), []).append(i)
+        for width, numbers in waiting.items():
+            for first in range(0, len(numbers), 8192):
+                some = numbers[first : first + 8192]
+                for i, ids in zip(some, self._merged([data[i] for i in some], width)):
+                    found[i] = ids
+        lengths = np.fromiter(map(len, found), np.int32, len(found))
+        return (np.concatenate(found) if found else np.zeros(0)).astype(np.int32), lengths
+
+    def _merged(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
+        """As ``ids_of`` for pieces of up to ``width`` bytes, a merge of each at a time: rows of parts, and beside them the ranks
+        of the joint bytes of neighbours. The lowest, leftmost first, becomes a part, and what is right of it moves up."""
+        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        column = np.arange(width)
+        parts = self.bytes[raw]
+        border = np.where(column[:-1] < size[:, None] - 1, self.bytes_joint[raw[:, :-1], raw[:, 1:]], NONE)
+        row, out = np.arange(len(pieces)), [None] * len(pieces)
+        while len(row):
+            at = border.argmin(axis=1)
+            lowest = border[np.arange(len(row)), at]
+            done = lowest == NONE
+            if done.any():
+                for i in np.flatnonzero(done).tolist():
+                    out[row[i]] = parts[i, : size[i]]
+                row, parts, border, size, at, lowest = (x[~done] for x in (row, parts, border, size, at, lowest))
+                if not len(row):
+                    break
+            every = np.arange(len(row))
+            parts[every, at] = lowest
+            parts[:, :-1] = np.where(column[:-1] > at[:, None], parts[:, 1:], parts[:, :-1])
+            border[:, :-1] = np.where(column[:-2] >= at[:, None], border[:, 1:], border[:, :-1])
+            border[:, -1] = NONE
+            size = size - 1
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < size - 1)
+            border[left, at[left] - 1] = self._joint(parts[left, at[left] - 1], lowest[left])
+            border[right, at[right]] = self._joint(lowest[right], parts[right, at[right] + 1])
+        return out
 
     def ids_of(self, piece: bytes) -> list[int]:
         """A piece that has a rank is that id. Otherwise the neighbours whose joint bytes have the lowest rank are merged,
@@ -77,6 +134,12 @@ class Ranks(dict):
         return out
 
 
+def packed(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The ids of each list as little-endian 32-bit numbers."""
+    data, ends = ids.astype("<u4").tobytes(), np.cumsum(counts, dtype=np.int64) * 4
+    return pa.array([data[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist())], pa.binary())
+
+
 _BUILT: dict[int, Ranks] = {}
 
 
@@ -102,12 +165,12 @@ def _encode_whole(texts: DataFrame, content: Broadcast, pattern: str, ids: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, split = _ranks(content), regex.compile(pattern)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 64):
-                batch = whole.slice(first, 64)
-                packed = [b"".join(map(ranks.__getitem__, split.findall(t))) for t in batch.column(len(rest)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], [*rest, ids])
-        ranks.forget()
+        for batch in slices(batches):
+            texts = batch.column(len(rest)).to_pylist()
+            for begin, end in portions(texts, 1 << 20):
+                found = ranks.encode([split.findall(t) for t in texts[begin:end]])
+                yield pa.RecordBatch.from_arrays([*(c.slice(begin, end - begin) for c in batch.columns[:-1]), packed(*found)], [*rest, ids])
+        ranks.memory.done()
 
     return texts.mapInArrow(run, T.StructType([*texts.schema[:-1], T.StructField(ids, T.BinaryType())]))
 
@@ -194,10 +257,10 @@ def _encode_chunks(ready: DataFrame, own: DataFrame, content: Broadcast, ids: st
                 ends = np.cumsum(lengths.values.to_numpy(), dtype=np.int64)
                 ends = ends[(ends > first.as_py() - begin) & (ends <= (until.as_py() or begin + len(part)) - begin)]
                 starts = np.concatenate([[first.as_py() - begin], ends[:-1]]) if len(ends) else ends
-                packed = b"".join([ranks[part[a:b]] for a, b in zip(starts.tolist(), ends.tolist())])
+                found = ranks.encode([[part[a:b] for a, b in zip(starts.tolist(), ends.tolist())]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([digest.as_py()]), pa.array([begin], pa.int64()), pa.array([packed], pa.binary())], ["digest", "begin", "ids"])
-        ranks.forget()
+                    [pa.array([digest.as_py()]), pa.array([begin], pa.int64()), packed(*found)], ["digest", "begin", "ids"])
+        ranks.memory.done()
 
     encoded = mine.mapInArrow(run, "digest string, begin long, ids binary")
 
@@ -252,8 +315,8 @@ def rank_decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", data: str
             for first in range(0, whole.num_rows, 64):
                 batch = whole.slice(first, 64)
                 out = []
-                for packed in batch.column(at).to_pylist():
-                    numbers = np.frombuffer(packed or b"", "<u4", len(packed or b"") // 4)
+                for data_of in batch.column(at).to_pylist():
+                    numbers = np.frombuffer(data_of or b"", "<u4", len(data_of or b"") // 4)
                     out.append(b"".join(map(table.__getitem__, numbers[numbers < len(table)].tolist())))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*rest, data])
 
