@@ -27,10 +27,12 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, id_column: str = "page_id",
 
     ``rules`` has ``host``, ``path`` and ``verdict``. A rule fits its host and all subdomains if the URL's path starts
     with the rule's. The longest rule wins, then the longer host, then the verdict later in the alphabet (``block``).
-    Each URL is expanded into every host suffix and path prefix that a rule could have (by the lengths that occur
-    among the rules). The first digits of the SHA-256 of each are joined with those of the rules, then whole digests
-    decide. Rules are broadcast only if few; otherwise a common expression (a third of all URLs under one host) is the
-    many side of an inner join, which adaptive execution splits, and the best rule is picked by an aggregate.
+    Each URL is expanded into its host suffixes, as long as a rule's host can be. The first digits of the SHA-256 of each are joined with those
+    of the rules' hosts, then whole digests decide. What is left is expanded into path prefixes, only as long as the paths of that
+    host's rules, and joined with the rules in the same way. The best rule is an aggregate by host and path, combined before
+    the shuffle, and is joined back by these two values: results do not depend on the order in which rows are read, or read
+    again. Rules are broadcast only if few; otherwise a common expression (a third of all URLs under one host) is the many
+    side of a join, which adaptive execution splits.
 
     Null urls, and those without ``://``, have empty host and path, fit no rule and get ``default``. Rules with a null
     host, path or verdict, or an empty host, fit nothing. Repeated rows each get a row; repeated rules change nothing.
@@ -45,32 +47,31 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, id_column: str = "page_id",
         .withColumn("digest", expression(F.col("rule_host"), F.col("rule_path")))
         .withColumn("short", F.substring("digest", 1, SHORT))
     )
-    # lengths, not rules: as many entries as the longest host has characters, and the longest path
-    shape = known.agg(
-        F.count("*").alias("n"), F.sort_array(F.collect_set(F.length("rule_path"))).alias("paths"),
-        F.sort_array(F.collect_set(F.size(F.split("rule_host", r"\.")))).alias("labels"),
-    ).first()
-    base = urls.select(
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").alias("id"), host_of(F.col(f"`{url}`")).alias("host"),
-        path_of(F.col(f"`{url}`")).alias("path"),
+    hosts = checkpointed(
+        known.groupBy("rule_host").agg(F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths"))
+        .withColumn("host_digest", F.sha2("rule_host", 256)).withColumn("host_short", F.substring("host_digest", 1, SHORT))
     )
+    # one row: the label counts that occur, as many as the longest host has labels
+    shape = hosts.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.size(F.split("rule_host", r"\.")))).alias("labels")).first()
+    base = urls.select(F.col(f"`{id_column}`").alias("id"), host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
     if not shape["n"]:
         return base.select(F.col("id").alias(id_column), "host", "path", F.lit(None).cast("string").alias("rule"),
                            F.lit(default).alias("verdict"))
     labels = F.array(*[F.lit(n) for n in shape["labels"]])
-    lengths = F.array(*[F.lit(n) for n in shape["paths"]])
-    suffixes = F.when(F.col("host") != "", F.transform(
-        F.filter(labels, lambda n: n <= F.size(F.split("host", r"\."))), lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n)
-    )).otherwise(F.array().cast("array<string>"))
-    prefixes = F.transform(F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
-    digests = F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: expression(h, p))))
-    expanded = base.select("row", F.explode(digests).alias("digest")).withColumn("short", F.substring("digest", 1, SHORT))
-    found = expanded.alias("e").join(broadcast_if_small(known, shape["n"]).alias("k"), "short").filter("e.digest = k.digest")
-    best = found.groupBy("row").agg(F.max(F.struct(
+    suffixes = F.transform(F.filter(labels, lambda n: n <= F.size(F.split("host", r"\."))),
+                           lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
+    by_host = base.filter("host <> ''").select("host", "path", F.explode(suffixes).alias("suffix")).withColumn(
+        "suffix_digest", F.sha2("suffix", 256)).withColumn("host_short", F.substring("suffix_digest", 1, SHORT))
+    near = by_host.join(broadcast_if_small(hosts, shape["n"]), "host_short").filter("suffix_digest = host_digest")
+    prefixes = F.transform(F.filter("lengths", lambda n: n <= F.length("path")),
+                           lambda n: expression(F.col("suffix"), F.substring(F.col("path"), F.lit(1), n)))
+    expanded = near.select("host", "path", F.explode(prefixes).alias("digest")).withColumn("short", F.substring("digest", 1, SHORT))
+    found = expanded.alias("e").join(broadcast_if_small(known, known.count()).alias("k"), "short").filter("e.digest = k.digest")
+    best = found.groupBy("host", "path").agg(F.max(F.struct(
         F.length(F.concat("rule_host", "rule_path")).alias("size"), F.length("rule_host").alias("host_size"), "rule_verdict",
         F.concat("rule_host", "rule_path").alias("rule"),
     )).alias("best"))
-    return base.join(best, "row", "left").select(
+    return base.join(best, ["host", "path"], "left").select(
         F.col("id").alias(id_column), "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce(F.col("best.rule_verdict"), F.lit(default)).alias("verdict"),
     )
