@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from codequarry.llm.secret_scan import ALLOWED, CLASSES, LEAST, SCALE, WINDOW, most_cost
-
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -99,9 +97,16 @@ def secret_scan() -> str:
         f"SELECT doc_id, {rank} AS rank, '{name}' AS kind, {_quoted(pattern)} AS pattern, "
         f"string_split_regex(text, {_quoted(pattern)}) AS gaps, regexp_extract_all(text, {_quoted(pattern)}, 0) AS found FROM t"
         for rank, (name, pattern) in enumerate(kinds))
-    limit = "CASE " + " ".join(
-        "WHEN " + " AND ".join(f"regexp_matches(match, {_quoted(p)})" for p in patterns) + f" THEN {most_cost(bits)}" for _, patterns, bits in CLASSES) + " END"
-    allowed = " OR ".join(f"regexp_matches(match, {_quoted(p)})" for p in ALLOWED)
+    # bits a window must reach: hex 2.9; upper and lower case with digits 3.6; letters and digits 3.3; letters 3.6
+    has = lambda pattern: f"regexp_matches(match, '{pattern}')"
+    most = lambda bits: f"floor((log2(20) - {bits}) * 20 * 1000000)::BIGINT"
+    limit = f"""CASE WHEN {has("^[0-9A-Fa-f]+$")} AND {has("[0-9]")} AND {has("[A-Fa-f]")} THEN {most("2.9")}
+    WHEN {has("[0-9]")} AND {has("[a-z]")} AND {has("[A-Z]")} THEN {most("3.6")}
+    WHEN {has("[0-9]")} AND {has("[A-Za-z]")} THEN {most("3.3")} WHEN {has("[A-Za-z]")} THEN {most("3.6")} END"""
+    word, name = "([A-Z]{0,4}[a-z]{1,19}([A-Z][a-z]{1,19})*|[A-Z]{1,19}|[0-9]+)", "([A-Za-z]{1,19}[0-9]{0,4}|[0-9]+)"
+    allowed = " OR ".join(map(has, [
+        "(?i)example|sample|placeholder|your[-_]", "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "(?i)abcdefghij|0123456789",
+        f"^/?{word}([/_=-]+{word})*/?$", f"^/?{name}([/_=-]+{name})+/?$"]))
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 scans AS ({scans}),
@@ -112,16 +117,16 @@ matches AS (
 ), spans AS (
   SELECT doc_id, rank, kind, match, (stop - length(match))::BIGINT AS start, stop::BIGINT AS stop FROM placed
 ), base AS (
-  SELECT * FROM spans WHERE (rank = 0 AND length(regexp_extract(match, {_quoted(assign)}, 2)) >= {LEAST["assign"]})
-    OR (rank = 1 AND length(match) >= {LEAST["access"]}) OR (rank = 2 AND length(match) >= {LEAST["hex"]})
+  SELECT * FROM spans WHERE (rank = 0 AND length(regexp_extract(match, {_quoted(assign)}, 2)) >= 8)
+    OR (rank = 1 AND length(match) >= 16) OR (rank = 2 AND length(match) >= 32)
 ), candidates AS MATERIALIZED (
   SELECT *, {limit} AS most FROM spans WHERE rank = 3 AND NOT ({allowed})
 ), windows AS (
-  SELECT doc_id, start, stop, most, substr(match, pos, {WINDOW}) AS part
-  FROM (SELECT *, unnest(range(1, length(match) - {WINDOW} + 2)) AS pos FROM candidates WHERE most IS NOT NULL)
+  SELECT doc_id, start, stop, most, substr(match, pos, 20) AS part
+  FROM (SELECT *, unnest(range(1, length(match) - 18)) AS pos FROM candidates WHERE most IS NOT NULL)
 ), high AS (
   SELECT DISTINCT doc_id, start, stop FROM windows
-  WHERE list_sum(list_transform(map_values(list_aggregate(string_split(part, ''), 'histogram')), lambda n: round(n * log2(n) * {SCALE})::BIGINT)) <= most
+  WHERE list_sum(list_transform(map_values(list_aggregate(string_split(part, ''), 'histogram')), lambda n: round(n * log2(n) * 1000000)::BIGINT)) <= most
 ), added AS (
   SELECT h.doc_id, 3 AS rank, 'entropy' AS kind, '' AS match, h.start, h.stop FROM high h
   WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = h.doc_id AND b.start < h.stop AND h.start < b.stop)

@@ -17,13 +17,14 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 WINDOW = 20
 CLASSES = [("hex", [r"^[0-9A-Fa-f]+$", r"[0-9]", r"[A-Fa-f]"], 2.9), ("mixed", [r"[0-9]", r"[a-z]", r"[A-Z]"], 3.6),
            ("plain", [r"[0-9]", r"[A-Za-z]"], 3.3), ("letters", [r"[A-Za-z]"], 3.6)]
-#: A word of under 20 letters, words in camel case, or a number.
-_WORD = r"([A-Z]{0,4}[a-z]{1,19}([A-Z][a-z]{1,19})*|[A-Z]{1,19}|[0-9]+)"
-_NAME = r"([A-Za-z]{1,19}[0-9]{0,4}|[0-9]+)"
+#: A word of under 20 letters, words in camel case, or a number. Repeats are possessive: they give nothing back, which changes
+#: no match (parts and separators share no character), and a pattern of any length is matched without recursion.
+_WORD = r"(?:[A-Z]{0,4}[a-z]{1,19}(?:[A-Z][a-z]{1,19})*+|[A-Z]{1,19}|[0-9]+)"
+_NAME = r"(?:[A-Za-z]{1,19}[0-9]{0,4}|[0-9]+)"
 #: Never secrets, however mixed: paths and words joined by dashes or underscores (with short numbers behind them), UUIDs,
 #: alphabets, and what calls itself an example.
 ALLOWED = [r"(?i)example|sample|placeholder|your[-_]", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-           r"(?i)abcdefghij|0123456789", rf"^/?{_WORD}([/_=-]+{_WORD})*/?$", rf"^/?{_NAME}([/_=-]+{_NAME})+/?$"]
+           r"(?i)abcdefghij|0123456789", rf"^/?{_WORD}(?:[/_=-]++{_WORD})*+[/]?$", rf"^/?{_NAME}(?:[/_=-]++{_NAME})++[/]?$"]
 SCALE = 1_000_000
 
 
@@ -37,25 +38,43 @@ def most_cost(bits: float, window: int = WINDOW) -> int:
     return math.floor((math.log2(window) - bits) * window * SCALE)
 
 
-def lowest_cost(chars: Column, window: int = WINDOW) -> Column:
-    """Of an array of single characters: the lowest sum of costs over all windows, by counts carried along. A step takes in
-    one character and lets one go; the sum changes by what the counts of these two add and lose."""
-    costs = F.array(*[F.lit(cost(n)).cast("long") for n in range(window + 2)])
-    times = lambda first, n, c: F.size(F.filter(F.slice(chars, first, n), lambda x: x == c))
-    change = lambda new, old: F.get(costs, new) - F.get(costs, old)
+#: The lowest code of a key character; counts of ``PER`` codes lie side by side in a long, ``WIDE`` bits each.
+FIRST, CODES, PER, WIDE = ord("+"), ord("z") - ord("+") + 1, 12, 5
 
-    def step(state: Column, p: Column) -> Column:
-        incoming, outgoing = F.element_at(chars, p), F.get(chars, p - window - 1)
-        # counted over the last ``window`` characters before this one, then without the one that leaves
-        before = times(F.greatest(p - window, F.lit(1)), F.least(p - 1, F.lit(window)), incoming)
-        leaves = p > window
-        held = before - F.when(leaves & (outgoing == incoming), 1).otherwise(0)
-        lost = F.when(leaves, times(p - window, F.lit(window), outgoing)).otherwise(0)
-        total = state["sum"] + F.when(leaves, change(lost - 1, lost)).otherwise(F.lit(0).cast("long")) + change(held + 1, held)
-        return F.struct(total.alias("sum"), F.when(p >= window, F.least(state["low"], total)).otherwise(state["low"]).alias("low"))
 
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(2**62).alias("low"))
-    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step, lambda s: s["low"])
+def lowest_cost(text: Column, window: int = WINDOW) -> Column:
+    """Of a string of key characters: the lowest sum of costs over all windows, by counts that are carried along. A step takes
+    one character in and lets one go; only these two counts change, and the sum by what they add and lose."""
+    if window >= 1 << WIDE:
+        raise ValueError(f"windows have under {1 << WIDE} characters")
+    costs = F.array(*[F.lit(cost(n)).cast("long") for n in range(window + 2)])
+    change = lambda new, old: F.get(costs, new) - F.get(costs, old)
+    raw = text.cast("binary")
+    codes = F.transform(F.sequence(F.lit(1), F.length(text)), lambda p: F.ascii(F.substring(raw, p, F.lit(1)).cast("string")) - FIRST)
+    place = lambda code: F.floor(code / PER).cast("int")
+    shift = lambda code: (WIDE * (code % PER)).cast("int")
+    one = lambda code, i: F.when(place(code) == i, F.call_function("shiftleft", F.lit(1).cast("long"), shift(code))).otherwise(F.lit(0).cast("long"))
+    held = lambda counts, code: F.call_function("shiftright", F.get(counts, place(code)), shift(code)).bitwiseAND((1 << WIDE) - 1).cast("int")
+
+    def full(state: Column, p: Column) -> Column:
+        # ``p`` characters are in, and the first window is full: character p + 1 comes, p + 1 - window goes
+        new, old = F.get(codes, p), F.get(codes, p - window)
+        gone = held(state["counts"], old)
+        before = held(state["counts"], new) - F.when(new == old, 1).otherwise(0)
+        total = state["sum"] + change(gone - 1, gone) + change(before + 1, before)
+        counts = F.transform(state["counts"], lambda x, i: x + one(new, i) - one(old, i))
+        return F.struct(counts.alias("counts"), total.alias("sum"), F.least(state["low"], total).alias("low"))
+
+    def filling(state: Column, new: Column) -> Column:
+        before = held(state["counts"], new)
+        counts = F.transform(state["counts"], lambda x, i: x + one(new, i))
+        total = state["sum"] + change(before + 1, before)
+        return F.struct(counts.alias("counts"), total.alias("sum"), total.alias("low"))
+
+    empty = F.struct(F.array(*[F.lit(0).cast("long")] * -(-CODES // PER)).alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("low"))
+    begun = F.aggregate(F.slice(codes, 1, window), empty, filling)
+    behind = F.filter(F.sequence(F.lit(window), F.greatest(F.length(text) - 1, F.lit(window))), lambda p: p < F.length(text))
+    return F.aggregate(behind, begun, full, lambda s: s["low"])
 
 
 def secret_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -83,7 +102,6 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     size = F.coalesce(F.length("match"), F.lit(0))
     upto = F.sum(F.col("gap") + size).over(order).cast("long")
     placed = rows.select("row", "id", "rank", "match", (upto - size).alias("start"), upto.alias("end")).filter("rank IS NULL OR match IS NOT NULL")
-    named = placed.withColumn("chars", F.when(F.col("rank") == 3, F.split("match", "")))
     limit = F.lit(None).cast("long")
     for _, patterns, bits in reversed(CLASSES):
         member = F.lit(True)
@@ -93,8 +111,8 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | F.col("match").rlike(pattern)
-    named = named.withColumn("limit", F.when((F.col("rank") == 3) & ~allowed, limit))
-    low = F.when(F.col("limit").isNotNull(), lowest_cost(F.col("chars")))
+    named = placed.withColumn("limit", F.when((F.col("rank") == 3) & ~allowed, limit))
+    low = F.when(F.col("limit").isNotNull(), lowest_cost(F.col("match")))
     key = F.when(F.col("rank") == 0, F.length(F.regexp_extract("match", ASSIGN, 2))).otherwise(F.length("match"))
     least = F.when(F.col("rank") == 0, LEAST["assign"]).when(F.col("rank") == 1, LEAST["access"]).otherwise(LEAST["hex"])
     good = F.coalesce(F.when(F.col("rank") == 3, low <= F.col("limit")).otherwise(key >= least), F.lit(False))
