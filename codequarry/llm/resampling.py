@@ -242,23 +242,27 @@ def _totals(features: DataFrame, head: Broadcast, buckets: int) -> DataFrame:
     return features.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def bucket_gains(docs: DataFrame, target: DataFrame, text: str = "text", buckets: int = 10_000) -> tuple[DataFrame, Broadcast]:
+def bucket_gains(docs: DataFrame, target: DataFrame, text: str = "text", buckets: int = 10_000,
+                 heads: tuple[int, int] = (HEAD_WORDS, HEAD_PAIRS)) -> tuple[DataFrame, Broadcast]:
     """``bucket, gain`` for every bucket, and the head (frequent words; frequent pairs and their buckets) for scoring.
 
-    Words of ``docs`` are counted; the most frequent ones, ``HEAD_WORDS`` at most, make the head. Then every feature of every
+    Words of ``docs`` are counted; the most frequent ones, as many as ``heads`` says at most, make the head. Then every feature of every
     text is counted: pairs of head words that are frequent in a task by themselves, all others in their bucket right away.
-    Both feed the totals, which are exact wherever the head ends; the most frequent pairs, ``HEAD_PAIRS`` at most, are its pairs.
+    Both feed the totals, which are exact wherever the head ends; the most frequent pairs, as many
+    as ``heads`` says at most, are its pairs.
     """
     if not 0 < buckets <= 1 << 20:
         raise ValueError("buckets must be 1 to 1,048,576")
+    if heads[0] > HEAD_WORDS or heads[1] > HEAD_PAIRS:
+        raise ValueError(f"heads must be {HEAD_WORDS} words and {HEAD_PAIRS} pairs at most")
     spark = docs.sparkSession
     ship(spark)
     plain = lambda df: df.select(F.col(f"`{text}`").cast("binary").alias("text"))
     counted = stored(_count_words(plain(docs)), "words")
-    words = sorted(bytes(r["word"]) for r in _most_frequent(counted, HEAD_WORDS).select("word").collect())
+    words = sorted(bytes(r["word"]) for r in _most_frequent(counted, heads[0]).select("word").collect())
     head = spark.sparkContext.broadcast((words, None))
     features = stored(_count_features(plain(docs), head, buckets), "features")
-    pairs = _most_frequent(features.filter("key >= 0"), HEAD_PAIRS).select("key").orderBy("key").toArrow().column("key")
+    pairs = _most_frequent(features.filter("key >= 0"), heads[1]).select("key").orderBy("key").toArrow().column("key")
     codes = pairs.to_numpy().astype(np.int64)
     head = spark.sparkContext.broadcast((words, pair_table(codes, HeadTail(words, buckets).buckets_of(codes))))
     source = _totals(features, head, buckets)
@@ -302,7 +306,7 @@ def document_weights(docs: DataFrame, gains: DataFrame, head: Broadcast, id_colu
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = 25, least_words: int = 20, seed: int = 7, buckets: int = 10_000,
-             id_column: str = "doc_id", text: str = "text") -> DataFrame:
+             id_column: str = "doc_id", text: str = "text", heads: tuple[int, int] = (HEAD_WORDS, HEAD_PAIRS)) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_features``, ``weight``, ``score`` and ``rank`` (null if it is not drawn).
 
     Features are all words and pairs of neighbouring words of the whole text; each falls into the bucket of its CRC-32. A
@@ -321,7 +325,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 25, least_words:
     """
     if not 0 <= percent <= 100:
         raise ValueError("percent must be 0 to 100")
-    gains, head = bucket_gains(docs, target, text, buckets)
+    gains, head = bucket_gains(docs, target, text, buckets, heads)
     weighed = document_weights(docs, gains, head, id_column, text, buckets)
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")))
     draw = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("double")

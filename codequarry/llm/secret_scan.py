@@ -49,16 +49,17 @@ def lowest_cost(text: Column, window: int = WINDOW) -> Column:
         raise ValueError(f"windows have under {1 << WIDE} characters")
     costs = F.array(*[F.lit(cost(n)).cast("long") for n in range(window + 2)])
     change = lambda new, old: F.get(costs, new) - F.get(costs, old)
-    raw = text.cast("binary")
-    codes = F.transform(F.sequence(F.lit(1), F.length(text)), lambda p: F.ascii(F.substring(raw, p, F.lit(1)).cast("string")) - FIRST)
+    size = F.length(text)
+    codes = F.transform(F.split(text, ""), lambda c: F.ascii(c) - FIRST)
+    # what comes and what goes, side by side, so that a step looks nothing up in the text
+    moves = F.arrays_zip(F.slice(codes, F.lit(window + 1), size).alias("new"), F.slice(codes, F.lit(1), F.greatest(size - window, F.lit(0))).alias("old"))
     place = lambda code: F.floor(code / PER).cast("int")
     shift = lambda code: (WIDE * (code % PER)).cast("int")
     one = lambda code, i: F.when(place(code) == i, F.call_function("shiftleft", F.lit(1).cast("long"), shift(code))).otherwise(F.lit(0).cast("long"))
     held = lambda counts, code: F.call_function("shiftright", F.get(counts, place(code)), shift(code)).bitwiseAND((1 << WIDE) - 1).cast("int")
 
-    def full(state: Column, p: Column) -> Column:
-        # ``p`` characters are in, and the first window is full: character p + 1 comes, p + 1 - window goes
-        new, old = F.get(codes, p), F.get(codes, p - window)
+    def full(state: Column, move: Column) -> Column:
+        new, old = move["new"], move["old"]
         gone = held(state["counts"], old)
         before = held(state["counts"], new) - F.when(new == old, 1).otherwise(0)
         total = state["sum"] + change(gone - 1, gone) + change(before + 1, before)
@@ -73,8 +74,7 @@ def lowest_cost(text: Column, window: int = WINDOW) -> Column:
 
     empty = F.struct(F.array(*[F.lit(0).cast("long")] * -(-CODES // PER)).alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("low"))
     begun = F.aggregate(F.slice(codes, 1, window), empty, filling)
-    behind = F.filter(F.sequence(F.lit(window), F.greatest(F.length(text) - 1, F.lit(window))), lambda p: p < F.length(text))
-    return F.aggregate(behind, begun, full, lambda s: s["low"])
+    return F.aggregate(moves, begun, full, lambda s: s["low"])
 
 
 def secret_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

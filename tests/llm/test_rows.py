@@ -47,6 +47,20 @@ def test_url_rules(spark):
     assert {r.verdict for r in url_verdicts(pages, known.limit(0), default="block").collect()} == {"block"}
 
 
+@pytest.mark.parametrize("moved", [lambda df: df.repartition(8), lambda df: df.repartition("url"), lambda df: df.orderBy("url"),
+                                   lambda df: df.groupBy("page_id").agg(F.max("url").alias("url")), lambda df: df.withColumn("n", F.rand())])
+def test_url_verdicts_do_not_depend_on_the_order_of_rows(spark, moved):
+    hosts = F.array(*map(F.lit, ["a.net", "b.example.net", "example.com", "x.org", "plain.io"]))
+    paths = F.array(*map(F.lit, ["/", "/en/x", "/de/y", "/fr/z"]))
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.concat(
+        F.lit("http://"), F.get(hosts, (F.col("id") % 5).cast("int")), F.get(paths, (F.col("id") % 7 % 4).cast("int")),
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("")).alias("url"))
+    rules = spark.createDataFrame(queries.URL_RULES, RULES)
+    wrong = [r for r in url_verdicts(moved(pages), rules).join(pages, "page_id").collect() if (
+        r.host, r.path, r.rule, r.verdict) != (lambda v: (v[0], v[1], v[2], v[3]))(plain_verdict(r.url, queries.URL_RULES))]
+    assert wrong == []
+
+
 # --- shards -------------------------------------------------------------------------------------------------------
 
 
@@ -244,6 +258,19 @@ def test_secrets_of_a_long_text(spark):
     assert [tuple(s) for s in row.spans] == plain_spans(text) and len(row.spans) == 2
 
 
+@pytest.mark.parametrize("part", ["ab/", "word-", "AbCd="])
+def test_long_runs_of_joined_words_are_no_secrets(spark, part):
+    texts = [part * (1_000_000 // len(part)), "see " + part * 2000 + " and key Zx9Kq2Lm8Vb4Nc6Tj1Rw3Pd"]
+    rows = secret_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [len(r.spans) for r in rows] == [0, 1]
+
+
+def test_entropy_of_a_long_candidate(spark):
+    text = "gh12mn34" * 20_000 + "Zx9Kq2Lm8Vb4Nc6Tj1Rw3Pd" + "gh12mn34" * 3000
+    row = secret_spans(spark.createDataFrame([(1, text), (2, "gh12mn34" * 20_000)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [tuple(s) for s in row[0].spans] == plain_spans(text) == [(0, 3, "entropy", len(text))] and not row[1].spans
+
+
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ALPHABETS = [("lower with digits", LOWER + DIGITS, 20, 0.95), ("upper with digits", UPPER + DIGITS, 20, 0.95), ("base32", UPPER + "234567", 20, 0.9),
              ("mixed", LOWER + UPPER + DIGITS, 20, 0.93), ("base64", LOWER + UPPER + DIGITS + "+/", 20, 0.93), ("base64url", LOWER + UPPER + DIGITS + "-_", 20, 0.93),
