@@ -18,6 +18,7 @@ from codequarry.sources.languages import EXTENSIONS
 
 PARTS_PER_FILE = 256
 FILE_STEP = 1_000_000_000
+EMPTY_CHUNK = FILE_STEP - 1   # every tenth supplier has one more file, without blocks
 _SIZES = ("n_nodes", "n_top", "n_rows", "n_chars")
 _BASES = ("base_pre", "base_top", "base_row", "base_idx")
 
@@ -76,11 +77,11 @@ TEMPLATE_NODE_COLUMNS = (
 
 def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per file with its path and language."""
-    pairs = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").filter(F.col("l_suppkey") % 10 != 9)
+    pairs = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     full = pairs.select("l_suppkey", F.floor(F.col("l_partkey") / PARTS_PER_FILE).alias("chunk")).distinct()
     supplier = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     empty = supplier.filter(F.col("s_suppkey") % 10 == 9).select(
-        F.col("s_suppkey").alias("l_suppkey"), F.lit(0).cast("bigint").alias("chunk")
+        F.col("s_suppkey").alias("l_suppkey"), F.lit(EMPTY_CHUNK).cast("bigint").alias("chunk")
     )
     first_ext = F.create_map(*[F.lit(x) for lang in TEMPLATES for x in (lang, EXTENSIONS[lang][0])])
     return (
@@ -102,7 +103,7 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = spark.createDataFrame(template_sizes(), "language string, variant int, " + ", ".join(
         f"{c} int" for c in _SIZES))
     variants = F.create_map(*[F.lit(x) for lang, ts in TEMPLATES.items() for x in (lang, len(ts) - 1)])
-    pairs = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").filter(F.col("l_suppkey") % 10 != 9)
+    pairs = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     parts = (
         pairs.distinct()
         .join(read(spark, sf_dir, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))

@@ -5,6 +5,8 @@ Only fixed, small lists (template sizes, expectations, extensions) are written i
 
 from __future__ import annotations
 
+import re
+
 from codequarry.functions.lexicon import HTML_TILE, LEXICONS, plain_regex
 from codequarry.operators.tokens import VOID_TAGS
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, template_nodes, template_sizes
@@ -54,10 +56,10 @@ PLACED = ", ".join([
     values("sizes", "language, variant, n_nodes, n_top, n_rows, n_chars", template_sizes()),
     f"""pairs AS (SELECT DISTINCT l_suppkey, l_partkey, {_LANGUAGE} AS language,
           l_suppkey * {FILE_STEP} + l_partkey // {PARTS_PER_FILE} AS file_id
-          FROM lineitem WHERE l_suppkey % 10 <> 9)""",
+          FROM lineitem)""",
     f"""files AS (SELECT f.*, s_nationkey, 'pkg_' || s_nationkey || '/supp_' || l_suppkey || '_' || chunk || '.' || {_EXT} AS path
           FROM (SELECT DISTINCT file_id, l_suppkey, l_partkey // {PARTS_PER_FILE} AS chunk, language FROM pairs
-                UNION ALL SELECT s_suppkey * {FILE_STEP}, s_suppkey, 0, {_LANGUAGE.replace('l_suppkey', 's_suppkey')}
+                UNION ALL SELECT s_suppkey * {FILE_STEP} + {FILE_STEP - 1}, s_suppkey, {FILE_STEP - 1}, {_LANGUAGE.replace('l_suppkey', 's_suppkey')}
                 FROM supplier WHERE s_suppkey % 10 = 9) f JOIN supplier ON s_suppkey = l_suppkey)""",
     f"""blocks AS (SELECT file_id, p.l_suppkey, l_partkey, p_size, language, 1 + l_partkey % {_VARIANTS} AS variant, s_nationkey
           FROM pairs p JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = p.l_suppkey
@@ -130,7 +132,7 @@ def node_checks() -> dict[str, str]:
             f"SELECT file_id, language, kind, name, start_line, end_line, {_ORDERED} AS place FROM defs"),
         "count_by_kind": sql(PLACED, DEFS, select="SELECT file_id, kind, count(*) AS n FROM defs GROUP BY ALL"),
         "file_results": sql(PLACED, DEFS, select="""
-            SELECT file_id, coalesce(total, 0) AS total, coalesce(kinds, '') AS kinds, coalesce(listed, '') AS listed
+            SELECT file_id, 0 AS part, coalesce(total, 0) AS total, coalesce(kinds, '') AS kinds, coalesce(listed, '') AS listed
             FROM files LEFT JOIN (SELECT file_id, count(*) AS total,
               string_agg(kind || ' ' || name || ' ' || start_line || '-' || end_line, ';' ORDER BY start_line, base_idx, ix)
                 AS listed FROM defs GROUP BY 1) USING (file_id)
@@ -260,7 +262,7 @@ def node_checks() -> dict[str, str]:
             , leveled AS (SELECT d.file_id, d.start_line, d.base_idx, d.ix, d.name, d.kind, count(e.kind) AS level FROM defs d
               LEFT JOIN defs e ON e.file_id = d.file_id AND e.base_idx = d.base_idx AND e.ix < d.ix AND e.end_line >= d.start_line
               GROUP BY ALL)
-            SELECT file_id, '# ' || path || ' [' || language || ']' || chr(10) || '# ' || coalesce(n, 0) || ' definitions'
+            SELECT file_id, 0 AS part, '# ' || path || ' [' || language || ']' || chr(10) || '# ' || coalesce(n, 0) || ' definitions'
               || coalesce(chr(10) || body, '') AS outline
             FROM files LEFT JOIN (SELECT file_id, count(*) AS n, string_agg(repeat('  ', CAST(level AS INT)) || 'L' || start_line
               || ': ' || kind || ' ' || name, chr(10) ORDER BY start_line, base_idx, ix) AS body FROM leveled GROUP BY 1)
@@ -394,7 +396,8 @@ PAGE_NODES = """
 
 def page_checks() -> dict[str, str]:
     """Checks of tokens, pairs and tree views on markup pages."""
-    chain = (PAGE_TOKENS, PAGE_PAIRS, PAGE_NODES)
+    # stored, or each use of the nodes would run the whole chain again
+    chain = tuple(re.sub(r"\b(toks|sides|pairs|nested|kept|nodes) AS \(", r"\1 AS MATERIALIZED (", x) for x in (PAGE_TOKENS, PAGE_PAIRS, PAGE_NODES))
     kids = "kids AS (SELECT file_id, parent AS pre, count(*) AS kids FROM nodes WHERE parent >= 0 GROUP BY 1, 2)"
     return {
         "page_tokens": sql(PAGE_TOKENS, select="SELECT file_id, pos, kind, tag, text, start_idx, \"row\", col FROM toks"),
@@ -406,6 +409,13 @@ def page_checks() -> dict[str, str]:
               coalesce(kids > 0 AND depth >= 4, false) AS truncated, CASE WHEN kids > 0 AND depth >= 4 THEN kids ELSE 0 END AS child_count,
               CASE WHEN kids IS NULL THEN left(leaf_text, 80) ELSE '' END AS text
             FROM nodes n LEFT JOIN kids USING (file_id, pre) WHERE depth <= 4"""),
+        "page_tree_view_all": sql(*chain, kids, select="""
+            SELECT n.file_id, n.pre, depth, type, CASE WHEN is_error THEN 'syntax_error' WHEN is_missing THEN 'missing' ELSE '' END AS error,
+              false AS truncated, CASE WHEN kids IS NULL THEN left(leaf_text, 80) ELSE '' END AS text
+            FROM nodes n LEFT JOIN kids USING (file_id, pre)"""),
+        "page_diagnostic_summary_all": sql(*chain, select="""
+            SELECT file_id, count(*) FILTER (is_error OR is_missing) > 0 AS has_errors, count(*) FILTER (is_error OR is_missing) AS error_count,
+              count(*) FILTER (is_error OR is_missing) AS listed, false AS errors_truncated FROM nodes GROUP BY 1"""),
         "page_tree_sexp": sql(*chain, select="""
             , events AS (SELECT file_id, pre AS place, 0 AS side, pre AS o, CASE WHEN pre = 0 THEN '' ELSE ' ' END
                 || CASE WHEN is_missing THEN '(MISSING ' ELSE '(' END || type AS piece FROM nodes
@@ -520,6 +530,9 @@ def file_checks() -> dict[str, str]:
             cut AS (SELECT *, lines[greatest(f, 1):least(l, len(lines))] AS got FROM asked)
             SELECT doc_id AS file_id, f AS first, l AS last, coalesce(array_to_string(got[1:2], chr(10)), '') AS text, len(got) > 2 AS truncated
             FROM cut""",
+        "line_slice_all": f"""WITH {docs}, asked AS (SELECT *, n_chars % 5 - 1 AS f, n_chars % 5 + doc_id % 4 AS l FROM docs)
+            SELECT doc_id AS file_id, f AS first, l AS last, coalesce(array_to_string(lines[greatest(f, 1):least(l, len(lines))], chr(10)), '')
+              AS text, false AS truncated FROM asked""",
         "include_paths": sql(PATHS, select="SELECT path FROM included"),
         "include_language": sql(PATHS, select="SELECT path FROM included WHERE shown IN ('cc', 'cpp', 'cxx', 'hpp', 'hxx', 'hh')"),
         "include_patterns": sql(PATHS, select="""SELECT path FROM paths WHERE folder NOT IN ('a/.git/', '.hid/')

@@ -74,7 +74,7 @@ def file_results(spark, sf_dir):
         d["end_line"].cast("string")))
     kinds = F.transform(F.map_entries("by_kind"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return D.file_results(stored_defs(spark, sf_dir), files).select(
-        "file_id", "total", F.array_join(kinds, ",").alias("kinds"),
+        "file_id", "part", "total", F.array_join(kinds, ",").alias("kinds"),
         F.coalesce(F.array_join(listed, ";"), F.lit("")).alias("listed"),
     )
 
@@ -279,7 +279,7 @@ def outline(spark, sf_dir):
 @query
 def outline_text(spark, sf_dir):
     levels = O.outline_levels(stored_defs(spark, sf_dir))
-    return O.outline_text(levels, corpus(spark, sf_dir).files).select("file_id", "outline")
+    return O.outline_text(levels, corpus(spark, sf_dir).files).select("file_id", "part", "outline")
 
 
 _DEF = ("file_id", "name", "kind", "start_line")
@@ -417,6 +417,12 @@ def page_tree_view(spark, sf_dir):
         F.coalesce("child_count", F.lit(0)).alias("child_count"), _text("text"))
 
 
+@query
+def page_tree_view_all(spark, sf_dir):
+    return N.tree_view(page_nodes(spark, sf_dir), with_text=True).select(
+        "file_id", "pre", "depth", "type", _text("error"), F.coalesce("truncated", F.lit(False)).alias("truncated"), _text("text"))
+
+
 @query
 def page_tree_sexp(spark, sf_dir):
     return N.tree_sexp(page_nodes(spark, sf_dir))
@@ -433,6 +439,12 @@ def page_diagnostic_summary(spark, sf_dir):
         "file_id", "has_errors", "error_count", F.coalesce(F.size("errors"), F.lit(0)).alias("listed"), "errors_truncated")
 
 
+@query
+def page_diagnostic_summary_all(spark, sf_dir):
+    return N.diagnostic_summary(page_nodes(spark, sf_dir)).select(
+        "file_id", "has_errors", "error_count", F.coalesce(F.size("errors"), F.lit(0)).alias("listed"), "errors_truncated")
+
+
 # ---------------------------------------------------------------- raw text
 @query
 def lexical_definitions(spark, sf_dir):
@@ -495,12 +507,20 @@ def line_at(spark, sf_dir):
     return L.line_at(asked, _documents(spark, sf_dir), "row")
 
 
-@query
-def line_slice(spark, sf_dir):
-    asked = read(spark, sf_dir, "documents").select(
+def _asked_slices(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("file_id"), (F.col("n_chars") % 5 - 1).cast("int").alias("first"),
         (F.col("n_chars") % 5 + F.col("doc_id") % 4).cast("int").alias("last"))
-    return L.line_slice(asked, _documents(spark, sf_dir), F.col("first"), F.col("last"), cap=2)
+
+
+@query
+def line_slice(spark, sf_dir):
+    return L.line_slice(_asked_slices(spark, sf_dir), _documents(spark, sf_dir), F.col("first"), F.col("last"), cap=2)
+
+
+@query
+def line_slice_all(spark, sf_dir):
+    return L.line_slice(_asked_slices(spark, sf_dir), _documents(spark, sf_dir), F.col("first"), F.col("last"))
 
 
 # ---------------------------------------------------------------- files and languages
