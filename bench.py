@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from codequarry.plans.corpus import corpus  # noqa: E402
-from codequarry.plans.queries import QUERIES, page_nodes  # noqa: E402
+from codequarry.plans.queries import QUERIES, candidates, page_nodes  # noqa: E402
 
 HEADLINE = [
     "definitions_by_kind", "definitions_dedupe", "file_results", "scan_summary", "file_reports", "calls", "top_callees",
@@ -45,6 +45,7 @@ def main() -> None:
     start = time.perf_counter()
     data = corpus(spark, sf_dir)
     page_nodes(spark, sf_dir)
+    candidates(spark, sf_dir)
     built = round(time.perf_counter() - start, 3)
     sizes = {"nodes": data.nodes.count(), "files": data.files.count()}
     times = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codequarry.functions.limits import first_k, with_totals
-from codequarry.operators.matching import match_rules, with_names
+from codequarry.operators.matching import has_paths, match_rules, with_names
 from codequarry.sources.rules import CALL_RULES, Rule
 
 # Ranked callees and listed calls per file.
@@ -21,7 +21,7 @@ def calls(nodes: DataFrame, sources: DataFrame | None = None, rules: Sequence[Ru
     matched = match_rules(nodes, rules).select(
         "file_id", "language", "name", "name_row", "name_pre", "name_start", "name_end", "kind_pre", "pattern_ix"
     )
-    found = with_names(matched, sources)
+    found = with_names(matched, None if has_paths(nodes) else sources)
     plain = F.when(F.col("language") == "php", F.substring_index("name", "\\", -1)).otherwise(F.col("name"))
     return found.filter(F.coalesce("name", F.lit("")) != "").select(
         "file_id", "language", plain.alias("name"), (F.col("name_row") + 1).alias("line"),

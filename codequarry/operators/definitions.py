@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codequarry.operators.matching import match_rules, with_names
+from codequarry.operators.matching import has_paths, match_rules, with_names
 from codequarry.sources.languages import languages_with
 from codequarry.sources.rules import DEFINITION_RULES, Rule
 
@@ -34,7 +34,7 @@ def raw_definitions(
         "file_id", "language", "kind", "name", "name_row", "name_pre", "name_start", "name_end", "kind_pre",
         "kind_start_row", "kind_end_row", "pattern_ix",
     )
-    found = with_names(matched, sources)
+    found = with_names(matched, None if has_paths(nodes) else sources)
     return found.filter(F.col("name").isNotNull()).select(
         "file_id", "language", "kind", "name",
         (F.col("kind_start_row") + 1).alias("start_line"), (F.col("kind_end_row") + 1).alias("end_line"),

@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 from codequarry.functions.text import CLIP_CHARS, unquote
 from codequarry.operators.lines import cut_clipped
-from codequarry.operators.matching import match_rules, with_names
+from codequarry.operators.matching import has_paths, match_rules, with_names
 from codequarry.sources.rules import IMPORT_RULES, Rule
 
 
-def imports(nodes: DataFrame, sources: DataFrame, rules: Sequence[Rule] = IMPORT_RULES) -> DataFrame:
-    """One row per import match: unquoted module, 1-based statement line, clipped statement text."""
+def imports(nodes: DataFrame, sources: DataFrame | None, rules: Sequence[Rule] = IMPORT_RULES) -> DataFrame:
+    """One row per import match: unquoted module, 1-based statement line, clipped statement text (null without ``sources``)."""
     matched = match_rules(nodes, rules).select(
         "file_id", "language", "name", "name_pre", "name_start", "name_end", "kind_pre", "kind_start_row",
         "kind_start_idx", "kind_end_idx", "pattern_ix",
     )
-    found = with_names(matched, sources)
-    found = cut_clipped(found, sources, "kind_start_idx", "kind_end_idx", CLIP_CHARS, "raw")
+    found = with_names(matched, None if has_paths(nodes) else sources)
+    if sources is None:
+        found = found.withColumn("raw", F.lit(None).cast("string"))
+    else:
+        found = cut_clipped(found, sources, "kind_start_idx", "kind_end_idx", CLIP_CHARS, "raw")
     return found.select(
         "file_id", "language", unquote(F.col("name")).alias("module"), (F.col("kind_start_row") + 1).alias("line"),
         "raw", F.col("kind_pre").alias("import_pre"), "pattern_ix", "name_pre",

@@ -14,12 +14,14 @@ from codequarry.sources.rules import Rule, rules_table
 _SPAN = ("start_row", "end_row", "start_idx", "end_idx")
 
 
-def match_rules(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule match: the captured node (``name_*``) and the construct's node (``kind_*``).
-
-    Every join is keyed by (file, node), never by file alone, so one huge file is spread like any other
-    data. Each level reads only node types that some rule names, and those filters reach the scan. The rule
-    table is bounded by the caller's rule list and is broadcast.
+def rule_candidates(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per node that some rule captures, with its ancestor path: as many levels as the rules look at, each with the
+    ancestor's number, type, field and span, and what guards its siblings show.
+
+    Written once, this table answers every rule set that is part of ``rules``: the operators over rules take it in place of the nodes, and
+    their matching is then one scan with a filter. Every join is keyed by (file, node), never by file alone, so
+    one huge file is spread like any other data. Each level reads only node types that some rule names, and those filters
+    reach the scan.
     """
     names = nodes.filter(_name_filter(rules)).select(
         "file_id", "language", "parent", F.col("field").alias("n_field"), F.col("type").alias("n_type"),
@@ -33,19 +35,40 @@ def match_rules(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         found = found.join(_guard_marks(nodes, guards, rules), ["file_id", "parent"], "left")
     else:
         found = found.withColumn("marks", F.lit(None).cast("array<string>"))
-
-    table = rules_table(nodes.sparkSession, rules)
-    deepest = max(r.kind_level for r in rules)
-    found = found.drop("parent").join(F.broadcast(table), _first_level_fits())
+    table, deepest = F.broadcast(rules_table(nodes.sparkSession, rules)), _deepest(rules)
+    found = found.drop("parent").join(table, _level_fits(1), "left_semi")
     for level in range(2, deepest + 1):
         types = {t for r in rules if (t := (r.t2, r.t3)[level - 2])}
         above = _ancestor(nodes, level, types, rules).withColumnRenamed("parent", f"p{level - 1}")
         found = found.join(above, ["file_id", f"p{level - 1}"], "left")
-    upper = [
-        _any_or_equal(f"t{level}", f"a{level}_type") for level in range(2, deepest + 1)
-    ] + [_any_or_equal("f2", "a2_field") for _ in range(deepest > 1)]
-    if upper:
-        found = found.filter(reduce(Column.__and__, upper))
+    return found.drop(*[f"p{level}" for level in range(1, deepest + 1)])
+
+
+def has_paths(nodes: DataFrame) -> bool:
+    """Whether a table is one of rule candidates, not of plain nodes."""
+    return "a1_type" in nodes.columns
+
+
+def with_candidate_names(candidates: DataFrame, sources: DataFrame) -> DataFrame:
+    """Candidates whose captured node is no leaf with their text, cut once for all rule sets."""
+    return cut_whole(candidates, sources, "name_start", "name_end", "name")
+
+
+def match_rules(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule match: the captured node (``name_*``) and the construct's node (``kind_*``).
+
+    ``nodes`` are plain nodes, whose ancestors are joined here, or :func:`rule_candidates` of these rules and more. The rule table
+    is bounded by the caller's rule list and is broadcast.
+    """
+    deepest = _deepest(rules)
+    if has_paths(nodes):
+        if deepest > 1 and f"a{deepest}_type" not in nodes.columns:
+            raise ValueError(f"the rules look {deepest} levels up, the candidates do not")
+        found = nodes.filter(_languages(rules) & F.col("a1_type").isin(sorted({r.t1 for r in rules})))
+    else:
+        found = rule_candidates(nodes, rules)
+    fits = reduce(Column.__and__, [_level_fits(level) for level in range(1, deepest + 1)])
+    found = found.join(F.broadcast(rules_table(nodes.sparkSession, rules)), fits)
 
     def kind(what: str) -> Column:
         picked = F.when(F.col("kind_level") == 1, F.col(f"a1_{what}"))
@@ -66,6 +89,10 @@ def with_names(matches: DataFrame, sources: DataFrame | None) -> DataFrame:
     return cut_whole(matches, sources, "name_start", "name_end", "name")
 
 
+def _deepest(rules: Sequence[Rule]) -> int:
+    return max(r.kind_level for r in rules)
+
+
 def _languages(rules: Sequence[Rule]) -> Column:
     return F.col("language").isin(sorted({r.lang for r in rules}))
 
@@ -110,7 +137,10 @@ def _any_or_equal(rule: str, seen: str) -> Column:
     return F.coalesce(F.col(rule).isNull() | (F.col(rule) == F.col(seen)), F.lit(False))
 
 
-def _first_level_fits() -> Column:
+def _level_fits(level: int) -> Column:
+    if level > 1:
+        fits = _any_or_equal(f"t{level}", f"a{level}_type")
+        return fits & _any_or_equal("f2", "a2_field") if level == 2 else fits
     wanted = F.transform("guard_types", lambda t: F.concat_ws("=", "guard_field", t))
     return (
         (F.col("language") == F.col("lang"))

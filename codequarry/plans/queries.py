@@ -13,6 +13,7 @@ from codequarry.operators import imports as I
 from codequarry.operators import lexical as X
 from codequarry.operators import lines as L
 from codequarry.operators import markup as M
+from codequarry.operators import matching as Ma
 from codequarry.operators import nodes as N
 from codequarry.operators import outline as O
 from codequarry.operators import patterns as P
@@ -21,7 +22,7 @@ from codequarry.operators import report as S
 from codequarry.operators import tokens as T
 from codequarry.sources import files as Fi
 from codequarry.sources.languages import LANGUAGE_OF, language_capabilities
-from codequarry.sources.rules import rule_set
+from codequarry.sources.rules import RULES, rule_set
 from codequarry.plans.corpus import FILE_STEP, PARTS_PER_FILE, corpus, read
 from codequarry.plans.shared import shared_table
 
@@ -34,9 +35,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured nodes of all rules with their ancestor paths and names: stored once, read by definitions, calls and imports."""
+    paths = shared_table(spark, sf_dir, "rule_candidates", lambda s, d: Ma.rule_candidates(corpus(s, d).nodes, RULES))
+    return shared_table(spark, sf_dir, "named_candidates", lambda s, d: Ma.with_candidate_names(paths, corpus(s, d).sources))
+
+
 def _defs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = corpus(spark, sf_dir)
-    return D.definitions(data.nodes, data.sources)
+    return D.definitions(candidates(spark, sf_dir))
 
 
 def stored_defs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,8 +121,7 @@ def _report_rows(reports):
 
 # ---------------------------------------------------------------- calls
 def _calls(spark, sf_dir):
-    data = corpus(spark, sf_dir)
-    return C.calls(data.nodes, data.sources)
+    return C.calls(candidates(spark, sf_dir))
 
 
 @query
@@ -152,8 +157,12 @@ def language_top_callees(spark, sf_dir):
 
 # ---------------------------------------------------------------- imports
 def _imports(spark, sf_dir):
-    data = corpus(spark, sf_dir)
-    return I.imports(data.nodes, data.sources)
+    return I.imports(candidates(spark, sf_dir), corpus(spark, sf_dir).sources)
+
+
+def _edges(spark, sf_dir):
+    """Edges need no statement text."""
+    return I.import_edges(I.imports(candidates(spark, sf_dir), None))
 
 
 @query
@@ -163,17 +172,17 @@ def imports(spark, sf_dir):
 
 @query
 def import_edges(spark, sf_dir):
-    return I.import_edges(_imports(spark, sf_dir))
+    return _edges(spark, sf_dir)
 
 
 @query
 def module_degrees(spark, sf_dir):
-    return I.module_degrees(I.import_edges(_imports(spark, sf_dir)))
+    return I.module_degrees(_edges(spark, sf_dir))
 
 
 @query
 def file_degrees(spark, sf_dir):
-    return I.file_degrees(I.import_edges(_imports(spark, sf_dir)), corpus(spark, sf_dir).files)
+    return I.file_degrees(_edges(spark, sf_dir), corpus(spark, sf_dir).files)
 
 
 # ---------------------------------------------------------------- references
