@@ -306,6 +306,18 @@ def node_checks() -> dict[str, str]:
             SELECT file_id, pre AS capture_pre, type, start_row, start_col, end_row, end_col,
               substr(code, start_idx + 1, least(end_idx - start_idx, 200)) AS text
             FROM nodes JOIN sources USING (file_id) WHERE type IN ('class_body', 'declaration_list', 'compound_statement', 'block')"""),
+        "structural_query_alternatives": sql(PLACED, CALLS, select=
+            "SELECT file_id, 0 AS pattern_index, name AS callee, line FROM calls"),
+        "structural_query_compared": sql(PLACED, STORED_NODES, SOURCES, select="""
+            , beside AS MATERIALIZED (SELECT file_id, parent AS match_pre, pre AS left_pre, lead(pre) OVER w AS right_pre, type AS t,
+                lead(type) OVER w AS u, start_idx AS a, end_idx - start_idx AS n, lead(start_idx) OVER w AS b, lead(end_idx - start_idx) OVER w AS m
+              FROM nodes WHERE named AND parent IS NOT NULL WINDOW w AS (PARTITION BY file_id, parent ORDER BY child_ix)),
+            texts_beside AS (SELECT beside.*, substr(code, a + 1, n) AS x, substr(code, b + 1, m) AS y FROM beside JOIN sources USING (file_id)
+              WHERE right_pre IS NOT NULL AND (n = m OR (t IN ('identifier', 'type_identifier', 'property_identifier')
+                AND u IN ('identifier', 'type_identifier', 'property_identifier'))))
+            SELECT file_id, 0 AS pattern_index, match_pre, left_pre, right_pre, left(y, 200) AS text FROM texts_beside WHERE x = y
+            UNION ALL SELECT file_id, 1, match_pre, left_pre, right_pre, left(y, 200) FROM texts_beside WHERE x <> y
+              AND t IN ('identifier', 'type_identifier', 'property_identifier') AND u IN ('identifier', 'type_identifier', 'property_identifier')"""),
         "user_rules": sql(PLACED, NODES, select="""
             SELECT DISTINCT n.file_id, CASE p.type WHEN 'parameters' THEN 'module' WHEN 'decorator' THEN 'type' ELSE 'function' END AS kind,
               n.leaf_text AS name, CASE WHEN p.type = 'function_definition' THEN g.start_row ELSE p.start_row END + 1 AS start_line,

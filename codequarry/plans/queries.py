@@ -380,6 +380,43 @@ def structural_query_captures(spark, sf_dir):
     return captures.select("file_id", "capture_pre", "type", "start_row", "start_col", "end_row", "end_col", "text")
 
 
+@query
+def structural_query_alternatives(spark, sf_dir):
+    """The calls of all languages as one pattern with one capture name: plain, attribute, member, field and scoped callees."""
+    data = corpus(spark, sf_dir)
+    callee = P.either(
+        P.node("identifier", "name", "qualified_name").capture("callee"),
+        P.node("attribute").field("attribute", P.node("identifier").capture("callee")),
+        P.node("member_expression").field("property", P.node("property_identifier").capture("callee")),
+        P.node("selector_expression", "field_expression").field("field", P.node("field_identifier").capture("callee")),
+        P.node("scoped_identifier", "qualified_identifier").field("name", P.node("identifier").capture("callee")),
+    )
+    call = P.either(
+        P.node("call", "call_expression", "function_call_expression").field("function", callee),
+        P.node("call").field("method", P.node("identifier").capture("callee")),
+        P.node("method_invocation").field("name", P.node("identifier").capture("callee")),
+        P.node("member_call_expression", "scoped_call_expression").field("name", P.node("name").capture("callee")),
+        P.node("command").field("name", P.node("command_name").capture("callee")),
+    )
+    found = P.capture_rows(P.match(data.nodes, [call], data.sources))
+    return found.select("file_id", "pattern_index", F.substring_index("text", "\\", -1).alias("callee"),
+                        (F.col("start_row") + 1).alias("line"))
+
+
+@query
+def structural_query_compared(spark, sf_dir):
+    """Neighbours with the same text, inner nodes included, and neighbouring names that differ."""
+    data = corpus(spark, sf_dir)
+    name = P.node("identifier", "type_identifier", "property_identifier")
+    patterns = [
+        P.node().child(P.node().capture("left")).then(P.node().capture("right")).same_text("left", "right"),
+        P.node().child(name.capture("left")).then(name.capture("right")).other_text("left", "right"),
+    ]
+    return P.match(data.nodes, patterns, data.sources).select(
+        "file_id", "pattern_index", "match_pre", F.col("captures")[0]["pre"].alias("left_pre"),
+        F.col("captures")[1]["pre"].alias("right_pre"), F.col("captures")[1]["text"].alias("text"))
+
+
 @query
 def user_rules(spark, sf_dir):
     """A rule set of the user's own: parameters and decorated functions of Python."""

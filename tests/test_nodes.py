@@ -213,6 +213,84 @@ def test_pattern_limits_and_regex(code):
     assert {r.pattern_index for r in exact.collect()} == {0, 1}
 
 
+def test_alternatives_of_different_shape(code):
+    nodes, src = code
+    callee = P.either(P.node("identifier").capture("f"), P.node("attribute").field("attribute", P.node("identifier").capture("f")))
+    call = P.node("call").field("function", callee)
+    assert texts(P.match(nodes, [call])) == [("f",), ("h",)]
+    assert {r.pattern_index for r in P.match(nodes, [call]).collect()} == {0}
+    # shapes of different depth and with different kinds of steps, one capture name, in one pattern
+    mixed = P.either(
+        P.node("call").field("function", P.node("identifier").capture("x")),
+        P.node("args").any_number(P.node("number").capture("x")),
+        P.node("class").without("body").field("name", P.node().capture("x")),
+        P.node("args").child(P.node("number").capture("x")).then(P.node("string").capture("x")),
+        P.node("call").optional(P.node("nothing")).field("function", P.node("attribute")),
+    )
+    assert texts(P.match(nodes, [mixed])) == [(), (), ("1", "2"), ("1", "s"), ("K",), ("f",)]
+    # what is given to the whole holds for each; nested alternatives; a node that fits twice gives two matches
+    whole = P.either(P.either(P.node("number"), P.node("string")), P.node("number")).first().capture("n")
+    assert texts(P.match(nodes, [whole])) == [("1",), ("1",)]
+    assert texts(P.match(nodes, [P.either(P.node("number"), P.node("identifier")).text_is("2", "g").capture("n")])) == [("2",), ("g",)]
+    tested = P.either(P.node("call").text_is("gh()"), P.node("class")).capture("c")
+    assert texts(P.match(nodes, [tested], src)) == [("K",), ("gh()",)]
+    with pytest.raises(ValueError):
+        P.either()
+    with pytest.raises(ValueError):
+        P.match(nodes, [P.either(P.node("call").text_matches("x"))])
+    with pytest.raises(ValueError):
+        P.match(nodes, [P.either(P.node("args").without("x")).then(P.node())])
+
+
+def test_alternatives_equal_separate_patterns(code):
+    nodes, src = code
+    alone = [P.node("call").field("function", P.node("identifier").capture("a")), P.node("number").last().capture("a"),
+             P.node("args").at_least_one(P.node("number").capture("a")), P.node("class").optional(P.node("x")).capture("a")]
+    apart = sorted(t for p in alone for t in texts(P.match(nodes, [p], src)))
+    assert texts(P.match(nodes, [P.either(*alone)], src)) == apart == texts(P.match(nodes, alone, src))
+
+
+def test_captures_compared(spark):
+    long = "x" * 300
+    items = [
+        n("pair", leaf("word", "a"), leaf("word", "a")), n("pair", leaf("word", "a"), leaf("word", "b")),
+        n("pair", leaf("word", long + "1"), leaf("word", long + "2")),
+        n("pair", n("in", t("("), leaf("word", "q"), t(")")), n("in", t("("), leaf("word", "q"), t(")"))),
+        n("pair", n("in", t("("), leaf("word", "q"), t(")")), n("in", t("("), leaf("word", "r"), t(")"))),
+        n("pair", n("in", t("("), leaf("word", "q"), t(")")), leaf("word", "(q)")),
+        n("pair", leaf("word", "one")),
+    ]
+    nodes, src = tables(spark, ("python", items))
+    pair = P.node("pair").child(P.node().first().capture("l")).optional(P.node().last().capture("r"))
+
+    def kept(pattern, sources):
+        # the tests on one node that is first and last as well
+        return [tuple(c.text for c in r.captures) for r in P.match(nodes, [pattern], sources).orderBy("match_pre").collect()]
+
+    clip = long[:200]
+    assert kept(pair.same_text("l", "r"), src) == [("a", "a"), ("(q)", "(q)"), ("(q)", "(q)"), ("one", "one")]
+    assert kept(pair.other_text("l", "r"), src) == [("a", "b"), (clip, clip), ("(q)", "(r)")]
+    # without sources, inner nodes of equal length are unknown
+    assert kept(pair.same_text("l", "r"), None) == [("a", "a"), ("one", "one")]
+    assert kept(pair.other_text("l", "r"), None) == [("a", "b"), (clip, clip)]
+    # a capture that no node has passes; several nodes under one name are all compared
+    assert len(kept(pair.same_text("l", "absent").other_text("absent", "r"), src)) == 7
+    words = P.node("pair").at_least_one(P.node("word").capture("w")).capture("p")
+    assert len(kept(words.same_text("w", "w"), src)) == 3
+    assert P.match(nodes, [P.node("pair").capture("p"), pair.same_text("l", "r")], src).groupBy("pattern_index").count().orderBy(
+        "pattern_index").collect() == [(0, 7), (1, 4)]
+    with pytest.raises(ValueError):
+        P.match(nodes, [P.node().child(pair.same_text("l", "r"))])
+
+
+def test_equal_matches_stay_apart_with_sources(code):
+    nodes, src = code
+    twice = P.node("args").capture("a").child(P.node("number"))
+    assert texts(P.match(nodes, [twice], src)) == [("(1,s2)",), ("(1,s2)",)]
+    none = P.node("args").child(P.node("number"))
+    assert texts(P.match(nodes, [none], src)) == [(), ()]
+
+
 # ---------------------------------------------------------------- markup
 def test_element_nodes_nest(spark):
     html = "<div><b>x<i>y</b>z</i></p>\n<br>w</div><p>"
