@@ -195,3 +195,21 @@ def node_at(
         "file_id", "row", "col", "pre", "type", "start_row", "start_col", "end_row", "end_col", "text",
         F.col("named").alias("is_named"),
     )
+
+
+def node_at_with_ancestors(
+    nodes: DataFrame, positions: DataFrame, sources: DataFrame | None = None, named: bool = True, listed: int | None = None
+) -> DataFrame:
+    """:func:`node_at` with ``ancestors``: the nodes above each found node, nearest first (empty at a root, null for an unknown file).
+
+    Ancestors are looked up once for each found node, however many positions hit it. All of them, or the ``listed``
+    nearest; a list is as long as the node is deep.
+    """
+    found = node_at(nodes, positions, sources, named)
+    keys = found.filter(F.col("pre").isNotNull()).select("file_id", "pre").distinct()
+    entry = F.struct("rank", F.col("ancestor_pre").alias("pre"), F.col("ancestor_type").alias("type"),
+                     F.col("ancestor_start_row").alias("start_row"), F.col("ancestor_end_row").alias("end_row"))
+    above = ancestors(nodes, keys, listed).groupBy("file_id", "pre").agg(F.sort_array(F.collect_list(entry)).alias("ancestors"))
+    empty = F.when(F.col("pre").isNotNull(), F.array().cast(above.schema["ancestors"].dataType))
+    return found.join(above, ["file_id", "pre"], "left").withColumn("ancestors", F.coalesce("ancestors", empty)).select(
+        *found.columns, "ancestors")

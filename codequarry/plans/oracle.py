@@ -212,6 +212,20 @@ def node_checks() -> dict[str, str]:
             FROM asked a LEFT JOIN hit h USING (file_id, "row", col)
             LEFT JOIN nodes n ON n.file_id = a.file_id AND n.pre = coalesce(h.pre, 0)
             LEFT JOIN sources s ON s.file_id = a.file_id"""),
+        "position_errors": sql(PLACED, select="""
+            SELECT l_suppkey * 1000000000 + l_partkey // 256 AS file_id, 'row and col must be finite numbers' AS error, count(*) AS n_positions
+            FROM lineitem WHERE CAST(floor(l_partkey % 256 + l_discount) AS BIGINT) % 3 <> 0 GROUP BY 1"""),
+        "node_at_ancestors": sql(PLACED, STORED_NODES, select="""
+            , asked AS MATERIALIZED (SELECT DISTINCT l_suppkey * 1000000000 + l_partkey // 256 AS file_id,
+                CAST(floor(l_partkey % 256 + l_discount) AS BIGINT) AS "row",
+                CAST(greatest(0, floor(l_quantity / 2 - 3)) AS BIGINT) AS col FROM lineitem),
+            inside AS MATERIALIZED (SELECT a.file_id, "row", col, coalesce(max(pre), 0) AS pre FROM asked a LEFT JOIN nodes n ON a.file_id = n.file_id
+              AND named AND (start_row, start_col) <= ("row", col) AND ("row", col) < (end_row, end_col) GROUP BY ALL),
+            found AS MATERIALIZED (SELECT DISTINCT file_id, pre FROM inside),
+            above AS MATERIALIZED (SELECT f.file_id, f.pre, string_agg(a.type, ' ' ORDER BY a.pre DESC) AS above FROM found f
+              JOIN nodes a ON a.file_id = f.file_id AND a.pre < f.pre AND f.pre <= a.last_desc GROUP BY 1, 2)
+            SELECT i.file_id, i."row", i.col, coalesce(n.type, '') AS type, CASE WHEN n.pre IS NOT NULL THEN coalesce(above, '') END AS above
+            FROM inside i LEFT JOIN nodes n ON n.file_id = i.file_id AND n.pre = i.pre LEFT JOIN above u ON u.file_id = i.file_id AND u.pre = i.pre"""),
         "ancestors": sql(PLACED, NODES, select="""
             SELECT n.file_id, n.pre, a.pre AS ancestor_pre, a.type AS ancestor_type, a.start_row AS ancestor_start_row,
               a.end_row AS ancestor_end_row, row_number() OVER (PARTITION BY n.file_id, n.pre ORDER BY a.pre DESC) AS rank
@@ -309,14 +323,19 @@ def node_checks() -> dict[str, str]:
         "structural_query_alternatives": sql(PLACED, CALLS, select=
             "SELECT file_id, 0 AS pattern_index, name AS callee, line FROM calls"),
         "structural_query_compared": sql(PLACED, STORED_NODES, SOURCES, select="""
-            , beside AS MATERIALIZED (SELECT file_id, parent AS match_pre, pre AS left_pre, lead(pre) OVER w AS right_pre, type AS t,
-                lead(type) OVER w AS u, start_idx AS a, end_idx - start_idx AS n, lead(start_idx) OVER w AS b, lead(end_idx - start_idx) OVER w AS m
-              FROM nodes WHERE named AND parent IS NOT NULL WINDOW w AS (PARTITION BY file_id, parent ORDER BY child_ix)),
-            texts_beside AS (SELECT beside.*, substr(code, a + 1, n) AS x, substr(code, b + 1, m) AS y FROM beside JOIN sources USING (file_id)
-              WHERE right_pre IS NOT NULL AND (n = m OR (t IN ('identifier', 'type_identifier', 'property_identifier')
-                AND u IN ('identifier', 'type_identifier', 'property_identifier'))))
-            SELECT file_id, 0 AS pattern_index, match_pre, left_pre, right_pre, left(y, 200) AS text FROM texts_beside WHERE x = y
-            UNION ALL SELECT file_id, 1, match_pre, left_pre, right_pre, left(y, 200) FROM texts_beside WHERE x <> y
+            , passed AS MATERIALIZED (SELECT f.file_id, f.pre AS match_pre, p.pre AS left_pre, a.pre AS right_pre,
+                substr(code, p.start_idx + 1, p.end_idx - p.start_idx) AS x, substr(code, a.start_idx + 1, a.end_idx - a.start_idx) AS y
+              FROM nodes f JOIN nodes p ON p.file_id = f.file_id AND p.parent = f.pre AND p.field = 'parameters' AND p.named
+              JOIN nodes b ON b.file_id = f.file_id AND b.parent = f.pre AND b.field = 'body' AND b.named
+              JOIN nodes s ON s.file_id = f.file_id AND s.parent = b.pre AND s.named
+              JOIN nodes c ON c.file_id = f.file_id AND c.parent = s.pre AND c.named AND c.type IN ('call', 'call_expression')
+              JOIN nodes a ON a.file_id = f.file_id AND a.parent = c.pre AND a.field = 'arguments' AND a.named
+              JOIN sources z ON z.file_id = f.file_id WHERE f.named),
+            beside AS MATERIALIZED (SELECT file_id, parent AS match_pre, pre AS left_pre, lead(pre) OVER w AS right_pre, type AS t,
+                lead(type) OVER w AS u, leaf_text AS x, lead(leaf_text) OVER w AS y
+              FROM nodes WHERE named AND parent IS NOT NULL WINDOW w AS (PARTITION BY file_id, parent ORDER BY child_ix))
+            SELECT file_id, CASE WHEN x = y THEN 0 ELSE 1 END AS pattern_index, match_pre, left_pre, right_pre, left(y, 200) AS text FROM passed
+            UNION ALL SELECT file_id, 2, match_pre, left_pre, right_pre, left(y, 200) FROM beside WHERE x <> y
               AND t IN ('identifier', 'type_identifier', 'property_identifier') AND u IN ('identifier', 'type_identifier', 'property_identifier')"""),
         "user_rules": sql(PLACED, NODES, select="""
             SELECT DISTINCT n.file_id, CASE p.type WHEN 'parameters' THEN 'module' WHEN 'decorator' THEN 'type' ELSE 'function' END AS kind,
@@ -528,6 +547,13 @@ PATHS = values("languages", "ext, language", LANGUAGE_OF.items()) + f""",
       WHERE language NOT IN ('json', 'yaml', 'html', 'css'))"""
 
 
+# The corpus as files: odd places, types, sizes and bytes by the key.
+SCANNED = """scan AS (SELECT file_id, path || CASE WHEN file_id % 23 = 3 THEN '.json' ELSE '' END AS path,
+      CASE WHEN file_id % 23 = 3 THEN 'json' ELSE language END AS language, file_id % 23 <> 3 AS asked,
+      CASE WHEN file_id % 31 = 1 THEN 'file too large: 10485761' WHEN file_id % 29 = 1 THEN 'binary file: NUL byte' END AS fault
+    FROM files WHERE file_id % 23 NOT IN (1, 2, 4))"""
+
+
 def file_checks() -> dict[str, str]:
     """Checks of line operators on documents, and of path, size and language rules."""
     docs = "docs AS (SELECT doc_id, n_chars, regexp_split_to_array(text, '\\r?\\n') AS lines, text FROM documents)"
@@ -567,6 +593,25 @@ def file_checks() -> dict[str, str]:
             SELECT (SELECT count(*) FROM selected) AS files_matched, (SELECT count(*) FROM judged WHERE error IS NULL) AS files_scanned,
               (SELECT count(*) > 200 FROM judged WHERE error IS NULL) AS files_truncated, (SELECT count(*) FROM defs) AS total_definitions,
               (SELECT count(error) FROM judged) AS n_errors, (SELECT count(error) > 200 FROM judged) AS errors_truncated"""),
+        "scan_files": sql(PLACED, DEFS, SCANNED, select="""
+            SELECT path, language, asked AND fault IS NULL AS scanned, CASE WHEN asked THEN coalesce(fault, '') ELSE '' END AS error,
+              CASE WHEN asked AND fault IS NULL THEN coalesce(total, 0) ELSE -1 END AS total
+            FROM scan LEFT JOIN (SELECT file_id, count(*) AS total FROM defs GROUP BY 1) USING (file_id)"""),
+        "scan_reports": sql(PLACED, DEFS, SOURCES, SCANNED, select=f"""
+            SELECT scan.path, scan.language, coalesce(total, 0) AS total, coalesce(kind, '') AS kind, coalesce(name, '') AS name,
+              coalesce(line, 0) AS line, coalesce(signature, '') AS signature
+            FROM scan LEFT JOIN (SELECT file_id, count(*) AS total FROM defs GROUP BY 1) USING (file_id)
+            LEFT JOIN (SELECT file_id, kind, name, start_line AS line, {_SIGNATURE} AS signature
+              FROM defs JOIN lines USING (file_id)) USING (file_id) WHERE asked AND fault IS NULL"""),
+        "scan_totals": sql(PLACED, DEFS, SCANNED, select="""
+            SELECT count(*) AS files_matched, count(*) FILTER (asked AND fault IS NULL) AS files_scanned,
+              count(*) FILTER (asked AND fault IS NULL) > 200 AS files_truncated,
+              (SELECT count(*) FROM defs JOIN scan USING (file_id) WHERE asked AND fault IS NULL) AS total_definitions,
+              count(*) FILTER (asked AND fault IS NOT NULL) AS n_errors, count(*) FILTER (asked AND fault IS NOT NULL) > 200 AS errors_truncated
+            FROM scan"""),
+        "scan_definitions": sql(PLACED, DEFS, SCANNED, select="""
+            SELECT scan.language, count(defs.name) AS n_definitions FROM scan LEFT JOIN defs USING (file_id)
+            WHERE asked AND fault IS NULL GROUP BY 1"""),
         "scanned_languages": sql(PATHS, select="SELECT language, count(*) AS n_files FROM judged WHERE error IS NULL GROUP BY 1"),
         "capabilities": sql(PLACED, able, select="""SELECT a.*, count(f.file_id) AS n_files FROM able a LEFT JOIN files f USING (language)
             GROUP BY ALL"""),

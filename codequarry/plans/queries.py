@@ -19,6 +19,7 @@ from codequarry.operators import outline as O
 from codequarry.operators import patterns as P
 from codequarry.operators import references as R
 from codequarry.operators import report as S
+from codequarry.operators import scan as Sc
 from codequarry.operators import tokens as T
 from codequarry.sources import files as Fi
 from codequarry.sources.languages import LANGUAGE_OF, language_capabilities
@@ -228,6 +229,23 @@ def node_at(spark, sf_dir):
                         F.coalesce("end_col", F.lit(-1)).alias("end_col"), _text("text"))
 
 
+@query
+def position_errors(spark, sf_dir):
+    """Positions that are no finite numbers."""
+    asked = positions(spark, sf_dir).withColumns({
+        "col": F.when(F.floor("row") % 3 == 1, F.lit(float("nan"))).when(F.floor("row") % 3 == 2, F.lit(float("inf"))).otherwise(F.col("col"))})
+    return N.clean_positions(asked)[1].groupBy("file_id", "error").agg(F.count(F.lit(1)).alias("n_positions"))
+
+
+@query
+def node_at_ancestors(spark, sf_dir):
+    """The node at each position together with the types above it, nearest first."""
+    data = corpus(spark, sf_dir)
+    asked, _ = N.clean_positions(positions(spark, sf_dir))
+    found = N.node_at_with_ancestors(data.nodes, asked)
+    return found.select("file_id", "row", "col", _text("type"), F.array_join("ancestors.type", " ").alias("above"))
+
+
 @query
 def ancestors(spark, sf_dir):
     nodes = corpus(spark, sf_dir).nodes
@@ -405,11 +423,13 @@ def structural_query_alternatives(spark, sf_dir):
 
 @query
 def structural_query_compared(spark, sf_dir):
-    """Neighbours with the same text, inner nodes included, and neighbouring names that differ."""
+    """Functions that pass on their parameters as they are, those that do not, and neighbouring names that differ."""
     data = corpus(spark, sf_dir)
+    call = P.node("call", "call_expression").field("arguments", P.node().capture("right"))
+    passing = P.node().field("parameters", P.node().capture("left")).field("body", P.node().child(P.node().child(call)))
     name = P.node("identifier", "type_identifier", "property_identifier")
     patterns = [
-        P.node().child(P.node().capture("left")).then(P.node().capture("right")).same_text("left", "right"),
+        passing.same_text("left", "right"), passing.other_text("left", "right"),
         P.node().child(name.capture("left")).then(name.capture("right")).other_text("left", "right"),
     ]
     return P.match(data.nodes, patterns, data.sources).select(
@@ -660,6 +680,48 @@ def scan_summary(spark, sf_dir):
     return S.scan_summary(Fi.scan_status(matched), stored_defs(spark, sf_dir), errors)
 
 
+def _corpus_bytes(spark, sf_dir):
+    """The corpus as files: some in excluded or hidden folders, of other types, with a NUL byte or too large."""
+    key = F.col("file_id")
+    path = (
+        F.when(key % 23 == 1, F.concat(F.lit("node_modules/"), "path")).when(key % 23 == 2, F.concat(F.lit(".hid/"), "path"))
+        .when(key % 23 == 3, F.concat("path", F.lit(".json"))).when(key % 23 == 4, F.concat("path", F.lit(".xyz"))).otherwise(F.col("path"))
+    )
+    content = F.encode("code", "UTF-8")
+    return corpus(spark, sf_dir).sources.select(
+        "file_id", path.alias("path"),
+        F.when(key % 29 == 1, F.concat(F.unhex(F.lit("00")), content)).otherwise(content).alias("content"),
+        F.when(key % 31 == 1, F.lit(Fi.MAX_BYTES + 1)).otherwise(F.octet_length("code")).cast("bigint").alias("length"),
+    )
+
+
+def _scan(spark, sf_dir, **options):
+    return Sc.scan(_corpus_bytes(spark, sf_dir), **options,
+                   keep=lambda name, df: shared_table(spark, sf_dir, "_".join([name, *options]), lambda s, d: df))
+
+
+@query
+def scan_files(spark, sf_dir):
+    """One scan from bytes: every selected file with its state and its number of definitions, from the text."""
+    return _scan(spark, sf_dir).file_totals().select("path", "language", "scanned", _text("error"), F.coalesce("total", F.lit(-1)).alias("total"))
+
+
+@query
+def scan_reports(spark, sf_dir):
+    return _report_rows(_scan(spark, sf_dir).reports())
+
+
+@query
+def scan_totals(spark, sf_dir):
+    """The same scan over stored candidates of the node table: totals of exactly the files it selected."""
+    return _scan(spark, sf_dir, nodes=candidates(spark, sf_dir)).summary()
+
+
+@query
+def scan_definitions(spark, sf_dir):
+    return _scan(spark, sf_dir, nodes=candidates(spark, sf_dir)).by_language()
+
+
 @query
 def scanned_languages(spark, sf_dir):
     return _scan_parts(spark, sf_dir)[1].groupBy("language").agg(F.count(F.lit(1)).alias("n_files"))

@@ -334,3 +334,15 @@ def test_then_after_an_absent_optional(code):
     nodes, _ = code
     either = P.node("args").optional(P.node("nothing").capture("x")).then(P.node("number").capture("n"))
     assert texts(P.match(nodes, [either])) == [("1",), ("2",)]
+
+
+def test_node_at_with_ancestors(spark, code):
+    nodes, _ = code
+    asked = spark.createDataFrame([("f0", 0, 0), ("f0", 0, 2), ("f0", 99, 0), ("nowhere", 0, 0)], "file_id string, row long, col long")
+    got = {(r.file_id, r.row, r.col): r for r in N.node_at_with_ancestors(nodes, asked).collect()}
+    assert [(got["f0", 0, 0].type, [(a.rank, a.type) for a in got["f0", 0, 0].ancestors])] == [("identifier", [(1, "call"), (2, "program")])]
+    assert [a.type for a in got["f0", 0, 2].ancestors] == ["args", "call", "program"]
+    assert (got["f0", 99, 0].type, got["f0", 99, 0].ancestors) == ("program", [])
+    assert (got["nowhere", 0, 0].type, got["nowhere", 0, 0].ancestors) == (None, None)
+    short = N.node_at_with_ancestors(nodes, asked, listed=1).filter("col = 2").first()
+    assert [a.type for a in short.ancestors] == ["args"]
