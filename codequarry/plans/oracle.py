@@ -212,6 +212,11 @@ def node_checks() -> dict[str, str]:
             FROM asked a LEFT JOIN hit h USING (file_id, "row", col)
             LEFT JOIN nodes n ON n.file_id = a.file_id AND n.pre = coalesce(h.pre, 0)
             LEFT JOIN sources s ON s.file_id = a.file_id"""),
+        "references_composed": r"""
+            WITH cut AS (SELECT doc_id AS file_id, regexp_extract_all(text, '[^ \t\r\n]+') AS w FROM documents),
+            words AS MATERIALIZED (SELECT file_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS col FROM cut),
+            names AS (SELECT DISTINCT word AS name FROM words WHERE regexp_matches(word, '[^\x00-\x7F]'))
+            SELECT file_id, name, 1 AS line, col FROM words JOIN names ON nfc_normalize(word) = nfc_normalize(name)""",
         "position_errors": sql(PLACED, select="""
             SELECT l_suppkey * 1000000000 + l_partkey // 256 AS file_id, 'row and col must be finite numbers' AS error, count(*) AS n_positions
             FROM lineitem WHERE CAST(floor(l_partkey % 256 + l_discount) AS BIGINT) % 3 <> 0 GROUP BY 1"""),

@@ -210,6 +210,27 @@ def references_limited(spark, sf_dir):
     return R.limited(found, 3).select("file_id", "name", "line", "total", "truncated")
 
 
+# Letters and the same letters as base and combining mark.
+DECOMPOSED = {"\u00e9": "e\u0301", "\u00e8": "e\u0300", "\u00ea": "e\u0302", "\u00e7": "c\u0327", "\u00f1": "n\u0303",
+              "\u00fc": "u\u0308", "\u00f6": "o\u0308", "\u00e4": "a\u0308", "\u00ed": "i\u0301", "\u00f3": "o\u0301"}
+
+
+@query
+def references_composed(spark, sf_dir):
+    """Words of all documents as leaves, every other one with decomposed letters, against the non-ASCII words as names."""
+    words = read(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("file_id"), F.posexplode(F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), 0)).alias("pos", "word"))
+    apart = F.col("word")
+    for letter, marks in DECOMPOSED.items():
+        apart = F.replace(apart, F.lit(letter), F.lit(marks))
+    nodes = words.select(
+        "file_id", (F.col("pos") + 1).alias("pre"), (F.col("pos") + 1).alias("last_desc"), F.lit("identifier").alias("type"),
+        F.lit(0).alias("start_row"), F.col("pos").alias("start_col"),
+        F.when(F.col("pos") % 2 == 0, apart).otherwise(F.col("word")).alias("leaf_text"))
+    names = words.filter(F.col("word").rlike(r"[^\x00-\x7F]")).select(F.col("word").alias("name")).distinct()
+    return R.references(nodes, names).select("file_id", "name", "line", "col")
+
+
 # ---------------------------------------------------------------- lookups and views
 def positions(spark, sf_dir):
     """One asked position per order line; fractions and negative columns included."""
