@@ -21,72 +21,101 @@ from codequarry.llm.shared import ship
 MAGIC = b"RPR1"
 #: Tokens after which a block is closed; at least one document.
 BLOCK = 400_000
-#: A pair becomes a rule if it stands this often in a block, and no block has more than RULES of them.
-LEAST, RULES, ROUND = 32, 12_288, 4096
-#: Entries of the table of hashes that pairs are counted in first.
+#: A pair becomes a rule if it stands this often in a block. Fewer give smaller files and take longer.
+LEAST = 32
+#: Pairs that stand at least this part of the most frequent pair's times become rules in one round.
+SHARE = 8
+#: Entries of the tables of hashes that pairs are looked up in.
 SLOT_BITS = 17
 SLOTS = 1 << SLOT_BITS
 
 
-def compress(ids: np.ndarray, counts: np.ndarray, least: int = LEAST, rules: int = RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _slots(left: np.ndarray, right: np.ndarray, turn: int) -> np.ndarray:
+    mixed = (left.astype(np.uint32) * np.uint32(2654435761 + 2 * turn) ^ right.astype(np.uint32)) * np.uint32(2246822519)
+    return (mixed >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
+
+
+def frequent_pairs(left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``keys, often, number``: the pairs that stand ``least`` times, how often, and for each place its pair's number or -1.
+
+    Exact: a slot of hashes with fewer places than ``least`` holds no such pair, and the pairs of all other places are sorted.
+    Places then find the number of their pair by slot; pairs that share a slot are told apart by another hash.
+    """
+    number = np.full(len(left), -1, np.int32)
+    slots = _slots(left, right, 0)
+    at = np.flatnonzero((np.bincount(slots, minlength=SLOTS) >= least)[slots])
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), number
+    slots, pair = slots[at], left[at].astype(np.int64) << 32 | right[at]
+    ordered = np.sort(pair)
+    ends = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
+    often = np.diff(ends, prepend=-1)
+    keys, often = ordered[ends[often >= least]], often[often >= least]
+    open_, turn = np.arange(len(keys), dtype=np.int32), 0
+    while len(open_):
+        own = _slots(keys[open_] >> 32, keys[open_] & 0xFFFFFFFF, turn)
+        owner = np.full(SLOTS, -1, np.int32)
+        owner[own] = open_
+        held = owner[slots]
+        right_one = (held >= 0) & (keys[held] == pair)
+        number[at[right_one]] = held[right_one]
+        lost = owner[own] != open_
+        crowded = np.zeros(SLOTS, bool)
+        crowded[own[lost]] = True
+        rest = np.flatnonzero(crowded[slots] & ~right_one)
+        open_, turn, at, pair = open_[lost], turn + 1, at[rest], pair[rest]
+        slots = _slots(pair >> 32, pair & 0xFFFFFFFF, turn)
+    return keys, often, number
+
+
+def compress(ids: np.ndarray, counts: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``pairs, sequence, lengths``: Re-Pair of documents that stand one after another in ``ids``, ``counts`` long.
 
     Round by round, the pairs that stand most often become nonterminals (numbered on from the largest id) and replace
-    their occurrences, never over the end of a document, until none stands ``least`` times or a round shortens the whole by
-    less than a hundredth. Where occurrences of a round
-    overlap, every second one from the left is replaced; the rest are counted anew in the next round. Pairs are counted
-    in a small table of hashes; of pairs that share a slot one is counted exactly, and the hash changes every round.
+    their occurrences, never over the end of a document, until none stands ``least`` times. Where occurrences of a round
+    overlap, every second one from the left is replaced; the rest are counted anew in the next round. A replacement makes
+    only pairs with the new symbol, so a place whose pair was found rare is not counted again until its pair changes.
     ``lengths`` is what is left of each document.
     """
+    if least < 2:
+        raise ValueError("least must be at least 2")
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     ends = np.cumsum(counts) - 1
     last[ends[counts > 0]] = True
+    live = ~last  # a pair that may be frequent begins here
     first = int(ids.max()) + 1 if len(ids) else 1
     pairs: list[np.ndarray] = []
-    made, turn = 0, 0
-    owner = np.zeros(SLOTS, np.int64)
-    while made < rules and len(seq) > 1:
-        left, right, turn = seq[:-1], seq[1:], turn + 1
-        slots = ((left * np.uint32(2654435761 + 2 * turn) ^ right) * np.uint32(2246822519)) >> np.uint32(32 - SLOT_BITS)
-        slots[last[:-1]] = 0
-        at = np.flatnonzero((np.bincount(slots, minlength=SLOTS) >= least)[slots] & ~last[:-1])
-        if not len(at):
-            break
-        slots = slots[at]
-        keys = left[at].astype(np.int64) << 32 | right[at]
-        owner[slots] = keys
-        mine = owner[slots] == keys
-        at, slots, keys = at[mine], slots[mine], keys[mine]
-        often = np.bincount(slots, minlength=SLOTS)
-        most = int(often.max())
-        if most < least:
+    made = 0
+    while True:
+        at = np.flatnonzero(live)
+        keys, often, number = frequent_pairs(seq[at], seq[at + 1], least)
+        if not len(keys):
             break
-        chosen = often >= max(least, most // 8)
-        room = min(ROUND, rules - made)
-        if int(chosen.sum()) > room:
-            chosen[:] = False
-            chosen[np.argsort(-often, kind="stable")[:room]] = True
-        hit = chosen[slots]
-        at, slots, keys = at[hit], slots[hit], keys[hit]
+        live[at[number < 0]] = False
+        chosen = often >= often.max() // SHARE
+        hit = (number >= 0) & chosen[number]
+        at, number = at[hit], number[hit]
         fresh = np.ones(len(at), bool)
         fresh[1:] = np.diff(at) != 1
         order = np.arange(len(at))
         stay = (order - np.maximum.accumulate(np.where(fresh, order, 0))) % 2 == 0
-        at, slots, keys = at[stay], slots[stay], keys[stay]
-        used = np.flatnonzero(np.bincount(slots, minlength=SLOTS))
-        number = np.zeros(SLOTS, np.uint32)
-        number[used] = np.arange(first + made, first + made + len(used))
-        seq[at] = number[slots]
+        at, number = at[stay], number[stay]
+        used = np.flatnonzero(np.bincount(number, minlength=len(keys)))
+        symbols = np.zeros(len(keys), np.uint32)
+        symbols[used] = np.arange(first + made, first + made + len(used))
+        seq[at] = symbols[number]
         last[at] = last[at + 1]
-        rest = np.ones(len(seq), bool)
-        rest[at + 1] = False
-        seq, last = seq[rest], last[rest]
-        shortened = len(at) * 100 >= len(rest)
-        pairs.append(np.stack([owner[used] >> 32, owner[used] & 0xFFFFFFFF], axis=1))
+        live[at] = ~last[at]
+        before = at[at > 0] - 1
+        gone = np.zeros(len(seq) + 1, bool)
+        gone[at + 1] = True
+        before = np.where(gone[before], before - 1, before)  # the symbol before may have lost its second half
+        live[before] = ~last[before]
+        rest = ~gone[:-1]
+        seq, last, live = seq[rest], last[rest], live[rest]
+        pairs.append(np.stack([keys[used] >> 32, keys[used] & 0xFFFFFFFF], axis=1))
         made += len(used)
-        if not shortened:
-            break
     table = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
     lengths = np.zeros(len(counts), np.int64)
     lengths[counts > 0] = np.diff(np.concatenate([[-1], np.flatnonzero(last)]))
@@ -117,10 +146,10 @@ def expand(sequence: np.ndarray, pairs: np.ndarray, first: int, sizes: np.ndarra
     return out
 
 
-def write_block(ids: np.ndarray, counts: np.ndarray) -> bytes:
+def write_block(ids: np.ndarray, counts: np.ndarray, least: int = LEAST) -> bytes:
     """A block of the file format: magic; documents, rules, symbols, first rule number (u32); tokens and symbols of each
     document (u32); rules as pairs (u32); expansion length of each rule (u32); symbols (u16 if they fit, else u32)."""
-    pairs, sequence, lengths = compress(ids, counts)
+    pairs, sequence, lengths = compress(ids, counts, least)
     first = int(ids.max()) + 1 if len(ids) else 1
     wide = first + len(pairs) > 1 << 16
     head = MAGIC + struct.pack("<5I", len(counts), len(pairs), len(sequence), first, int(wide))
@@ -194,13 +223,13 @@ FILE_SCHEMA = "part int, block int, base long, tokens long, documents array<{id}
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = 0, id_column: str = "doc_id",
-                      text: str = "text", block: int = BLOCK) -> None:
+                      text: str = "text", block: int = BLOCK, least: int = LEAST) -> None:
     """Encodes the texts with the tokenizers library, ends each with ``end_id``, and writes blocks under ``path``.
 
     Documents are dealt to tasks by ranges of their ids and sorted, so files and the blocks in them ascend by id (null
     first; equal ids by their text). Each block is a row: ``part`` (the file's number), ``block``, ``base`` (tokens of the file
     before it), ``tokens``, ``documents`` (their ids) and ``data`` (:func:`write_block`). Spark's writer commits files, so a lost
-    task leaves none behind. A task holds one block of about ``block`` tokens and the text of a batch, or one long document.
+    task leaves none behind. Pairs that stand ``least`` times in a block become rules. A task holds one block of about ``block`` tokens and the text of a batch, or one long document.
 
     A null or empty text is the end id alone; repeated rows are written each. No documents: no rows. Other columns are not written.
     """
@@ -220,7 +249,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
             flat, counts = np.concatenate(held), np.concatenate(sizes)
             row = pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([base], pa.int64()), pa.array([len(flat)], pa.int64()),
-                pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.concat_arrays(ids)), pa.array([write_block(flat, counts)], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.concat_arrays(ids)), pa.array([write_block(flat, counts, least)], pa.binary()),
             ], ["part", "block", "base", "tokens", "documents", "data"])
             number, base, held, sizes, ids = number + 1, base + len(flat), [], [], []
             return row

@@ -20,7 +20,7 @@ from codequarry.llm import queries
 from codequarry.llm.bpe import ByteBPE, bpe_decode, bpe_encode
 from codequarry.llm.chunks import ChunkEncoder
 from codequarry.llm.quality import Band, base_measures, with_quality
-from codequarry.llm.repair import Block, compress, expand, expansion_lengths, read_token_files, write_block, write_token_files
+from codequarry.llm.repair import Block, compress, expand, expansion_lengths, frequent_pairs, read_token_files, write_block, write_token_files
 from codequarry.llm.shared import work_folder
 
 PATH = public_tokenizers.path(queries.VOCABULARY)
@@ -234,6 +234,9 @@ def test_repair_round_trip_and_random_access(seed):
     first = int(ids.max()) + 1
     sizes = expansion_lengths(pairs, first)
     assert (expand(sequence, pairs, first, sizes) == ids).all() and lengths.sum() == len(sequence)
+    owner = np.repeat(np.arange(len(counts)), lengths)
+    left = np.stack([sequence[:-1], sequence[1:]])[:, owner[1:] == owner[:-1]]
+    assert not left.size or np.unique(left, axis=1, return_counts=True)[1].max() < 3  # nothing frequent is left
     for k, pair in enumerate(pairs.tolist()):
         assert max(pair) < first + k
     block, ends = Block(write_block(ids, counts)), np.cumsum(counts)
@@ -244,6 +247,17 @@ def test_repair_round_trip_and_random_access(seed):
         assert len(sequence) < len(ids) / 4  # long runs of one id fold up
 
 
+@pytest.mark.parametrize("least", [2, 5, 40])
+def test_frequent_pairs_share_slots_without_loss(least):
+    rng = np.random.default_rng(least)
+    left, right = (rng.integers(0, 3000, 200_000) ** 2 // 9000).astype(np.uint32), rng.integers(0, 400, 200_000).astype(np.uint32)
+    keys, often, number = frequent_pairs(left, right, least)
+    wanted = Counter(zip(left.tolist(), right.tolist()))
+    assert dict(zip(keys.tolist(), often.tolist())) == {a << 32 | b: n for (a, b), n in wanted.items() if n >= least}
+    for a, b, k in zip(left.tolist(), right.tolist(), number.tolist()):
+        assert (k >= 0) == (wanted[a, b] >= least) and (k < 0 or keys[k] == a << 32 | b)
+
+
 def test_repair_of_nothing():
     block = Block(write_block(np.zeros(0, np.int32), np.zeros(3, np.int64)))
     assert len(block.all()) == 0 and len(block.document(2)) == 0
