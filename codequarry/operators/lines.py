@@ -11,12 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codequarry.functions.text import signature_text, split_lines
+from codequarry.functions.text import LINE_BREAK, signature_text, split_lines
 
 # Fixed values that interactive callers ask for: lines in a body, context lines on either side.
 BODY_LINES = 5000
 CONTEXT_LINES = 200
 
+_LINE_BITS = 6                 # a block of lines: 64
+_LINES = 1 << _LINE_BITS
 _CHUNK_BITS = 12
 _CHUNK = 1 << _CHUNK_BITS      # characters per text chunk
 _OVERLAP = 256                 # characters of the next chunk repeated at the end of a chunk
@@ -29,37 +31,63 @@ def source_lines(sources: DataFrame) -> DataFrame:
     )
 
 
+def line_blocks(sources: DataFrame, shape: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``_file, _block, _lines``: the lines of each file in blocks of 64, each line shaped by ``shape``."""
+    lines = split_lines(F.col("code"))
+    held = sources.select("file_id", (lines if shape is None else F.transform(lines, shape)).alias("_all"))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.shiftright(F.size("_all") - 1, _LINE_BITS)),
+        lambda i: F.slice("_all", i * _LINES + 1, _LINES))
+    return held.filter("_all IS NOT NULL").select(F.col("file_id").alias("_file"), F.posexplode(blocks).alias("_block", "_lines"))
+
+
 def line_at(
     rows: DataFrame, sources: DataFrame, row: str, out: str = "text", shape: Callable[[Column], Column] | None = None
 ) -> DataFrame:
     """Add ``out`` = the line at 0-based ``row``; a missing line is the empty string.
 
-    Keyed by (file, line), so the lines of one big file are spread out. ``shape`` is applied to each line
-    before the join: a very long line that many rows ask for is then cut once, and never carried along.
+    Keyed by (file, block of lines), so the lines of one big file are spread out and no line is a row of its own. ``shape`` is
+    applied to each line before the join: a very long line that many rows ask for is then cut once, and never carried along.
     """
-    text = F.col("text") if shape is None else shape(F.col("text"))
-    lines = source_lines(sources).select(
-        F.col("file_id").alias("_file"), (F.col("line_no") - 1).alias("_row"), text.alias("_text")
-    )
-    return rows.join(lines, (F.col("file_id") == F.col("_file")) & (F.col(row) == F.col("_row")), "left").select(
-        *rows.columns, F.coalesce("_text", F.lit("")).alias(out)
-    )
+    on = (F.col("file_id") == F.col("_file")) & (F.shiftright(row, _LINE_BITS) == F.col("_block"))
+    text = F.get("_lines", F.pmod(F.col(row), F.lit(_LINES)).cast("int"))
+    return rows.join(line_blocks(sources, shape), on, "left").select(*rows.columns, F.coalesce(text, F.lit("")).alias(out))
 
 
 def line_slice(
     rows: DataFrame, sources: DataFrame, first: Column, last: Column, cap: int | None = None,
     out: str = "text", flag: str = "truncated",
 ) -> DataFrame:
-    """Add lines ``first..last`` (1-based, inclusive, clamped to the file), all or at most ``cap``, and a flag."""
-    held = sources.select(F.col("file_id").alias("_file"), split_lines(F.col("code")).alias("_lines"))
-    cut = rows.withColumns({"_first": F.greatest(first, F.lit(1)), "_last": last})
-    count = F.coalesce(F.size("_lines"), F.lit(0))
-    want = F.greatest(F.least(F.col("_last"), count) - F.col("_first") + 1, F.lit(0))
-    most = want if cap is None else F.least(want, F.lit(cap))
-    taken = F.array_join(F.slice("_lines", F.col("_first").cast("int"), most.cast("int")), "\n")
-    return cut.join(held, F.col("file_id") == F.col("_file"), "left").select(
-        *rows.columns, F.coalesce(taken, F.lit("")).alias(out), (want > most).alias(flag)
+    """Add lines ``first..last`` (1-based, inclusive, clamped to the file; null: from the first, to the last line), all or at most
+    ``cap``, and a flag.
+
+    Each span is cut once, however many rows ask for it, and meets only the blocks that hold its lines. A span's own text is the
+    largest thing put together.
+    """
+    open_end = F.lit((1 << 31) - 1)
+    asked = rows.withColumns({
+        "_first": F.greatest(first, F.lit(1)).cast("bigint"), "_last": F.coalesce(last, open_end).cast("bigint")})
+    counts = sources.filter("code IS NOT NULL").select(
+        F.col("file_id").alias("_file"), (F.regexp_count("code", F.lit(LINE_BREAK)) + 1).alias("_count"))
+    spans = (
+        asked.select(F.col("file_id").alias("_of"), F.col("_first").alias("_from"), F.col("_last").alias("_to")).distinct()
+        .join(counts, F.col("_of") == F.col("_file")).drop("_file")
+        .withColumn("_want", F.least("_to", "_count") - F.col("_from") + 1).filter("_want > 0")
+    )
+    end = F.col("_from") - 1 + (F.col("_want") if cap is None else F.least(F.col("_want"), F.lit(cap)))
+    covered = F.sequence(F.shiftright(F.col("_from") - 1, _LINE_BITS), F.shiftright(F.greatest("_end", "_from") - 1, _LINE_BITS))
+    parts = spans.withColumn("_end", end).withColumn("_at", F.explode(covered))
+    begin = F.greatest(F.col("_from") - F.col("_at") * _LINES, F.lit(1))
+    stop = F.least(F.col("_end") - F.col("_at") * _LINES, F.lit(_LINES))
+    piece = F.array_join(F.slice("_lines", begin.cast("int"), (stop - begin + 1).cast("int")), "\n")
+    texts = (
+        parts.join(line_blocks(sources), (F.col("_of") == F.col("_file")) & (F.col("_at") == F.col("_block")))
+        .groupBy("_of", "_from", "_to", "_want")
+        .agg(F.array_join(F.sort_array(F.collect_list(F.struct("_at", piece.alias("text"))))["text"], "\n").alias("_text"))
     )
+    on = (F.col("file_id") == F.col("_of")) & (F.col("_first") == F.col("_from")) & (F.col("_last") == F.col("_to"))
+    cut = F.lit(False) if cap is None else F.coalesce(F.col("_want") > cap, F.lit(False))
+    return asked.join(texts, on, "left").select(*rows.columns, F.coalesce("_text", F.lit("")).alias(out), cut.alias(flag))
 
 
 def signature(defs: DataFrame, sources: DataFrame) -> DataFrame:

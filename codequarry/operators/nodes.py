@@ -22,7 +22,8 @@ LISTED_DIAGNOSTICS = 20
 LISTED_ANCESTORS = 33
 
 _PART_BITS = 14
-_COORD_BITS = 32
+# Rows in a cell, as bits: 8, and 32 times as many.
+_ROW_BITS, _ROW_STEP = 3, 5
 
 
 def _node_error() -> Column:
@@ -153,8 +154,22 @@ def clean_positions(positions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, given.filter(~good).withColumn("error", F.lit("row and col must be finite numbers"))
 
 
-def _coordinate(row: Column, col: Column) -> Column:
-    return row.cast("bigint") * (1 << _COORD_BITS) + col
+def _spanning(nodes: DataFrame, points: DataFrame) -> DataFrame:
+    """``file_id, row, col, pre`` of every node around every point (ends are exclusive).
+
+    Nodes within one row are looked up by their columns in that row, the others by their rows; so neither one long line
+    nor one long file is a single group.
+    """
+    place = [F.col(c).cast("bigint").alias(f"_{c}") for c in ("start_row", "start_col", "end_row", "end_col")]
+    spans = nodes.select("file_id", "pre", *place)
+    short = spans.filter("_start_row = _end_row").select(
+        "file_id", F.col("_start_row").alias("row"), "pre", F.col("_start_col").alias("_low"), (F.col("_end_col") - 1).alias("_high"))
+    in_row = containing(points, short, "col", "_low", "_high", keys=("file_id", "row"))
+    tall = spans.filter("_start_row < _end_row")
+    over_rows = containing(points, tall, "row", "_start_row", "_end_row", first_bits=_ROW_BITS, step_bits=_ROW_STEP).filter(
+        "(row > _start_row OR col >= _start_col) AND (row < _end_row OR col < _end_col)")
+    columns = ("file_id", "row", "col", "pre")
+    return in_row.select(*columns).unionByName(over_rows.select(*columns))
 
 
 def node_at(
@@ -162,30 +177,20 @@ def node_at(
 ) -> DataFrame:
     """Smallest node spanning each cleaned position (its end is exclusive); all null for an unknown file.
 
-    (row, col) becomes one ordered number, so the lookup is a point-in-interval join in cells as small as 256
-    columns: a file of one long line is no special case. The containing nodes are nested, so the one with
-    the largest ``pre`` is the deepest. A position outside every node gets the root.
+    The containing nodes are nested, so the one with the largest ``pre`` is the deepest; only these numbers are
+    compared, and the details of the winner are joined at the end. A position outside every node gets the root.
     """
     detail = ("type", "named", "start_row", "start_col", "end_row", "end_col", "start_idx", "end_idx", "leaf_text")
     if named:
         nodes = nodes.filter("named")
-    spans = nodes.select(
-        "file_id", "pre", *detail,
-        _coordinate(F.col("start_row"), F.col("start_col")).alias("_low"),
-        (_coordinate(F.col("end_row"), F.col("end_col")) - 1).alias("_high"),
-    )
-    asked = positions.select("file_id", "row", "col").distinct()
-    points = asked.withColumn("_at", _coordinate(F.col("row"), F.col("col")))
-    packed = F.struct("pre", *detail).alias("node")
-    inside = containing(points, spans, "_at", "_low", "_high", bits=63).select("file_id", "row", "col", packed)
-    roots = nodes.filter(F.col("pre") == 0).select("file_id", F.col("pre").alias("_root"),
-                                                   F.struct("pre", *detail).alias("root"))
-    deepest = inside.groupBy("file_id", "row", "col").agg(F.max_by("node", F.col("node.pre")).alias("node"))
+    asked = positions.select("file_id", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col")).distinct()
+    deepest = _spanning(nodes, asked).groupBy("file_id", "row", "col").agg(F.max("pre").alias("_pre"))
+    details = nodes.select(F.col("file_id").alias("_file"), "pre", *detail)
     found = (
         asked.join(deepest, ["file_id", "row", "col"], "left")
-        .join(roots, "file_id", "left")
-        .withColumn("node", F.coalesce("node", "root"))
-        .select("file_id", "row", "col", "node.*")
+        .withColumn("_pre", F.coalesce("_pre", F.lit(0)))
+        .join(details, (F.col("file_id") == F.col("_file")) & (F.col("_pre") == F.col("pre")), "left")
+        .select("file_id", "row", "col", "pre", *detail)
         .withColumn("text", F.substring("leaf_text", 1, CLIP_CHARS))
     )
     if sources is not None:

@@ -90,6 +90,14 @@ def test_interval_joins_against_all_pairs(spark):
         (i,) for i, p in points if not any(lo <= p <= hi for _, lo, hi in spans))
 
 
+def test_long_intervals_are_found_from_every_cell(spark):
+    spans = [(0, 1, 3_000_000), (1, 65_535, 65_536), (2, 131_072, 1_000_000), (3, 0, 0)]
+    right = spark.createDataFrame([("f", *s) for s in spans], "file_id string, span int, lo int, hi int")
+    points = spark.range(0, 3_000_001, 7).select(F.lit("f").alias("file_id"), F.col("id").alias("p"))
+    held = {r.span: r["count"] for r in containing(points, right, "p", "lo", "hi").groupBy("span").count().collect()}
+    assert held == {i: hi // 7 - (lo - 1) // 7 for i, lo, hi in spans if hi // 7 > (lo - 1) // 7}
+
+
 def test_clean_positions(spark):
     given = [("f", 1.9, -3.0), ("f", float("nan"), 0.0), ("f", 0.0, float("inf")), ("f", None, 1.0), ("f", -0.5, 2.0)]
     ok, bad = N.clean_positions(spark.createDataFrame(given, "file_id string, row double, col double"))

@@ -51,15 +51,33 @@ def test_line_at_and_missing_lines(spark):
 
 @pytest.mark.parametrize("first, last, cap, text, cut", [
     (2, 3, 9, "b\nc", False), (-4, 2, 9, "a\nb", False), (3, 99, 9, "c\nd", False), (1, 4, 2, "a\nb", True),
-    (9, 12, 9, "", False), (3, 2, 9, "", False), (1, 4, 4, "a\nb\nc\nd", False),
+    (9, 12, 9, "", False), (3, 2, 9, "", False), (1, 4, 4, "a\nb\nc\nd", False), (2, 3, 0, "", True), (2, None, None, "b\nc\nd", False),
+    (None, 1, None, "a", False),
 ])
 def test_line_slice(spark, first, last, cap, text, cut):
     src = sources(spark, "python", "a\nb\nc\nd")
     rows = spark.createDataFrame([("f0",)], "file_id string")
-    got = L.line_slice(rows, src, F.lit(first), F.lit(last), cap).first()
+    got = L.line_slice(rows, src, F.lit(first).cast("int"), F.lit(last).cast("int"), cap).first()
     assert (got.text, got.truncated) == (text, cut)
 
 
+@pytest.mark.parametrize("cap", [None, 1, 64, 100])
+def test_slices_over_blocks_of_lines(spark, cap):
+    lines = [f"line {i}" for i in range(300)] + [""]
+    src = sources(spark, "python", "\r\n".join(lines)).unionByName(spark.createDataFrame(
+        [("none", "p", "python", None), ("empty", "q", "python", "")], "file_id string, path string, language string, code string"))
+    spans = [(1, 300), (64, 64), (64, 65), (65, 128), (1, 64), (2, 257), (300, 400), (301, 301), (302, 310), (128, 129), (128, 129)]
+    rows = spark.createDataFrame([(f, a, b) for a, b in spans for f in ("f0", "none", "empty", "gone", None)], "file_id string, a int, b int")
+    got = L.line_slice(rows, src, F.col("a"), F.col("b"), cap).collect()
+    assert len(got) == 5 * len(spans)
+    for r in got:
+        of = {"f0": lines, "empty": [""]}.get(r.file_id, [])[r.a - 1 : r.b]
+        assert (r.text, r.truncated) == ("\n".join(of if cap is None else of[:cap]), cap is not None and len(of) > cap)
+    at = spark.createDataFrame([("f0", i) for i in (-1, 0, 63, 64, 127, 128, 299, 300, 301, None)], "file_id string, row int")
+    assert {r.row: r.text for r in L.line_at(at, src, "row").collect()} == {
+        -1: "", 0: "line 0", 63: "line 63", 64: "line 64", 127: "line 127", 128: "line 128", 299: "line 299", 300: "", 301: "", None: ""}
+
+
 def defs(spark, start, end):
     return spark.createDataFrame([("f0", start, end, start - 1)], "file_id string, start_line int, end_line int, name_row int")
 
