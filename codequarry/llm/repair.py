@@ -112,8 +112,8 @@ def compress(ids: np.ndarray, counts: np.ndarray, least: int = LEAST) -> tuple[n
         gone[at + 1] = True
         before = np.where(gone[before], before - 1, before)  # the symbol before may have lost its second half
         live[before] = ~last[before]
-        rest = ~gone[:-1]
-        seq, last, live = seq[rest], last[rest], live[rest]
+        rest = np.flatnonzero(~gone[:-1])  # found once: places are taken faster than masks are applied
+        seq, last, live = seq.take(rest), last.take(rest), live.take(rest)
         pairs.append(np.stack([keys[used] >> 32, keys[used] & 0xFFFFFFFF], axis=1))
         made += len(used)
     table = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
@@ -124,10 +124,10 @@ def compress(ids: np.ndarray, counts: np.ndarray, least: int = LEAST) -> tuple[n
 
 def expansion_lengths(pairs: np.ndarray, first: int) -> np.ndarray:
     """How many ids each rule stands for."""
-    out = np.ones(len(pairs), np.int64)
-    for k, (a, b) in enumerate(pairs.tolist()):
-        out[k] = (out[a - first] if a >= first else 1) + (out[b - first] if b >= first else 1)
-    return out
+    out: list[int] = []
+    for a, b in pairs.tolist():
+        out.append((out[a - first] if a >= first else 1) + (out[b - first] if b >= first else 1))
+    return np.array(out, np.int64)
 
 
 def expand(sequence: np.ndarray, pairs: np.ndarray, first: int, sizes: np.ndarray) -> np.ndarray:
@@ -139,7 +139,8 @@ def expand(sequence: np.ndarray, pairs: np.ndarray, first: int, sizes: np.ndarra
     while len(symbols):
         plain = symbols < first
         out[places[plain]] = symbols[plain]
-        symbols, places = symbols[~plain] - first, places[~plain]
+        inner = np.flatnonzero(~plain)
+        symbols, places = symbols.take(inner) - first, places.take(inner)
         left, right = pairs[symbols, 0], pairs[symbols, 1]
         step = np.where(left >= first, sizes[np.maximum(left - first, 0)], 1) if len(symbols) else left
         symbols, places = np.concatenate([left, right]), np.concatenate([places, places + step])
