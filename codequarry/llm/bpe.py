@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codequarry.llm.chunks import SPLIT, ChunkEncoder, portions, slices, split_special
+from codequarry.llm.chunks import SPLIT, ChunkEncoder, give_back, portions, slices, split_special
 from codequarry.llm.shared import ship
 
 
@@ -25,6 +25,18 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Fits(dict):
+    """Which pairs of tokens (left << 32 | right) can stand side by side; found as asked for."""
+
+    def __init__(self, fits):
+        super().__init__()
+        self.fits = fits
+
+    def __missing__(self, pair: int) -> bool:
+        found = self[pair] = self.fits(pair >> 32, pair & 0xFFFFFFFF)
+        return found
+
+
 class ByteBPE:
     """A vocabulary file's merges, as tables over ranks: bytes are 0 to 255, merge ``k`` makes rank ``256 + k``."""
 
@@ -56,7 +68,10 @@ class ByteBPE:
         self.matches.make_automaton()
         self.size = max([*self.ids, *self.special.values()]) + 1
         self.piece = lru_cache(1 << 16)(self._piece)
-        self.known: dict[int, bool] = {}
+        self.known = _Fits(self._fits)
+        self.lengths = [len(b) for b in self.bytes]
+        # ASCII letters after at most one space are one piece; no special token hides in them, unless it is of the same
+        self.lettered = any(s.replace(" ", "").isalpha() for s in self.special)
         self.whole: list[bool | None] = [True] * 256 + [None] * (len(self.head) - 256)
 
     def _fits(self, left: int, right: int) -> bool:
@@ -99,23 +114,21 @@ class ByteBPE:
         if len(known) > 1 << 17:
             known.clear()
         for end, (token, length) in self.matches.iter(data.decode("latin-1")):
-            if last[end + 1] >= 0:
+            end += 1
+            if last[end] >= 0:
+                continue
+            if end != length and not known[last[end - length] << 32 | token]:
                 continue
-            begin = end + 1 - length
-            if begin:
-                pair = last[begin] << 32 | token
-                fits = known.get(pair)
-                if fits is None:
-                    fits = known[pair] = self._fits(last[begin], token)
-                if not fits:
-                    continue
             if whole[token] or self._is_whole(token):
-                last[end + 1] = token
+                last[end] = token
         out, at = [], len(data)
+        ids, lengths = self.ids, self.lengths
         while at:
-            out.append(self.ids[last[at]])
-            at -= len(self.bytes[last[at]])
-        return tuple(reversed(out))
+            token = last[at]
+            out.append(ids[token])
+            at -= lengths[token]
+        out.reverse()
+        return tuple(out)
 
     def forget(self) -> None:
         """Empties what is remembered of texts; results do not depend on it."""
@@ -123,6 +136,9 @@ class ByteBPE:
         self.known.clear()
 
     def encode(self, text: str) -> list[int]:
+        bare = text[1:] if text[:1] == " " else text
+        if bare.isascii() and bare.isalpha() and not self.lettered:
+            return list(self._piece(text))  # remembered by whole chunks already
         out: list[int] = []
         for part, is_special in split_special(text, self.special):
             if is_special:
@@ -154,9 +170,17 @@ def built(key: str, content: Broadcast, make, beside: tuple[str, ...] = ()):
         for other in [n for n in _BUILT if n[0] not in (key, *beside)]:
             del _BUILT[other]
         _BUILT[name] = make(content.value)
+        give_back()  # building takes several times what is kept
     return _BUILT[name]
 
 
+def release() -> None:
+    """Drops all that earlier stages built in this Python worker: for stages that use no vocabulary."""
+    if _BUILT:
+        _BUILT.clear()
+        give_back()
+
+
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """A vocabulary file (a few MB, whatever the corpus), read on the driver and sent to the executors once."""
     ship(spark)

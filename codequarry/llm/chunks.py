@@ -49,6 +49,13 @@ def _flags(chunk: str) -> int:
     return (STOP if bare[0] in ".," else 0) | (FIRM if bare[-1] < "\u0250" and bare[-1].isalnum() else 0)
 
 
+def give_back() -> None:
+    """Returns memory that is free in this process to the system."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class _Slots(dict):
     """Numbers chunks as they come, and lists those that are new."""
 
@@ -77,9 +84,7 @@ class PieceMemory:
     def done(self) -> None:
         """Empties the memory at the end of a task and gives it back to the system: workers outlive the stage."""
         self.clear()
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # glibc only
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
 
     def flags_of(self, pieces: list[str]) -> np.ndarray:
         return np.zeros(len(pieces), np.uint8)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codequarry.llm.bpe import release
 from codequarry.llm.components import components
 from codequarry.llm.shared import checkpointed, ship, stored
 
@@ -45,6 +46,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 3, seed: int
     slim = docs.select(*[F.col(f"`{c}`") for c in rest], F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             values = [fingerprint(t.as_py(), words, seed) for t in batch.column(len(rest))]
             found = pa.array(np.array(values, np.uint64).view(np.int64))
