@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from codequarry.operators.definitions import definitions
 from codequarry.operators.lines import signature
-from codequarry.plans.corpus import FILE_STEP, corpus, file_buckets
-from codequarry.plans.queries import candidates
+from codequarry.operators.matching import rule_candidates
+from codequarry.plans import shared
+from codequarry.plans.corpus import FILE_STEP, _blocks, corpus, file_buckets, file_table
+from codequarry.plans.queries import QUERIES, candidates
+from codequarry.sources.rules import RULES
 
 
 def _tables(spark, folder):
@@ -64,3 +67,55 @@ def test_bucket_size_does_not_grow(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(plans, "_BUCKETS", {})
     monkeypatch.setattr(plans, "MOST_BUCKETS", 5)
     assert file_buckets(spark, folder) == 5
+
+
+def _stored(folder):
+    return {name for _, place, name in shared._WRITTEN if place == folder}
+
+
+def test_tables_are_written_when_asked_for(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    assert QUERIES["capabilities"](spark, folder).agg(F.sum("n_files")).first()[0] == 7
+    assert _stored(folder) == {"files"}
+    assert QUERIES["lexical_definitions"](spark, folder).count() > 0
+    assert _stored(folder) == {"files", "blocks", "sources"}
+
+
+def test_parts_are_placed_once(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    blocks = _blocks(spark, folder)
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert _plan(blocks).count("REPARTITION_BY_NUM") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    rows = blocks.groupBy("file_id").agg(F.count_if(F.col("variant") == 0).alias("heads"), F.count(F.lit(1)).alias("n")).collect()
+    assert sorted((r.heads, r.n) for r in rows) == [(1, 3)] * 6
+
+
+def test_stored_buckets_are_not_sorted(spark, tmp_path, monkeypatch):
+    folder = _tables(spark, tmp_path)
+    seen = []
+    monkeypatch.setattr(spark.conf.__class__, "set", lambda self, key, value, was=spark.conf.__class__.set: (seen.append((key, value)), was(self, key, value))[1])
+    file_table(spark, folder, "files", lambda s, d: s.range(3).withColumnRenamed("id", "file_id"))
+    own = [v for k, v in seen if k == "spark.sql.maxConcurrentOutputFileWriters"]
+    assert own == ["4", "0"]   # for this write alone
+
+
+def test_candidates_of_bounded_nodes_are_hashed(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    found = candidates(spark, folder)
+    assert file_table(spark, folder, "rule_candidates", None).count() == found.count()
+    assert 0 < file_table(spark, folder, "inner_candidates", None).count() < found.count()
+    nodes, was = corpus(spark, folder).nodes, {
+        c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(was, ("-1", "false")):
+            spark.conf.set(c, v)
+        sorted_, hashed = (rule_candidates(nodes, RULES, bounded) for bounded in (False, True))
+        assert "SortMergeJoin" in _plan(sorted_) and "SortMergeJoin" not in _plan(hashed)
+        assert sorted_.exceptAll(hashed).count() == hashed.exceptAll(sorted_).count() == 0
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
