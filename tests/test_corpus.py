@@ -119,3 +119,14 @@ def test_candidates_of_bounded_nodes_are_hashed(spark, tmp_path):
     finally:
         for c, v in was.items():
             spark.conf.set(c, v)
+
+
+def test_blocks_of_unknown_words_have_no_text(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    spark.createDataFrame([(3, 3), (7, None), (300, None)], "p_partkey bigint, p_size int").write.mode("overwrite").parquet(f"{folder}/part.parquet")
+    nodes = corpus(spark, folder).nodes.filter(F.col("file_id") == FILE_STEP).orderBy("pre").collect()
+    first = min(r.pre for r in nodes if r.leaf_text == "n_000000000003")
+    leaves = [r for r in nodes if r.pre > first and r.last_desc == r.pre]
+    texts = [r.leaf_text for r in leaves]
+    assert "n_000000000007" not in texts and texts[-1] is None and texts.count(None) > 5
+    assert {r.leaf_text for r in corpus(spark, folder).nodes.filter(F.col("file_id") == FILE_STEP + 1).filter("parent > 0").collect()} >= {None}
