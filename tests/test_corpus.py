@@ -130,3 +130,22 @@ def test_blocks_of_unknown_words_have_no_text(spark, tmp_path):
     texts = [r.leaf_text for r in leaves]
     assert "n_000000000007" not in texts and texts[-1] is None and texts.count(None) > 5
     assert {r.leaf_text for r in corpus(spark, folder).nodes.filter(F.col("file_id") == FILE_STEP + 1).filter("parent > 0").collect()} >= {None}
+
+
+def test_nodes_are_made_where_they_are_read(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    nodes = corpus(spark, folder).nodes
+    assert candidates(spark, folder).count() > 0
+    assert _stored(folder) == {"files", "blocks", "placed", "sources", "rule_candidates", "inner_candidates"}
+    # roots are there, also those of files without blocks and of files whose part is not known
+    roots = {r.file_id: (r.language, r.last_desc, r.parent, r.child_ix) for r in nodes.filter("pre = 0").collect()}
+    assert len(roots) == 7 and roots[9 * FILE_STEP + FILE_STEP - 1][1:] == (0, None, 0)
+    assert nodes.filter("parent IS NULL").count() == 7
+    # each template has its own number, and filters on the type reach the templates
+    from codequarry.plans.corpus import template_numbers, template_sizes
+    numbers = template_numbers()
+    assert len(set(numbers.values())) == len(numbers) == len(template_sizes()) and 0 not in numbers.values()
+    assert all(numbers[language, variant] == numbers[language, 0] + variant for language, variant in numbers)
+    asked = nodes.filter("type = 'identifier'").select("file_id", "pre")
+    read = _plan(asked)
+    assert "Union" not in read and "identifier" in read.partition("BroadcastExchange")[2]
