@@ -354,3 +354,22 @@ def test_node_at_with_ancestors(spark, code):
     assert (got["nowhere", 0, 0].type, got["nowhere", 0, 0].ancestors) == (None, None)
     short = N.node_at_with_ancestors(nodes, asked, listed=1).filter("col = 2").first()
     assert [a.type for a in short.ancestors] == ["args"]
+
+
+def test_matches_used_twice_are_stored_and_found_once(spark, tmp_path):
+    items = [n("pair", n("in", t("("), leaf("word", "q"), t(")")), n("in", t("("), leaf("word", x), t(")"))) for x in "qqr"]
+    nodes, src = tables(spark, ("python", items))
+    pair = P.node("pair").child(P.node().first().capture("l")).child(P.node().last().capture("r"))
+    patterns = [pair.same_text("l", "r"), P.node("word"), pair.other_text("l", "r")]
+    stored = []
+
+    def keep(name, rows):
+        stored.append((name, rows.count()))
+        rows.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    plain = collect(P.match(nodes, patterns, src), "pattern_index", "match_pre", "captures")
+    assert collect(P.match(nodes, patterns, src, keep=keep), "pattern_index", "match_pre", "captures") == plain
+    assert [x[0] for x in plain] == [0, 0, 1, 1, 1, 1, 1, 1, 2]
+    # three pairs for two patterns over them, and six words
+    assert stored == [("found", 9), ("compared", 9)]
