@@ -1,13 +1,16 @@
 """Lines, cuts, trimming, lexing and masking."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from codequarry.functions.lexicon import LEXICONS
 from codequarry.functions.limits import first_k
 from codequarry.functions.text import split_lines, to_nfc, trim_ws, unquote
 from codequarry.operators import lines as L
 from codequarry.operators.lexical import masked
-from codequarry.operators.tokens import bracket_pairs, page_pairs, page_tokens, tokens
+from codequarry.operators.tokens import BRACKETS, bracket_pairs, page_pairs, page_tokens, tokens
 from tests.helpers import collect, sources
 
 
@@ -156,6 +159,46 @@ def test_long_tokens_do_not_recurse(spark):
         "comment", "space", "string"]
 
 
+def test_tokens_in_runs(spark):
+    """Runs between strings, comments and single characters: all of these stay where they are, in any text."""
+    rng = random.Random(3)
+    codes = [(f"{x}{i}", x, "".join(rng.choice(" ab1$_\u00e9\t\n\n\\{};()[]\"'`/*#<") for _ in range(150))) for x in LEXICONS for i in range(15)]
+    src = spark.createDataFrame([*codes, *[(f"c{x}", x, code) for x, code in CODE.items()]], "file_id string, language string, code string")
+    held = ("file_id", "language", "start_idx", "end_idx", "row", "col", "kind", "text")
+
+    def shown(toks):
+        looked = F.col("kind").isin("string", "comment") | F.col("text").isin("{", "}", ";")
+        return collect(toks.filter(looked), *held)
+
+    runs = tokens(src, apart="{};").cache()
+    assert shown(runs) == shown(tokens(src))
+    assert {r.kind for r in runs.select("kind").distinct().collect()} == {"string", "comment", "other", "run"}
+    assert runs.filter((F.col("kind") == "run") & F.col("text").rlike("[{};]")).count() == 0
+    whole = runs.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("pos", "text")))["text"].alias("x"))
+    assert whole.join(src, "file_id").filter(F.array_join("x", "") != F.col("code")).count() == 0
+    pairs = ("file_id", "pair_kind", "start_idx", "status", "close_start_idx", "depth")
+    brackets = [tuple(r) for t in (tokens(src, apart=BRACKETS), tokens(src)) for r in [bracket_pairs(t).select(*pairs).orderBy(*pairs).collect()]]
+    assert brackets[0] == brackets[1]
+
+
+def test_masked_in_any_text(spark):
+    """What strings and comments become follows from the tokens."""
+    rng = random.Random(5)
+    codes = [(f"{x}{i}", x, "".join(rng.choice(" ab$\t\n\n\\{};\"'`/*#") for _ in range(150))) for x in LEXICONS for i in range(10)]
+    src = spark.createDataFrame(codes, "file_id string, language string, code string")
+    made = {}
+    for r in sorted(tokens(src).collect(), key=lambda r: (r.file_id, r.pos)):
+        text = r.text
+        if r.kind == "comment":
+            text = "".join(c if c in "\r\n" else " " for c in text)
+        elif r.kind == "string":
+            head, line, tail = text.partition("\n")
+            text = "".join(c if c in "\r\n" else '"' for c in head) + line + "".join(c if c in "\r\n" else "\x01" for c in tail)
+        made[r.file_id] = made.get(r.file_id, "") + text
+    got = src.select("file_id", masked(F.col("code"), F.col("language")).alias("m")).collect()
+    assert {r.file_id: r.m for r in got} == made
+
+
 def test_masked_keeps_lengths(spark):
     for language, code in CODE.items():
         got = one(spark, masked(F.col("s"), F.col("l")), s=code, l=language)
