@@ -3,6 +3,7 @@
 import pytest
 
 from codequarry.operators import lexical as X
+from codequarry.operators import tokens as T
 from tests.helpers import collect, sources
 
 SNIPPETS = {
@@ -81,3 +82,33 @@ def test_columns_are_those_of_the_match_itself(spark):
         assert collect(X.lexical_definitions(src), "name", "name_col") == [("a", code.index("fn a()") + 3), ("ab", 3)]
         assert X.lexical_calls(src).count() == 0
     assert collect(X.lexical_calls(sources(spark, "bash", "a | b | b\n")), "name", "col") == [("a", 0), ("b", 4), ("b", 8)]
+
+
+ODD = "new A(b) $ $c (d)\n  e // f(\n (g)'h(' i\t(j) `k\nl(` m() 2n() \u00e9 (p)\r\n\U0001F600 q(r)/* s(\n*/t /**/ (u) v"
+
+
+@pytest.mark.parametrize("language", ["python", "java", "php", "rust", "javascript"])
+def test_words_are_read_without_the_other_tokens(spark, language):
+    src = sources(spark, language, ODD, ODD.replace("`", '"'), "", "a")
+    words = T.tokens(src).filter("kind = 'word'").filter(r"text rlike '^[\\p{L}_$]'").selectExpr("file_id", "text AS word", "row", "col")
+    columns = ("file_id", "word", "row", "col")
+    assert collect(X._words(src, lambda x: x.to_word), *columns) == collect(words, *columns)
+    # words before a parenthesis, as neighbouring tokens show them
+    seen = T.tokens(src).filter("kind NOT IN ('space', 'comment')").orderBy("file_id", "pos").collect()
+    called = [(a.file_id, a.text, a.row, a.col) for a, b in zip(seen, seen[1:]) if a.kind == "word" and b.text == "("
+              and a.file_id == b.file_id and (a.text[0].isalpha() or a.text[0] in "_$")]
+    found = X._words(src, lambda x: x.to_call).filter("end_idx < size")
+    assert called and collect(found, *columns) == sorted(called)
+
+
+def test_calls_see_no_neighbouring_tokens(spark):
+    src = sources(spark, "java", ODD)
+    assert "lead(" not in X.lexical_calls(src)._jdf.queryExecution().executedPlan().toString()
+    assert [r[0] for r in collect(X.lexical_calls(src), "name")] == ["$c", "e", "i", "m", "q", "t", "\u00e9"]
+
+
+def test_headers_bound_to_the_start_of_a_line():
+    bound = {language: [X._anchored(pattern) for _, pattern in rules] for language, rules in X.HEADERS.items()}
+    assert bound["python"] == [True, True] and bound["rust"] == [False, False, False, False, True]
+    assert bound["php"] == [True] * 4 and all(X._anchored(pattern) for _, pattern in X._GO_MEMBERS)
+    assert not X._anchored(r"(^\s*+|[;|]\s*+)(\w++)") and X._anchored(r"(^[(]\(a|)(\w++)") is False
