@@ -159,6 +159,16 @@ def test_long_tokens_do_not_recurse(spark):
         "comment", "space", "string"]
 
 
+@pytest.mark.parametrize("language", ["python", "javascript", "php", "bash"])
+def test_tokens_without_blanks(spark, language):
+    code = "  a = 'b ' # c \t\r\n\f# d\n\n/* e */  // f  \r\n\"g  \n\th \" \\ \v \u00a0 \u00e9  # "
+    src = sources(spark, language, code, "", "  \n", "x", "x // y ", "# z \n")
+    columns = ("file_id", "pos", "kind", "text", "start_idx", "end_idx", "row", "col")
+    assert collect(tokens(src, blanks=False), *columns) == collect(tokens(src).filter("kind <> 'space'"), *columns)
+    with pytest.raises(ValueError):
+        tokens(src, apart="{", blanks=False)
+
+
 def test_tokens_in_runs(spark):
     """Runs between strings, comments and single characters: all of these stay where they are, in any text."""
     rng = random.Random(3)
