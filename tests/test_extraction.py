@@ -179,6 +179,18 @@ def test_outline_levels_against_a_stack(spark, monkeypatch, bits):
     assert {f: [v[i] for i in sorted(v)] for f, v in got.items()} == {f: stack_levels(s) for f, s in files.items()}
 
 
+def test_outlines_of_one_block_are_computed_once(spark):
+    """Stacks on entry are found for files of several blocks alone, and text takes its totals from the definitions."""
+    spans = {"f": [(1, 9, 1), (2, 3, 5)], "g": [(1, 9, 1), (2, 8, 5000), (3, 4, 9000)]}
+    defs = D.dedupe(raw(spark, *[(f, "class", f"n{seen}", s, e, seen) for f, rows in spans.items() for s, e, seen in rows]))
+    levels = O.outline_levels(defs)
+    assert collect(levels, "file_id", "level") == [("f", 0), ("f", 1), ("g", 0), ("g", 1), ("g", 2)]
+    assert "LeftSemi" in levels._jdf.queryExecution().optimizedPlan().toString()
+    files = spark.createDataFrame([("f", "a", "go"), ("g", "b", "go"), ("h", "c", "go")], "file_id string, path string, language string")
+    once, twice = O.outline_text(levels, files, defs), O.outline_text(levels, files)
+    assert collect(once, "file_id", "part", "outline") == collect(twice, "file_id", "part", "outline")
+
+
 def test_outline_text(spark):
     defs = D.dedupe(raw(spark, ("f", "class", "A", 1, 9, 1), ("f", "method", "b", 2, 3, 5)))
     files = spark.createDataFrame([("f", None, "go"), ("g", "p/q.go", "go")], "file_id string, path string, language string")
