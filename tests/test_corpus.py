@@ -1,5 +1,6 @@
 """The corpus lies by file, so that work on it shuffles no nodes."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from codequarry.operators.definitions import definitions
@@ -39,6 +40,22 @@ def test_corpus_work_shuffles_no_nodes(spark, tmp_path):
             spark.conf.set(c, v)
 
 
+@pytest.mark.parametrize("name", ["tree_sexp", "node_at"])
+def test_queries_over_nodes_shuffle_nothing(spark, tmp_path, name):
+    folder = _tables(spark, tmp_path)
+    was = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    lines = [(s, p, 0.5, 8.0) for s in (1, 2) for p in (3, 7, 300)]
+    spark.createDataFrame(lines, "l_suppkey bigint, l_partkey bigint, l_discount double, l_quantity double").write.mode(
+        "overwrite").parquet(f"{folder}/lineitem.parquet")
+    try:
+        for c, v in zip(was, ("-1", "false")):
+            spark.conf.set(c, v)
+        assert "Exchange hashpartitioning" not in _plan(QUERIES[name](spark, folder))
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+
+
 def test_corpus_rows_by_file(spark, tmp_path):
     folder = _tables(spark, tmp_path)
     data = corpus(spark, folder)
@@ -94,6 +111,13 @@ def test_parts_are_placed_once(spark, tmp_path):
     assert sorted((r.heads, r.n) for r in rows) == [(1, 3)] * 6
 
 
+def test_sizes_of_blocks_are_not_shuffled(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    plan = _blocks(spark, folder)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    first = max(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert "l_partkey" in plan[first + 1] and "n_nodes" not in plan[first + 1] and sum("Window [" in line for line in plan) == 1
+
+
 def test_stored_buckets_are_not_sorted(spark, tmp_path, monkeypatch):
     folder = _tables(spark, tmp_path)
     seen = []
