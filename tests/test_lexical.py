@@ -1,7 +1,9 @@
 """Raw-text extraction on realistic snippets."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from codequarry.functions.layout import once_and_again
 from codequarry.operators import lexical as X
 from codequarry.operators import tokens as T
 from tests.helpers import collect, sources
@@ -103,10 +105,24 @@ def test_words_are_read_without_the_other_tokens(spark, language):
 
 def test_calls_see_no_neighbouring_tokens(spark):
     src = sources(spark, "java", ODD)
-    assert "lead(" not in X.lexical_calls(src)._jdf.queryExecution().executedPlan().toString()
+    once, again = once_and_again(src)
+    assert (once.count(), again.count()) == (1, 0)
     assert [r[0] for r in collect(X.lexical_calls(src), "name")] == ["$c", "e", "i", "m", "q", "t", "\u00e9"]
 
 
+def test_files_that_share_an_id_are_read_token_by_token(spark):
+    src = sources(spark, "python", "f(\n a)\n", "f(\n a)\n", "g(b)").replace({"f1": "f0"}, subset=["file_id"])
+    once, again = once_and_again(src.unionByName(src.filter("file_id = 'f2'").withColumn("file_id", F.lit(None).cast("string"))))
+    assert collect(once, "code") == [("g(b)",), ("g(b)",)] and again.count() == 2
+    columns = ("file_id", "pos", "kind", "text", "start_idx", "end_idx", "row", "col")
+    assert collect(T.tokens(src, blanks=False), *columns) == collect(T.tokens(src).filter("kind <> 'space'"), *columns)
+    names = spark.createDataFrame([("a",), ("b",)], "name string")
+    words = T.tokens(src).filter("text IN ('a', 'b')").selectExpr("file_id", "text AS name", "row + 1 AS line", "col + 1 AS col")
+    found = X.lexical_references(src, names)
+    assert set(collect(found, "file_id", "name", "line", "col")) == set(collect(words, "file_id", "name", "line", "col"))
+    assert [r[0] for r in collect(X.lexical_calls(src), "name")] == ["f", "g"]
+
+
 def test_headers_bound_to_the_start_of_a_line():
     bound = {language: [X._anchored(pattern) for _, pattern in rules] for language, rules in X.HEADERS.items()}
     assert bound["python"] == [True, True] and bound["rust"] == [False, False, False, False, True]
